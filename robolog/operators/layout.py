@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 from robolog.operators.joins import side_join
 from robolog.session import materialize
@@ -98,6 +98,16 @@ def _cuts(stats: DataFrame, group: list[str], order: tuple[str, ...], target: in
     )
 
 
+def key_counts(df: DataFrame, keys: list[str] | tuple[str, ...]) -> Row:
+    """Number of keys, of rows, and rows of the fullest key: one aggregate job."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.agg(
+        F.count(F.lit(1)).alias("n_keys"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.max("_n"), F.lit(0)).alias("fullest"),
+    ).first()
+
+
 def measure(
     df: DataFrame,
     keys: list[str] | tuple[str, ...],
@@ -112,12 +122,7 @@ def measure(
     """
     target = target_rows or TARGET_ROWS
     keys, order = tuple(keys), tuple(order)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(
-        F.count(F.lit(1)).alias("n_keys"),
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.max("_n"), F.lit(0)).alias("fullest"),
-    ).first()
+    total = key_counts(df, keys)
     base = dict(keys=keys, order=order, n_keys=total.n_keys, n_rows=total.n_rows)
     if total.fullest <= target:
         return Layout(**base)

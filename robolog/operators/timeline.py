@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from robolog.contracts import DEFAULT_SOURCE_FPS, DEFAULT_TARGET_FPS, FPS_TOLERANCE, NS
 from robolog.operators.align import asof_align
 from robolog.operators.joins import side_join
-from robolog.operators.layout import Layout, measure
+from robolog.operators.layout import TARGET_ROWS, Layout, key_counts
 from robolog.operators.scan import lag, row_number, running_sum, scan
 
 GRID_BLOCK = 10_000
@@ -41,8 +41,8 @@ def exact_median(
     """
     keys = list(keys)
     present = df.where(F.col(value).isNotNull())
-    spread = measure(present, keys, [value], target_rows)
-    if not spread.split:
+    spread = key_counts(present, keys)
+    if spread.fullest <= (target_rows or TARGET_ROWS):
         return present.groupBy(*keys).agg(F.median(value).alias(out))
     counted = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     running = scan(counted, keys, [value], target_rows=target_rows, _upto=running_sum("_n"))
