@@ -12,6 +12,7 @@ from robolog.operators.align import asof_align
 from robolog.operators.joins import side_join
 from robolog.operators.layout import TARGET_ROWS, Layout, key_counts
 from robolog.operators.scan import lag, row_number, running_sum, scan
+from robolog.session import materialize
 
 GRID_BLOCK = 10_000
 
@@ -44,9 +45,10 @@ def exact_median(
     spread = key_counts(present, keys)
     if spread.fullest <= (target_rows or TARGET_ROWS):
         return present.groupBy(*keys).agg(F.median(value).alias(out))
-    counted = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    # Read several times below; written once so that the steps are not computed again.
+    counted = materialize(present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
     running = scan(counted, keys, [value], target_rows=target_rows, _upto=running_sum("_n"))
-    totals = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
+    totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     joined = side_join(running, totals, keys, "inner", rows=spread.n_keys)
     low = F.min(F.when(F.col("_upto") > F.expr("(_total - 1) DIV 2"), F.col(value)))
     high = F.min(F.when(F.col("_upto") > F.expr("_total DIV 2"), F.col(value)))
