@@ -5,14 +5,28 @@ Time keys are BIGINT nanoseconds throughout; TIMESTAMP holds only microseconds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, SparkSession, functions as F, types as T
 
 from robolog.contracts import DEFAULT_TASK, NS
 
 
+def ntz_micros(value: Column) -> Column:
+    """Epoch microseconds of a zone-less timestamp read as UTC, in any session time zone."""
+    zone = SparkSession.active().conf.get("spark.sql.session.timeZone")
+    if zone in ("UTC", "Etc/UTC", "GMT", "Z"):
+        return F.unix_micros(value.cast("timestamp"))
+    million = F.lit(1_000_000).cast("bigint")
+    day = F.unix_date(value.cast("date")).cast("bigint") * 86_400
+    clock = F.hour(value) * 3600 + F.minute(value) * 60
+    second = F.extract(F.lit("SECOND"), value) * million  # decimal, exact
+    return (day + clock) * million + second.cast("bigint")
+
+
 def normalize_time(value: Column, dtype: T.DataType) -> Column:
     """Epoch nanoseconds from a timestamp, an interval, float seconds or an integer."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+    if isinstance(dtype, T.TimestampNTZType):
+        return ntz_micros(value) * F.lit(1000).cast("bigint")
+    if isinstance(dtype, (T.TimestampType, T.DateType)):
         return F.unix_micros(value.cast("timestamp")) * F.lit(1000).cast("bigint")
     if isinstance(dtype, T.DayTimeIntervalType):
         seconds = F.extract(F.lit("DAY"), value) * 86400 + F.extract(F.lit("HOUR"), value) * 3600

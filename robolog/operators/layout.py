@@ -100,11 +100,15 @@ def _cuts(stats: DataFrame, group: list[str], order: tuple[str, ...], target: in
 
 def key_counts(df: DataFrame, keys: list[str] | tuple[str, ...]) -> Row:
     """Number of keys, of rows, and rows of the fullest key: one aggregate job."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return totals(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "_n")
+
+
+def totals(counts: DataFrame, rows: str) -> Row:
+    """The same figures from a table that has one row per key."""
     return counts.agg(
         F.count(F.lit(1)).alias("n_keys"),
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.max("_n"), F.lit(0)).alias("fullest"),
+        F.coalesce(F.sum(rows), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.max(rows), F.lit(0)).alias("fullest"),
     ).first()
 
 
@@ -113,16 +117,17 @@ def measure(
     keys: list[str] | tuple[str, ...],
     order: list[str] | tuple[str, ...],
     target_rows: int | None = None,
+    total: Row | None = None,
 ) -> Layout:
     """Count rows per key and, only if some key is over ``target_rows``, plan its cells.
 
-    One aggregate job in the usual case. ``order`` columns are integers (or booleans).
+    One aggregate job in the usual case, none if the counts are known (``total``). ``order`` columns are integers (or booleans).
     Every level table has at most ``rows / target_rows`` entries, since each entry stands
     for more than ``target_rows`` rows.
     """
     target = target_rows or TARGET_ROWS
     keys, order = tuple(keys), tuple(order)
-    total = key_counts(df, keys)
+    total = total or key_counts(df, keys)
     base = dict(keys=keys, order=order, n_keys=total.n_keys, n_rows=total.n_rows)
     if total.fullest <= target:
         return Layout(**base)

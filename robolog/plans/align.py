@@ -37,6 +37,7 @@ def align_bags(
     seq: str = "seq",
     value: str = "values",
     missing: str = "zero",
+    stage: str | None = None,
     target_rows: int | None = None,
 ) -> AlignedBags:
     """Every topic on the camera clock as a float32 vector of constant width per recording.
@@ -44,7 +45,9 @@ def align_bags(
     The width of a topic is its longest aligned vector, at least the target. Frames before
     a topic's first message get zeros (``missing='zero'``) or are left out (``'drop'``). A
     recording where some topic never has a value is rejected. All recordings go through one
-    job; the per-recording profile (widths, counts) is the only extra table.
+    job; the per-recording profile (widths, counts) is the only extra table. The aligned
+    rows are needed for the profile and for the result: with ``stage`` they are written to
+    that folder once and read twice, else the join runs twice.
     """
     if missing not in ("zero", "drop"):
         raise ValueError(f"unknown missing policy {missing}")
@@ -53,6 +56,9 @@ def align_bags(
         clock, messages, topics, bag=bag, topic=topic, ts=ts, seq=seq, value=value,
         target_rows=target_rows,
     )
+    if stage:
+        aligned.write.mode("overwrite").parquet(stage)
+        aligned = clock.sparkSession.read.schema(aligned.schema).parquet(stage)
     columns = list(topics.values())
     profile = materialize(
         aligned.groupBy(bag).agg(

@@ -21,9 +21,10 @@ from robolog.operators.episodes import (
     task_table,
 )
 from robolog.operators.joins import side_join
-from robolog.operators.layout import measure
+from robolog.operators.layout import measure, totals
 from robolog.operators.quality import require, run_report
 from robolog.plans.align import align_bags
+from robolog.session import scratch_path
 from robolog.sinks.publish import read_dataset, write_dataset, write_meta
 from robolog.sources.catalog import read_anchors
 from robolog.sources.log import read_frames, read_messages
@@ -69,8 +70,8 @@ def episode_frames(
         concat_vectors(*[F.col(c) for c in action]).alias("action"),
         concat_vectors(*[F.col(c) for c in state]).alias("observation_state"),
     )
-    layout = measure(named, [segment], [ts, seq], target_rows)
     episodes = episode_table(named, segment=segment, ts=ts)
+    layout = measure(named, [segment], [ts, seq], target_rows, totals(episodes, "length"))
     numbered = number_frames(named, episodes, segment=segment, ts=ts, seq=seq, layout=layout)
     tasks = task_table(named, order=(segment, ts, seq))
     return task_join(numbered, tasks), episodes, tasks
@@ -166,7 +167,8 @@ def run_full(
         "bag_id", "entity_path", F.col("log_time_ns").alias("ts_ns"), "seq", "values"
     )
     widths = STATE_WIDTHS[mode]
-    aligned = align_bags(clock, messages, topics, widths)
+    stage = scratch_path(spark, "aligned")
+    aligned = align_bags(clock, messages, topics, widths, stage=stage)
     require(run_report(aligned.status), strict)
     action = [topics[p] for p in topics if p not in widths]
     state = [topics[p] for p in topics if p in widths]

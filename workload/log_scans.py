@@ -18,7 +18,7 @@ from robolog.functions.images import inner_bounds
 from robolog.sinks.publish import write_by_bag
 from robolog.session import scratch_path
 from robolog.sources.catalog import bag_catalog, clock_anchor, earliest_bag, missing_files
-from workload.registry import LOG, TOPICS, log, micros, query, table
+from workload.registry import LOG, TOPICS, log, query, table
 
 DAY_NS = 86_400_000_000_000
 
@@ -42,7 +42,7 @@ def camera_frames(spark, sf):
 @query(
     "scan_frames",
     f"""{LOG} SELECT bag_id, {CAMERA_SQL} AS camera, ts_ns, seq, 'h264' AS codec,
-        octet_length(encode(props)) AS n_bytes FROM log WHERE entity_path <> '/view'""",
+        octet_length(encode(props)) AS n_bytes FROM log WHERE entity_path <> 'view'""",
 )
 def scan_frames(spark, sf):
     return camera_frames(spark, sf).select(
@@ -53,8 +53,8 @@ def scan_frames(spark, sf):
 
 FILES_SQL = """paths AS (
   SELECT '/store/my_bag-' || strftime(ts, '%y-%m-%d') || '-' || bag_id || '/' ||
-         CASE entity_path WHEN '/click' THEN 'data/data_0.mcap' WHEN '/error' THEN 'video/cameras.mp4'
-           WHEN '/purchase' THEN 'video/left_eye.mp4' WHEN '/signup' THEN 'video/right_eye.mp4'
+         CASE entity_path WHEN 'click' THEN 'data/data_0.mcap' WHEN 'error' THEN 'video/cameras.mp4'
+           WHEN 'purchase' THEN 'video/left_eye.mp4' WHEN 'signup' THEN 'video/right_eye.mp4'
            ELSE 'video/cameras_first_frame.yaml' END AS path,
          k AS length FROM log)"""
 
@@ -62,10 +62,10 @@ FILES_SQL = """paths AS (
 def recorded_files(spark, sf):
     """A file listing: one entry per event, in folders by user and day."""
     name = (
-        F.when(F.col("entity_path") == "/click", "data/data_0.mcap")
-        .when(F.col("entity_path") == "/error", "video/cameras.mp4")
-        .when(F.col("entity_path") == "/purchase", "video/left_eye.mp4")
-        .when(F.col("entity_path") == "/signup", "video/right_eye.mp4")
+        F.when(F.col("entity_path") == "click", "data/data_0.mcap")
+        .when(F.col("entity_path") == "error", "video/cameras.mp4")
+        .when(F.col("entity_path") == "purchase", "video/left_eye.mp4")
+        .when(F.col("entity_path") == "signup", "video/right_eye.mp4")
         .otherwise("video/cameras_first_frame.yaml")
     )
     folder = F.concat(
@@ -177,13 +177,13 @@ HOUR_SQL = "ts_ns - ts_ns % 3600000000000"
     "wide_reader",
     f"""{LOG} SELECT bag_id, {HOUR_SQL} AS ts_ns, """
     + ", ".join(
-        f"arg_max(value, seq) FILTER (entity_path = '{p}') AS \"{c}\"" for p, c in {**TOPICS, "/view": "view"}.items()
+        f"arg_max(value, seq) FILTER (entity_path = '{p}') AS \"{c}\"" for p, c in {**TOPICS, "view": "view"}.items()
     )
     + " FROM log GROUP BY 1, 2",
 )
 def wide_reader_query(spark, sf):
     hourly = log(spark, sf).withColumn("ts_ns", F.expr(HOUR_SQL))
-    return select.wide_reader(hourly, {**TOPICS, "/view": "view"})
+    return select.wide_reader(hourly, {**TOPICS, "view": "view"})
 
 
 @query("project_columns", f"{LOG} SELECT bag_id, ts_ns, value FROM log")
@@ -194,11 +194,11 @@ def project_columns(spark, sf):
 @query(
     "filter_contents",
     f"""{LOG} SELECT bag_id, entity_path || '/frame' AS entity_path, seq FROM log
-        WHERE entity_path IN ('/view', '/purchase')""",
+        WHERE entity_path IN ('view', 'purchase')""",
 )
 def filter_contents_query(spark, sf):
     nested = log(spark, sf).withColumn("entity_path", F.concat("entity_path", F.lit("/frame")))
-    chosen = select.filter_contents(nested, ["/view/**", "/purchase/frame", "/sign"])
+    chosen = select.filter_contents(nested, ["view/**", "purchase/frame", "/sign"])
     return chosen.select("bag_id", "entity_path", "seq")
 
 
@@ -208,17 +208,17 @@ def filter_segments_query(spark, sf):
 
 
 SPEC = ExportSpec(
-    action=["/error:Scalars:scalars", "/click:Scalars:scalars"],
-    state=["/click:Scalars:scalars", "/signup:Scalars:scalars"],
-    task="/purchase:TextDocument:text",
-    cameras={"front": "/view"},
+    action=["error:Scalars:scalars", "click:Scalars:scalars"],
+    state=["click:Scalars:scalars", "signup:Scalars:scalars"],
+    task="purchase:TextDocument:text",
+    cameras={"front": "view"},
 )
 
 
 @query(
     "spec_paths",
-    f"""{LOG}, spec(entity_path, position) AS (VALUES ('/error', 0), ('/click', 1), ('/signup', 2), ('/purchase', 3), ('/view', 4))
-    SELECT entity_path, CAST(position AS BIGINT) AS position, entity_path = '/error' AS is_reference, count(*) AS n_rows
+    f"""{LOG}, spec(entity_path, position) AS (VALUES ('error', 0), ('click', 1), ('signup', 2), ('purchase', 3), ('view', 4))
+    SELECT entity_path, CAST(position AS BIGINT) AS position, entity_path = 'error' AS is_reference, count(*) AS n_rows
     FROM log JOIN spec USING (entity_path) GROUP BY ALL""",
 )
 def spec_paths_query(spark, sf):
@@ -226,11 +226,11 @@ def spec_paths_query(spark, sf):
 
 
 PATH_OF = {
-    "/click": "/joint_states/effort",
-    "/error": "/joint_states/position",
-    "/purchase": "/joint_states/velocity",
-    "/signup": "/info/eef_left",
-    "/view": "/video_stream/left_eye/current_frame",
+    "click": "/joint_states/effort",
+    "error": "/joint_states/position",
+    "purchase": "/joint_states/velocity",
+    "signup": "/info/eef_left",
+    "view": "/video_stream/left_eye/current_frame",
 }
 PATH_SQL = "CASE entity_path " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in PATH_OF.items()) + " END"
 TRAINING = {
@@ -264,14 +264,14 @@ PRESENCE_SQL = f"""presence AS (
       WHEN '/info/eef_left' THEN ['InstancePoses3D:translations', 'InstancePoses3D:quaternions', 'Scalars:scalars'][1 + k % 3]
       WHEN '/info/gripper_feedback_L' THEN ['std_msgs.msg.Float32MultiArray:message', 'Scalars:scalars', 'McapChannel:topic', 'Values:raw'][1 + k % 4]
       ELSE ['Scalars:scalars', 'McapMessage:data', 'Text:body'][1 + k % 3] END AS column_name
-  FROM (SELECT *, CASE entity_path WHEN '/click' THEN '/info/eef_left' WHEN '/error' THEN '/info/gripper_feedback_L'
-                  WHEN '/purchase' THEN '/joint_states/effort' ELSE '/info/eef_left' END AS path FROM log))"""
+  FROM (SELECT *, CASE entity_path WHEN 'click' THEN '/info/eef_left' WHEN 'error' THEN '/info/gripper_feedback_L'
+                  WHEN 'purchase' THEN '/joint_states/effort' ELSE '/info/eef_left' END AS path FROM log))"""
 
 
 def presence(spark, sf):
     path = (
-        F.when(F.col("entity_path") == "/error", "/info/gripper_feedback_L")
-        .when(F.col("entity_path") == "/purchase", "/joint_states/effort")
+        F.when(F.col("entity_path") == "error", "/info/gripper_feedback_L")
+        .when(F.col("entity_path") == "purchase", "/joint_states/effort")
         .otherwise("/info/eef_left")
     )
     def names(*items):
@@ -362,9 +362,9 @@ def all_null_topics_query(spark, sf):
 
 @query(
     "stream_length_mismatch",
-    f"""{LOG}, n AS (SELECT bag_id, count(*) FILTER (entity_path = '/click') AS a, count(*) FILTER (entity_path = '/error') AS b,
-        count(*) FILTER (entity_path = '/purchase') AS c, count(*) FILTER (entity_path = '/signup') AS d
-        FROM log WHERE entity_path <> '/view' GROUP BY 1)
+    f"""{LOG}, n AS (SELECT bag_id, count(*) FILTER (entity_path = 'click') AS a, count(*) FILTER (entity_path = 'error') AS b,
+        count(*) FILTER (entity_path = 'purchase') AS c, count(*) FILTER (entity_path = 'signup') AS d
+        FROM log WHERE entity_path <> 'view' GROUP BY 1)
     SELECT bag_id, least(a, b, c, d) AS shortest, greatest(a, b, c, d) AS longest FROM n WHERE least(a, b, c, d) <> greatest(a, b, c, d)""",
 )
 def stream_length_mismatch_query(spark, sf):
@@ -421,13 +421,13 @@ def last_segment_query(spark, sf):
 
 @query(
     "set_difference",
-    f"""{LOG} SELECT DISTINCT bag_id, ts_ns // {DAY_NS} AS day FROM log WHERE entity_path = '/click'
-        EXCEPT SELECT bag_id, ts_ns // {DAY_NS} FROM log WHERE entity_path = '/view'""",
+    f"""{LOG} SELECT DISTINCT bag_id, ts_ns // {DAY_NS} AS day FROM log WHERE entity_path = 'click'
+        EXCEPT SELECT bag_id, ts_ns // {DAY_NS} FROM log WHERE entity_path = 'view'""",
 )
 def set_difference_query(spark, sf):
     days = log(spark, sf).withColumn("day", F.expr(f"ts_ns DIV {DAY_NS}"))
-    clicks = days.where(F.col("entity_path") == "/click").select("bag_id", "day")
-    views = days.where(F.col("entity_path") == "/view").select("bag_id", "day")
+    clicks = days.where(F.col("entity_path") == "click").select("bag_id", "day")
+    views = days.where(F.col("entity_path") == "view").select("bag_id", "day")
     return quality.set_difference(clicks, views)
 
 
@@ -544,7 +544,7 @@ def flatten_numeric_query(spark, sf):
 
 @query(
     "video_shape",
-    f"""{LOG}, f AS (SELECT bag_id, {CAMERA_SQL} AS camera, ts_ns, seq, k FROM log WHERE entity_path <> '/view')
+    f"""{LOG}, f AS (SELECT bag_id, {CAMERA_SQL} AS camera, ts_ns, seq, k FROM log WHERE entity_path <> 'view')
     SELECT bag_id, camera, arg_min(480 + k, (ts_ns, seq)) FILTER (k % 4 <> 0) AS height, arg_min(640 + k, (ts_ns, seq)) FILTER (k % 4 <> 0) AS width,
       CAST(arg_min(3, (ts_ns, seq)) FILTER (k % 4 <> 0) AS BIGINT) AS channels
     FROM f GROUP BY 1, 2""",

@@ -10,13 +10,13 @@ from robolog.operators.select import complete_rows
 from robolog.plans.align import align_bags
 from robolog.plans.dataset import episode_frames
 from workload.log_scans import CAMERA_OF, CAMERA_SQL, DAY_NS, HOUR_SQL, camera_frames
-from workload.registry import LOG, TOPICS, log, micros, query
+from workload.registry import LOG, TOPICS, log, query
 
 # A small cell size, so that the split plans run over the whole table as well.
 SMALL_CELL = 24
 
 
-def asof_sql(value: str = "value", clock: str = "/view", topics=TOPICS, source: str = "log") -> str:
+def asof_sql(value: str = "value", clock: str = "view", topics=TOPICS, source: str = "log") -> str:
     """Latest-at as one ASOF join per topic."""
     joins = " ".join(
         f"""ASOF LEFT JOIN (SELECT bag_id, ts_ns, {value} AS v FROM {source} WHERE entity_path = '{path}') t{i}
@@ -30,14 +30,14 @@ def asof_sql(value: str = "value", clock: str = "/view", topics=TOPICS, source:
 
 @query("asof_align", f"{LOG} {asof_sql()}")
 def asof_align(spark, sf):
-    return align.asof_align_log(log(spark, sf), "/view", TOPICS)
+    return align.asof_align_log(log(spark, sf), "view", TOPICS)
 
 
 @query("asof_align_split", f"{LOG} {asof_sql()}")
 def asof_align_split(spark, sf):
     """The same result when recordings are cut into cells."""
     rows = log(spark, sf)
-    clock = rows.where(F.col("entity_path") == "/view").select("bag_id", "ts_ns", "seq")
+    clock = rows.where(F.col("entity_path") == "view").select("bag_id", "ts_ns", "seq")
     return align.asof_align(clock, rows, TOPICS, target_rows=SMALL_CELL)
 
 
@@ -73,16 +73,16 @@ def dedup_last(spark, sf):
 
 def exact_fill(spark, sf, **options):
     rows = hourly(spark, sf).withColumn("ts_ns", F.expr(f"ts_ns - ts_ns % {DAY_NS}"))
-    expected = rows.where("entity_path IN ('/view', '/click')").select("bag_id", "ts_ns").distinct()
-    purchases = rows.where("entity_path = '/purchase'")
+    expected = rows.where("entity_path IN ('view', 'click')").select("bag_id", "ts_ns").distinct()
+    purchases = rows.where("entity_path = 'purchase'")
     return align.align_exact_fill(expected, purchases, ["value", "k"], **options)
 
 
 FILL_SQL = f"""{LOG}, {HOURLY},
   d AS (SELECT bag_id, entity_path, ts_ns - ts_ns % {DAY_NS} AS ts_ns, seq, value, k FROM hourly),
-  e AS (SELECT DISTINCT bag_id, ts_ns FROM d WHERE entity_path IN ('/view', '/click')),
+  e AS (SELECT DISTINCT bag_id, ts_ns FROM d WHERE entity_path IN ('view', 'click')),
   u AS (SELECT bag_id, ts_ns, arg_max(value, seq) FILTER (value IS NOT NULL) AS value, arg_max(k, seq) AS k
-        FROM d WHERE entity_path = '/purchase' GROUP BY 1, 2),
+        FROM d WHERE entity_path = 'purchase' GROUP BY 1, 2),
   j AS (SELECT e.bag_id, e.ts_ns, value, k FROM e LEFT JOIN u ON e.bag_id = u.bag_id AND e.ts_ns = u.ts_ns)
   SELECT bag_id, ts_ns,
     coalesce(last_value(value IGNORE NULLS) OVER b, first_value(value IGNORE NULLS) OVER f) AS value,
@@ -189,9 +189,9 @@ def time_grid(spark, sf):
 
 @query(
     "grid_resample",
-    f"""{LOG}, {GRID_SQL}, ticks AS (SELECT bag_id, '/grid' AS entity_path, ts_ns, grid_no AS seq, NULL::DOUBLE AS value FROM grid
+    f"""{LOG}, {GRID_SQL}, ticks AS (SELECT bag_id, 'grid' AS entity_path, ts_ns, grid_no AS seq, NULL::DOUBLE AS value FROM grid
         UNION ALL SELECT bag_id, entity_path, ts_ns, seq, value FROM log),
-      a AS ({asof_sql(clock='/grid', source='ticks')})
+      a AS ({asof_sql(clock='grid', source='ticks')})
       SELECT bag_id, seq AS grid_no, ts_ns, click, error, purchase, signup FROM a""",
 )
 def grid_resample(spark, sf):
@@ -212,14 +212,14 @@ def camera_zip(spark, sf):
 
 @query(
     "frame_lookup",
-    f"""{LOG}, c AS ({asof_sql(value='props', topics={'/click': 'sample'})}),
-      f AS (SELECT bag_id, arg_min(props, (ts_ns, seq)) AS first FROM log WHERE entity_path = '/click' GROUP BY 1)
+    f"""{LOG}, c AS ({asof_sql(value='props', topics={'click': 'sample'})}),
+      f AS (SELECT bag_id, arg_min(props, (ts_ns, seq)) AS first FROM log WHERE entity_path = 'click' GROUP BY 1)
     SELECT c.bag_id, c.ts_ns, c.seq, coalesce(c.sample, f.first) AS sample FROM c LEFT JOIN f ON c.bag_id = f.bag_id""",
 )
 def frame_lookup(spark, sf):
     rows = log(spark, sf)
-    clock = rows.where("entity_path = '/view'").select("bag_id", "ts_ns", "seq")
-    samples = rows.where("entity_path = '/click'").select("bag_id", "ts_ns", "seq", F.col("props").alias("sample"))
+    clock = rows.where("entity_path = 'view'").select("bag_id", "ts_ns", "seq")
+    samples = rows.where("entity_path = 'click'").select("bag_id", "ts_ns", "seq", F.col("props").alias("sample"))
     return align.frame_lookup(clock, samples)
 
 
@@ -310,7 +310,7 @@ EPISODE_ROWS = f"""a AS ({asof_sql(value='[CAST(value AS FLOAT), CAST(k AS FLOAT
 def episode_rows(spark, sf):
     """Aligned rows per recording, with task text on the clock rows."""
     rows = log(spark, sf)
-    clock = rows.where("entity_path = '/view'").select(
+    clock = rows.where("entity_path = 'view'").select(
         "bag_id", "ts_ns", "seq",
         F.when(F.col("k") % 9 != 0, F.concat(F.lit("task "), (F.col("k") % 4).cast("string"))).alias("text"),
     )
@@ -355,14 +355,14 @@ def episode_frames_split(spark, sf):
 
 @query(
     "episode_index",
-    f"""{LOG}, n AS (SELECT 'bag-' || bag_id AS segment_id, count(*) FILTER (k > 95 AND entity_path = '/view') AS n_rows FROM log GROUP BY 1)
+    f"""{LOG}, n AS (SELECT 'bag-' || bag_id AS segment_id, count(*) FILTER (k > 95 AND entity_path = 'view') AS n_rows FROM log GROUP BY 1)
     SELECT segment_id, n_rows, row_number() OVER (ORDER BY segment_id) - 1 AS episode_index FROM n WHERE n_rows > 0""",
 )
 def episode_index(spark, sf):
     """Segments without rows get no number."""
     rows = log(spark, sf)
     counts = rows.groupBy(F.concat(F.lit("bag-"), F.col("bag_id").cast("string")).alias("segment_id")).agg(
-        F.count_if((F.col("k") > 95) & (F.col("entity_path") == "/view")).alias("n_rows")
+        F.count_if((F.col("k") > 95) & (F.col("entity_path") == "view")).alias("n_rows")
     )
     return episodes.episode_index(counts)
 
@@ -396,7 +396,7 @@ def chunk_assignment(spark, sf):
     return episodes.file_assignment(sizes, target_mb=1.0, files_per_chunk=5)
 
 
-ALIGN_TARGETS = {"/signup": 3, "/click": 1}
+ALIGN_TARGETS = {"signup": 3, "click": 1}
 
 
 @query(
@@ -411,7 +411,7 @@ ALIGN_TARGETS = {"/signup": 3, "/click": 1}
 )
 def align_bags_query(spark, sf):
     rows = log(spark, sf)
-    clock = rows.where("entity_path = '/view'").select("bag_id", "ts_ns", "seq")
+    clock = rows.where("entity_path = 'view'").select("bag_id", "ts_ns", "seq")
     vectors = rows.select(
         "bag_id", "entity_path", "ts_ns", "seq",
         F.array(F.col("value"), F.col("k").cast("double")).alias("values"),

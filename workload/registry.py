@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from robolog.functions.times import normalize_time
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -23,17 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def micros(column: str = "ts"):
-    return F.unix_micros(F.col(column).cast("timestamp"))
-
-
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a message log: recording, path, time, sequence, payload."""
     events = table(spark, sf_dir, "events")
     return events.select(
         F.col("user_id").alias("bag_id"),
-        F.concat(F.lit("/"), F.col("event_type")).alias("entity_path"),
-        (micros() * F.lit(1000).cast("bigint")).alias("ts_ns"),
+        F.col("event_type").alias("entity_path"),
+        normalize_time(F.col("ts"), events.schema["ts"].dataType).alias("ts_ns"),
         F.col("event_id").alias("seq"),
         "value",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
@@ -44,8 +42,8 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The same relation for DuckDB; further CTEs may follow.
 LOG = """WITH log AS (
-  SELECT user_id AS bag_id, '/' || event_type AS entity_path, epoch_us(ts) * 1000 AS ts_ns,
+  SELECT user_id AS bag_id, event_type AS entity_path, epoch_us(ts) * 1000 AS ts_ns,
          event_id AS seq, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, props, ts
   FROM events)"""
 
-TOPICS = {"/click": "click", "/error": "error", "/purchase": "purchase", "/signup": "signup"}
+TOPICS = {"click": "click", "error": "error", "purchase": "purchase", "signup": "signup"}
