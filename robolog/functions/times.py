@@ -44,12 +44,15 @@ def frame_time(anchor_ns: Column, pts: Column, num: Column, den: Column) -> Colu
     return anchor_ns + F.call_function("div", ticks, den.cast("decimal(10,0)")).cast("bigint")
 
 
+# How the anchor stands in its file: in an indented block or in braces.
+ANCHOR_BLOCK = r"(?m)^first_frame_time[ \t]*:[ \t]*(?:#.*)?\r?\n(?:[ \t]+.*\r?\n|\r?\n)*?[ \t]+epoch_ns[ \t]*:[ \t]*['\"]?(-?\d+)"
+ANCHOR_BRACES = r"(?m)^first_frame_time[ \t]*:[ \t]*\{[^}]*?\bepoch_ns['\"]?[ \t]*:[ \t]*['\"]?(-?\d+)"
+
+
 def anchor_from_text(text: Column) -> Column:
     """``epoch_ns`` below ``first_frame_time`` in a clock-anchor file; null when missing."""
-    found = F.regexp_extract(
-        text, r"first_frame_time\s*:[^\S\n]*(?:\{|\n\s+)[^}]*?\bepoch_ns\s*:\s*['\"]?(\d+)", 1
-    )
-    return found.try_cast("bigint")
+    found = [F.regexp_extract(text, p, 1).try_cast("bigint") for p in (ANCHOR_BLOCK, ANCHOR_BRACES)]
+    return F.coalesce(*found)
 
 
 def bag_timestamp(name: Column, prefix: str = "my_bag-") -> Column:

@@ -64,7 +64,7 @@ def concat_packets(
     whatever the length of the stream. A packet belongs to the part it starts in, so a part
     is at most one packet longer than the limit.
     """
-    sized = df.where(F.col(packet).isNotNull()).withColumn(
+    sized = df.where(F.octet_length(packet) > 0).withColumn(
         "_size", F.octet_length(packet).cast("bigint")
     )
     placed = scan(sized, [stream], order, layout, target_rows, _upto=running_sum("_size"))

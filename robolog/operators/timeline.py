@@ -204,33 +204,43 @@ def output_instants(fps: float, until: float) -> list[tuple[float, int, float, i
 
 def _due(seconds: Column, runs: list[tuple[float, int, float, int]]) -> Column:
     """How many output instants are at or before ``seconds``."""
-    due = F.lit(0).cast("bigint")
-    for start, number, distance, count in runs:
+    due = None
+    for start, number, distance, count in reversed(runs):
         if count == 1:
             here = F.lit(number + 1).cast("bigint")
         else:
             steps = F.floor((seconds - F.lit(start)) / F.lit(distance)).cast("bigint")
             here = F.least(steps, F.lit(count - 1)) + F.lit(number + 1)
-        due = F.when(seconds >= F.lit(start), here).otherwise(due)
-    return due
+        reached = seconds >= F.lit(start)
+        due = F.when(reached, here) if due is None else due.when(reached, here)
+    return due.otherwise(F.lit(0).cast("bigint"))
 
 
-def keep_frame(
-    frame_no: Column, source_fps: float, target_fps: float, max_seconds: float
-) -> Column:
-    """Whether a frame is kept when a stream is thinned to the target rate.
+def keep_frames(
+    df: DataFrame, frame_no: str, source_fps: float, target_fps: float, max_seconds: float
+) -> DataFrame:
+    """Rows whose frame is kept when a stream is thinned to the target rate.
 
     Frame i is kept when its time i / source reaches the next output instant. The rule is
     a function of the frame number alone, so it needs no state and no order.
     """
-    source = source_fps if source_fps and source_fps > 0 else DEFAULT_SOURCE_FPS
     if target_fps <= 0:
         raise ValueError(f"target fps must be positive, got {target_fps}")
+    source = source_fps if source_fps and source_fps > 0 else DEFAULT_SOURCE_FPS
     runs = output_instants(min(target_fps, source), max_seconds)
-    slack = F.lit(1e-9)
-    here = frame_no.cast("double") / F.lit(float(source)) + slack
-    before = (frame_no - 1).cast("double") / F.lit(float(source)) + slack
-    return (frame_no == 0) | (_due(here, runs) > _due(before, runs))
+    frame = F.col(frame_no)
+    within = F.when(frame <= int(max_seconds * source) - 1, frame.cast("double"))
+    problem = F.raise_error(F.lit("stream is longer than max_seconds")).cast("double")
+    timed = (
+        df.withColumn("_frame", F.coalesce(within, problem))
+        .withColumn("_here", F.col("_frame") / F.lit(float(source)) + F.lit(1e-9))
+        .withColumn("_before", (F.col("_frame") - 1) / F.lit(float(source)) + F.lit(1e-9))
+    )
+    due = timed.withColumn("_due", _due(F.col("_here"), runs)).withColumn(
+        "_due_before", _due(F.col("_before"), runs)
+    )
+    kept = due.where((frame == 0) | (F.col("_due") > F.col("_due_before")))
+    return kept.select(*df.columns)
 
 
 def downsample_fps(
@@ -251,10 +261,4 @@ def downsample_fps(
     """
     numbered = scan(frames, list(keys), order, layout, target_rows, _rn=row_number())
     numbered = numbered.withColumn("frame_no", F.col("_rn") - 1).drop("_rn")
-    source = source_fps if source_fps and source_fps > 0 else DEFAULT_SOURCE_FPS
-    limit = int(max_seconds * source) - 1
-    checked = F.when(F.col("frame_no") <= limit, keep_frame(F.col("frame_no"), source, target_fps, max_seconds))
-    keep = F.coalesce(
-        checked, F.raise_error(F.lit("stream is longer than max_seconds")).cast("boolean")
-    )
-    return numbered.where(keep)
+    return keep_frames(numbered, "frame_no", source_fps, target_fps, max_seconds)
