@@ -40,6 +40,7 @@ class Layout:
     order: tuple[str, ...]
     n_keys: int = 0
     n_rows: int = 0
+    max_rows: int = 0
     n_cells: int = 0
     levels: tuple[Level, ...] = ()
 
@@ -128,7 +129,9 @@ def measure(
     target = target_rows or TARGET_ROWS
     keys, order = tuple(keys), tuple(order)
     total = total or key_counts(df, keys)
-    base = dict(keys=keys, order=order, n_keys=total.n_keys, n_rows=total.n_rows)
+    base = dict(
+        keys=keys, order=order, n_keys=total.n_keys, n_rows=total.n_rows, max_rows=total.fullest
+    )
     if total.fullest <= target:
         return Layout(**base)
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+from pyspark.sql import DataFrame, functions as F
 
 from robolog.contracts import DEFAULT_SOURCE_FPS, DEFAULT_TARGET_FPS, FPS_TOLERANCE, NS
 from robolog.operators.align import asof_align
 from robolog.operators.joins import side_join
-from robolog.operators.layout import TARGET_ROWS, Layout, key_counts
+from robolog.operators.layout import TARGET_ROWS, Layout, key_counts, measure
 from robolog.operators.scan import lag, row_number, running_sum, scan
 from robolog.session import materialize
 
@@ -202,18 +203,45 @@ def output_instants(fps: float, until: float) -> list[tuple[float, int, float, i
     return runs
 
 
-def _due(seconds: Column, runs: list[tuple[float, int, float, int]]) -> Column:
-    """How many output instants are at or before ``seconds``."""
-    due = None
-    for start, number, distance, count in reversed(runs):
+# Frames tried on the driver when the rule is planned, a few megabytes of doubles.
+PROBED_FRAMES = 400_000
+
+
+def _plain_runs(runs: list[tuple[float, int, float, int]], source: float, step: float) -> int:
+    """How many leading runs can be replaced by floor(seconds / step).
+
+    Rounding moves the instants only slowly away from multiples of the step. The first
+    frames are tried one by one, and the plain formula covers the runs that end before the
+    first frame on which the two differ.
+    """
+    seconds = np.arange(PROBED_FRAMES) / source + 1e-9
+    added = np.cumsum(np.full(int(seconds[-1] / step) + 2, step))
+    instants = np.concatenate([[0.0], added])
+    due = np.searchsorted(instants, seconds, side="right")
+    differ = np.flatnonzero(due != np.floor(seconds / step) + 1)
+    same_until = seconds[differ[0]] if len(differ) else seconds[-1]
+    if not len(differ) and _last(runs) <= same_until:
+        return len(runs)
+    starts = [start for start, *_ in runs]
+    return max(0, int(np.searchsorted(starts, same_until, side="right")) - 1)
+
+
+def _last(runs: list[tuple[float, int, float, int]]) -> float:
+    start, _, distance, count = runs[-1]
+    return start if count == 1 else start + distance * (count - 1)
+
+
+def _due(seconds: str, runs: list[tuple[float, int, float, int]], plain: int, step: float) -> str:
+    """SQL for how many output instants are at or before ``seconds``."""
+    branches = []
+    for start, number, distance, count in reversed(runs[plain:]):
         if count == 1:
-            here = F.lit(number + 1).cast("bigint")
+            here = f"{number + 1}L"
         else:
-            steps = F.floor((seconds - F.lit(start)) / F.lit(distance)).cast("bigint")
-            here = F.least(steps, F.lit(count - 1)) + F.lit(number + 1)
-        reached = seconds >= F.lit(start)
-        due = F.when(reached, here) if due is None else due.when(reached, here)
-    return due.otherwise(F.lit(0).cast("bigint"))
+            here = f"least(floor(({seconds} - {start!r}D) / {distance!r}D), {count - 1}L) + {number + 1}L"
+        branches.append(f"WHEN {seconds} >= {start!r}D THEN {here}")
+    first = f"floor({seconds} / {step!r}D) + 1L" if plain else "0L"
+    return f"CASE {' '.join(branches)} ELSE {first} END" if branches else f"({first})"
 
 
 def keep_frames(
@@ -226,21 +254,18 @@ def keep_frames(
     """
     if target_fps <= 0:
         raise ValueError(f"target fps must be positive, got {target_fps}")
-    source = source_fps if source_fps and source_fps > 0 else DEFAULT_SOURCE_FPS
-    runs = output_instants(min(target_fps, source), max_seconds)
-    frame = F.col(frame_no)
-    within = F.when(frame <= int(max_seconds * source) - 1, frame.cast("double"))
-    problem = F.raise_error(F.lit("stream is longer than max_seconds")).cast("double")
-    timed = (
-        df.withColumn("_frame", F.coalesce(within, problem))
-        .withColumn("_here", F.col("_frame") / F.lit(float(source)) + F.lit(1e-9))
-        .withColumn("_before", (F.col("_frame") - 1) / F.lit(float(source)) + F.lit(1e-9))
-    )
-    due = timed.withColumn("_due", _due(F.col("_here"), runs)).withColumn(
-        "_due_before", _due(F.col("_before"), runs)
-    )
-    kept = due.where((frame == 0) | (F.col("_due") > F.col("_due_before")))
-    return kept.select(*df.columns)
+    source = float(source_fps if source_fps and source_fps > 0 else DEFAULT_SOURCE_FPS)
+    output = min(float(target_fps), source)
+    runs = output_instants(output, max_seconds)
+    plain = _plain_runs(runs, source, 1.0 / output)
+
+    def due(frame: str) -> str:
+        return _due(f"(CAST({frame} AS DOUBLE) / {source!r}D + 1e-9D)", runs, plain, 1.0 / output)
+
+    due_here = F.expr(f"`{frame_no}` = 0 OR {due(f'`{frame_no}`')} > {due(f'(`{frame_no}` - 1)')}")
+    planned = F.col(frame_no) <= int(max_seconds * source) - 1
+    problem = F.raise_error(F.lit("stream is longer than max_seconds")).cast("boolean")
+    return df.where(F.when(planned, due_here).otherwise(problem))
 
 
 def downsample_fps(
@@ -250,15 +275,18 @@ def downsample_fps(
     *,
     keys: Sequence[str] = ("bag_id",),
     order: Sequence[str] = ("ts_ns", "seq"),
-    max_seconds: float = 1e7,
     layout: Layout | None = None,
     target_rows: int | None = None,
 ) -> DataFrame:
     """Number the frames of each stream from 0 and keep those the target rate asks for.
 
-    ``max_seconds`` is the longest stream to plan for (the default is 115 days); a longer
-    one fails instead of giving a wrong choice.
+    The rule is planned for the longest stream the layout has counted.
     """
-    numbered = scan(frames, list(keys), order, layout, target_rows, _rn=row_number())
+    keys = list(keys)
+    if layout is None:
+        layout = measure(frames, keys, order, target_rows)
+    source = source_fps if source_fps and source_fps > 0 else DEFAULT_SOURCE_FPS
+    longest = (layout.max_rows + 1) / source
+    numbered = scan(frames, keys, order, layout, _rn=row_number())
     numbered = numbered.withColumn("frame_no", F.col("_rn") - 1).drop("_rn")
-    return keep_frames(numbered, "frame_no", source_fps, target_fps, max_seconds)
+    return keep_frames(numbered, "frame_no", source_fps, target_fps, longest)
