@@ -62,10 +62,9 @@ def earliest_bag(bags: DataFrame, stamp: str = "bag_ts") -> DataFrame:
 def read_anchors(spark: SparkSession, root: str) -> DataFrame:
     """Clock anchors of all recordings below ``root``; a file without one fails the query."""
     texts = (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
+        spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", ANCHOR_FILE.split("/")[-1])
-        .text(root)
+        .text(root, wholetext=True)
         .select("value", F.col("_metadata.file_path").alias("path"))
     )
     return clock_anchor(in_bags(texts), text="value", strict=True)

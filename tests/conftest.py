@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__checkpoint__dir="file://" + str(tmp_path_factory.mktemp("shared")),
         spark__driver__memory="4g",
+        spark__sql__maxMetadataStringLength="10000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
