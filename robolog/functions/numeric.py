@@ -11,7 +11,9 @@ NUMBER_PATTERN = r"[-+]?\d*\.?\d+(?:[eE][-+]?\d+)?"
 def extract_numbers(text: Column) -> Column:
     """All numbers in a string, in order; null text has none."""
     tokens = F.regexp_extract_all(text, F.lit(f"({NUMBER_PATTERN})"), F.lit(1))
-    return F.coalesce(F.transform(tokens, lambda t: t.cast("double")), _no_numbers())
+    # Text without a digit, the common case, is only looked at once.
+    some = F.when(text.rlike("[0-9]"), F.transform(tokens, lambda t: t.cast("double")))
+    return F.coalesce(some, _no_numbers())
 
 
 def _no_numbers() -> Column:
@@ -60,7 +62,9 @@ def flatten_lists(value: Column, dtype: T.DataType) -> Column:
 def flatten_json(text: Column, schema: str) -> Column:
     """Numbers of a JSON payload with a known schema."""
     dtype = T.StructType.fromDDL(schema)
-    return flatten_numeric(F.from_json(text, dtype), dtype)
+    # The lambda gives the parsed value a name, so the text is parsed once per row.
+    flat = F.transform(F.array(F.from_json(text, dtype)), lambda v: flatten_numeric(v, dtype))
+    return F.get(flat, F.lit(0))
 
 
 def pad_vector(values: Column, width: int | Column) -> Column:

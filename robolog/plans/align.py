@@ -14,7 +14,7 @@ from robolog.operators.images import carry_forward, image_codec, with_media_type
 from robolog.operators.joins import side_join
 from robolog.operators.joints import joint_pose, unpivot_joints
 from robolog.operators.layout import BLOB_ROWS
-from robolog.session import materialize
+from robolog.session import materialize, write_once
 
 
 @dataclass(frozen=True)
@@ -37,7 +37,7 @@ def align_bags(
     seq: str = "seq",
     value: str = "values",
     missing: str = "zero",
-    stage: str | None = None,
+    stage: bool = False,
     target_rows: int | None = None,
 ) -> AlignedBags:
     """Every topic on the camera clock as a float32 vector of constant width per recording.
@@ -46,8 +46,8 @@ def align_bags(
     a topic's first message get zeros (``missing='zero'``) or are left out (``'drop'``). A
     recording where some topic never has a value is rejected. All recordings go through one
     job; the per-recording profile (widths, counts) is the only extra table. The aligned
-    rows are needed for the profile and for the result: with ``stage`` they are written to
-    that folder once and read twice, else the join runs twice.
+    rows are needed for the profile and for the result: with ``stage`` they are written
+    once to the shared folder and read twice, else the join runs twice.
     """
     if missing not in ("zero", "drop"):
         raise ValueError(f"unknown missing policy {missing}")
@@ -57,8 +57,7 @@ def align_bags(
         target_rows=target_rows,
     )
     if stage:
-        aligned.write.mode("overwrite").parquet(stage)
-        aligned = clock.sparkSession.read.schema(aligned.schema).parquet(stage)
+        aligned = write_once(aligned)
     columns = list(topics.values())
     profile = materialize(
         aligned.groupBy(bag).agg(

@@ -24,7 +24,7 @@ from robolog.operators.joins import side_join
 from robolog.operators.layout import measure, totals
 from robolog.operators.quality import require, run_report
 from robolog.plans.align import align_bags
-from robolog.session import scratch_path
+from robolog.session import write_once
 from robolog.sinks.publish import read_dataset, write_dataset, write_meta
 from robolog.sources.catalog import read_anchors
 from robolog.sources.log import read_frames, read_messages
@@ -52,12 +52,14 @@ def episode_frames(
     task: str | None = None,
     task_default: str = DEFAULT_TASK,
     task_override: str | None = None,
+    stage: bool = False,
     target_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Episode rows with counters, vectors and tasks: (frames, episodes, tasks).
 
     Rows with a missing action or state part are left out before anything is numbered, so
-    an episode without usable rows gets no number.
+    an episode without usable rows gets no number. The rows are read for the counts, the
+    tasks and the frames; ``stage`` writes them once first, for inputs dearer than a scan.
     """
     complete = rows.dropna(subset=[*action, *state])
     source = F.col(task) if task else F.lit(None).cast("string")
@@ -70,6 +72,8 @@ def episode_frames(
         concat_vectors(*[F.col(c) for c in action]).alias("action"),
         concat_vectors(*[F.col(c) for c in state]).alias("observation_state"),
     )
+    if stage:
+        named = write_once(named)
     episodes = episode_table(named, segment=segment, ts=ts)
     layout = measure(named, [segment], [ts, seq], target_rows, totals(episodes, "length"))
     numbered = number_frames(named, episodes, segment=segment, ts=ts, seq=seq, layout=layout)
@@ -167,8 +171,7 @@ def run_full(
         "bag_id", "entity_path", F.col("log_time_ns").alias("ts_ns"), "seq", "values"
     )
     widths = STATE_WIDTHS[mode]
-    stage = scratch_path(spark, "aligned")
-    aligned = align_bags(clock, messages, topics, widths, stage=stage)
+    aligned = align_bags(clock, messages, topics, widths, stage=True)
     require(run_report(aligned.status), strict)
     action = [topics[p] for p in topics if p not in widths]
     state = [topics[p] for p in topics if p in widths]

@@ -50,3 +50,15 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write a small intermediate once to the shared folder and cut its lineage."""
     scratch_root(df.sparkSession)
     return df.checkpoint()
+
+
+def write_once(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write a large intermediate as Parquet below the shared folder and read it back.
+
+    For rows several later steps read: what is behind them runs once, and a lost executor
+    costs a re-read instead of the whole lineage.
+    """
+    spark = df.sparkSession
+    path = path or scratch_path(spark, "stage")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

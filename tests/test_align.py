@@ -186,14 +186,14 @@ def test_relative_time_is_float32(spark):
 VALUES = "bag_id string, entity_path string, ts_ns bigint, seq bigint, values array<double>"
 
 
-def test_align_bags_pads_and_rejects(spark, tmp_path):
+def test_align_bags_pads_and_rejects(spark):
     clock = spark.createDataFrame([("a", 1, 0), ("a", 5, 1), ("b", 5, 2)], CLOCK)
     log = spark.createDataFrame(
         [("a", "/g", 4, 1, [1.0, 2.0, 3.0, 4.0, 5.0]), ("a", "/e", 0, 2, [1.0] * 8), ("b", "/e", 1, 3, [2.0])],
         VALUES,
     )
     topics, targets = {"/g": "g", "/e": "e"}, {"/g": 6, "/e": 7}
-    for stage in (None, str(tmp_path / "stage")):
+    for stage in (False, True):
         out = align_bags(clock, log, topics, targets, stage=stage)
         frames = out.frames.orderBy("seq").collect()
         assert [r.g for r in frames] == [[0.0] * 6, [1, 2, 3, 4, 5, 0]]

@@ -590,13 +590,15 @@ def inner_crop_query(spark, sf):
 
 @query(
     "publish_roundtrip",
-    f"""{LOG} SELECT bag_id, count(*) AS n_rows, CAST(sum(seq) AS BIGINT) AS seq_sum,
-        CAST(sum(CASE WHEN bag_id % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS version_sum FROM log GROUP BY bag_id""",
+    f"""{LOG} SELECT ts_ns // {DAY_NS} AS bag_id, count(*) AS n_rows, CAST(sum(seq) AS BIGINT) AS seq_sum,
+        CAST(sum(CASE WHEN ts_ns // {DAY_NS} % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS version_sum FROM log GROUP BY 1""",
 )
 def publish_roundtrip(spark, sf):
-    """Write every recording, then replace some of them, then read the folder back."""
+    """Write a folder per recording (a day), replace some of them, read all back."""
     path = scratch_path(spark, "messages")
-    rows = log(spark, sf).select("bag_id", "entity_path", "ts_ns", "seq", "value")
+    rows = log(spark, sf).select(
+        F.expr(f"ts_ns DIV {DAY_NS}").alias("bag_id"), "entity_path", "ts_ns", "seq", "value"
+    )
     write_by_bag(rows.withColumn("version", F.lit(1)), path, mode="errorifexists")
     again = rows.where(F.col("bag_id") % 3 == 0).withColumn("version", F.lit(2))
     write_by_bag(again, path)

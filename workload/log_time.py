@@ -334,7 +334,7 @@ FRAMES_SQL = f"""{LOG}, {EPISODE_ROWS}
 
 def frames_with(spark, sf, **options):
     frames, _, _ = episode_frames(
-        episode_rows(spark, sf), ["click", "error"], ["purchase", "signup"], task="text", **options
+        episode_rows(spark, sf), ["click", "error"], ["purchase", "signup"], task="text", stage=True, **options
     )
     return frames.select(
         "segment_id", "episode_index", "frame_index", "index", "timestamp", "task", "task_index",
@@ -374,7 +374,7 @@ def episode_index(spark, sf):
 )
 def episode_metadata(spark, sf):
     frames, table, _ = episode_frames(
-        episode_rows(spark, sf), ["click", "error"], ["purchase", "signup"], task="text"
+        episode_rows(spark, sf), ["click", "error"], ["purchase", "signup"], task="text", stage=True
     )
     tasks = episodes.episode_tasks(frames, order=("frame_index",))
     n_tasks = tasks.groupBy("segment_id").agg(F.count(F.lit(1)).alias("n_tasks"))
@@ -416,7 +416,7 @@ def align_bags_query(spark, sf):
         "bag_id", "entity_path", "ts_ns", "seq",
         F.array(F.col("value"), F.col("k").cast("double")).alias("values"),
     )
-    frames = align_bags(clock, vectors, TOPICS, ALIGN_TARGETS).frames
+    frames = align_bags(clock, vectors, TOPICS, ALIGN_TARGETS, stage=True).frames
     numbers = [(c, i) for c in TOPICS.values() for i in range(2)] + [("signup", 2)]
     return frames.select(
         "bag_id", "ts_ns", "seq", *[F.get(c, F.lit(i)).cast("double").alias(f"{c}{i}") for c, i in numbers]
