@@ -21,9 +21,11 @@ from robolog.session import materialize
 TARGET_ROWS = 2_000_000
 # For rows that carry an encoded frame: at 20 kB a packet this is 1 GB per task.
 BLOB_ROWS = 50_000
-CELL = "_cell"
 HOT = "_hot"
-MAX_LEVELS = 12
+# Cells per cut for each ``target_rows`` rows in the cell. Rows are rarely even in time;
+# a wide cut reaches bursts in few rounds and costs one summary row per used cell.
+FAN_OUT = 256
+MAX_LEVELS = 16
 
 
 @dataclass(frozen=True)
@@ -48,28 +50,32 @@ class Layout:
     def split(self) -> bool:
         return bool(self.levels)
 
-    def tag(self, df: DataFrame) -> DataFrame:
-        """Add the ordered cell id (an array, one entry per level) and the hot flag."""
-        out = df.withColumn(CELL, F.array().cast("array<bigint>"))
-        for level in self.levels:
-            out = _descend(out, level, self.keys, self.order)
-        return out.withColumn(HOT, F.size(CELL) > 0)
-
+    @property
+    def cells(self) -> list[str]:
+        """The columns that name a cell; their order is the order of the rows."""
+        return [f"_c{depth}" for depth in range(len(self.levels))]
 
-def _descend(df: DataFrame, level: Level, keys, order) -> DataFrame:
-    """Extend the cell id of rows whose cell this level cuts."""
-    joined = side_join(
-        df, level.table, [*keys, CELL], "left", rows=level.rows, null_safe=True
-    )
-    # Exact integer division: a double quotient loses ns beyond 2**53.
-    picked = F.expr(
-        "CASE _by "
-        + " ".join(f"WHEN {i} THEN (CAST(`{c}` AS BIGINT) - _lo) DIV _width" for i, c in enumerate(order))
-        + " END"
-    )
-    step = F.when(F.col("_width").isNotNull(), F.array(F.coalesce(picked, F.lit(-1))))
-    cell = F.when(step.isNull(), F.col(CELL)).otherwise(F.concat(F.col(CELL), step))
-    return joined.withColumn(CELL, cell).drop("_by", "_lo", "_width")
+    def tag(self, df: DataFrame) -> DataFrame:
+        """Add the cell columns and whether the key is split at all."""
+        out = df
+        for depth, level in enumerate(self.levels):
+            out = _descend(out, level, self.keys, self.order, depth, "left")
+        return out
+
+
+def _descend(
+    df: DataFrame, level: Level, keys: tuple[str, ...], order: tuple[str, ...], depth: int, how: str
+) -> DataFrame:
+    """Number the cell of each row within its parent cell; 0 where the parent is not cut."""
+    parents = [f"_c{i}" for i in range(depth)]
+    joined = side_join(df, level.table, [*keys, *parents], how, rows=level.rows, null_safe=True)
+    # Integer division: a double quotient loses nanoseconds beyond 2**53.
+    cuts = " ".join(f"WHEN {i} THEN (CAST(`{c}` AS BIGINT) - _lo) DIV _width" for i, c in enumerate(order))
+    cell = F.expr(f"CASE WHEN _width IS NULL THEN 0L ELSE coalesce(CASE _by {cuts} END, -1L) END")
+    out = joined.withColumn(f"_c{depth}", cell)
+    if depth == 0:
+        out = out.withColumn(HOT, F.col("_width").isNotNull())
+    return out.drop("_by", "_lo", "_width")
 
 
 def _stats(df: DataFrame, group: list[str], order: tuple[str, ...]) -> DataFrame:
@@ -90,12 +96,14 @@ def _cuts(stats: DataFrame, group: list[str], order: tuple[str, ...], target: in
         by = F.when(varies, F.lit(i)).otherwise(by)
         lo = F.when(varies, F.col(f"_min{i}")).otherwise(lo)
         hi = F.when(varies, F.col(f"_max{i}")).otherwise(hi)
-    parts = F.ceil(2 * F.col("_n") / F.lit(target))
+    parts = F.ceil(F.lit(FAN_OUT) * F.col("_n") / F.lit(target))
     return (
         stats.where(F.col("_n") > target)
-        .select(*group, by.alias("_by"), lo.alias("_lo"), hi.alias("_hi"), parts.alias("_parts"))
+        .select(*group, by.alias("_by"), lo.alias("_lo"), hi.alias("_hi"), parts.alias("_parts"), "_n")
         .where(F.col("_by").isNotNull())
         .withColumn("_width", F.expr("(_hi - _lo) DIV _parts + 1"))
+        # No more cells than rows, nor than values to tell apart.
+        .withColumn("_cells", F.expr("least(_n, (_hi - _lo) DIV _width + 1)"))
     )
 
 
@@ -135,22 +143,21 @@ def measure(
     if total.fullest <= target:
         return Layout(**base)
 
-    group = [*keys, CELL]
-    tagged = df.select(*keys, *order).withColumn(CELL, F.array().cast("array<bigint>"))
+    tagged = df.select(*keys, *order)
     levels: list[Level] = []
     n_cells = total.n_keys
     while len(levels) < MAX_LEVELS:
+        depth = len(levels)
+        group = [*keys, *[f"_c{i}" for i in range(depth)]]
         cuts = materialize(_cuts(_stats(tagged, group, order), group, order, target))
         found = cuts.agg(
-            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_parts"), F.lit(0)).alias("parts")
+            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_cells"), F.lit(0)).alias("cells")
         ).first()
         if found.n == 0:
             break
         level = Level(cuts.select(*group, "_by", "_lo", "_width"), found.n)
         levels.append(level)
-        n_cells += found.parts
+        n_cells += found.cells
         # Only rows of cells that were just cut can need another cut.
-        tagged = _descend(tagged, level, keys, order).where(
-            F.size(CELL) == len(levels)
-        )
+        tagged = _descend(tagged, level, keys, order, depth, "inner").drop(HOT)
     return Layout(**base, n_cells=n_cells, levels=tuple(levels))

@@ -14,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from robolog.operators.joins import side_join
-from robolog.operators.layout import CELL, HOT, Layout, measure
+from robolog.operators.layout import HOT, TARGET_ROWS, Layout, measure
+from robolog.session import materialize
 
 
 @dataclass(frozen=True)
@@ -88,9 +89,9 @@ def _summary(spec: Scan, order: Sequence[str]) -> Column:
     return F.max_by(F.struct(value.alias("v")), position)  # lag keeps nulls
 
 
-def _carry(spec: Scan, name: str, keys: list[str]) -> Column:
+def _carry(spec: Scan, name: str, keys: list[str], cells: list[str]) -> Column:
     """What a cell inherits from the cells before it (after it, for ``next``)."""
-    forward, backward = _directions(keys, [CELL])
+    forward, backward = _directions(keys, cells)
     earlier = (Window.unboundedPreceding, -1)
     if spec.kind in ("row_number", "sum"):
         return F.sum(name).over(forward.rowsBetween(*earlier))
@@ -124,7 +125,7 @@ def scan(
         )
 
     tagged = layout.tag(df)
-    cell_keys = [*keys, CELL]
+    cell_keys = [*keys, *layout.cells]
     local = tagged.select(
         "*", *[_window(spec, cell_keys, order).alias(name) for name, spec in outputs.items()]
     )
@@ -141,12 +142,12 @@ def scan(
     )
     carry = summary.select(
         *cell_keys,
-        *[_carry(spec, names[name], keys).alias(carried[name]) for name, spec in outputs.items()],
+        *[_carry(spec, names[name], keys, layout.cells).alias(carried[name]) for name, spec in outputs.items()],
     )
     joined = side_join(local, carry, cell_keys, "left", rows=layout.n_cells, null_safe=True)
     for name, spec in outputs.items():
         joined = joined.withColumn(name, _combine(spec, F.col(name), F.col(carried[name])))
-    return joined.drop(CELL, HOT, "_first", *carried.values())
+    return joined.drop(HOT, "_first", *layout.cells, *carried.values())
 
 
 def _combine(spec: Scan, local: Column, carry: Column) -> Column:
@@ -169,9 +170,6 @@ def numbered(df: DataFrame, order: str, name: str, **sums: str) -> DataFrame:
     partition number is fixed), and numbered per partition with carried totals. ``order``
     may be of any sortable type.
     """
-    from robolog.operators.layout import TARGET_ROWS
-    from robolog.session import materialize
-
     small = materialize(df)
     rows = small.count()
     before = (Window.unboundedPreceding, -1)
@@ -192,13 +190,12 @@ def numbered_by_range(
     df: DataFrame, order: str, name: str, partitions: int, sums: dict[str, str]
 ) -> DataFrame:
     """The partitioned form of ``numbered``."""
-    from robolog.session import materialize
-
+    part = "_part"
     before = (Window.unboundedPreceding, -1)
     ranged = materialize(
-        df.repartitionByRange(partitions, order).withColumn(CELL, F.spark_partition_id())
+        df.repartitionByRange(partitions, order).withColumn(part, F.spark_partition_id())
     )
-    inside = Window.partitionBy(CELL).orderBy(order)
+    inside = Window.partitionBy(part).orderBy(order)
     local = ranged.select(
         "*",
         (F.row_number().over(inside).cast("bigint") - 1).alias(name),
@@ -207,18 +204,18 @@ def numbered_by_range(
             for out, c in sums.items()
         ],
     )
-    totals = ranged.groupBy(CELL).agg(
+    totals = ranged.groupBy(part).agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_t_{out}") for out, c in sums.items()]
     )
-    cells = Window.orderBy(CELL).rowsBetween(*before)
+    cells = Window.orderBy(part).rowsBetween(*before)
     offsets = totals.select(
-        CELL,
+        part,
         F.coalesce(F.sum("_n").over(cells), F.lit(0)).alias("_n"),
         *[F.coalesce(F.sum(f"_t_{out}").over(cells), F.lit(0)).alias(f"_t_{out}") for out in sums],
     )
-    joined = side_join(local, offsets, [CELL], "left", rows=partitions)
+    joined = side_join(local, offsets, [part], "left", rows=partitions)
     for out in sums:
         joined = joined.withColumn(out, F.col(out) + F.col(f"_t_{out}"))
     return joined.withColumn(name, F.col(name) + F.col("_n")).drop(
-        CELL, "_n", *[f"_t_{out}" for out in sums]
+        part, "_n", *[f"_t_{out}" for out in sums]
     )

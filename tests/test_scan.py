@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from robolog.operators.layout import CELL, measure
+from robolog.operators.layout import measure
 from robolog.operators.scan import (
     lag,
     last_value,
@@ -84,11 +84,11 @@ def test_cells_are_bounded_and_ordered(spark):
     layout = measure(df, ["k"], ["ts", "seq"], 50)
     assert layout.split and layout.n_keys == 8 and layout.n_rows == 3000
     tagged = layout.tag(df)
-    fullest = tagged.groupBy("k", CELL).count().agg(F.max("count")).first()[0]
+    fullest = tagged.groupBy("k", *layout.cells).count().agg(F.max("count")).first()[0]
     assert fullest <= 50
     assert tagged.count() == 3000
     order = [
-        (r.k, tuple(r[CELL]), r.ts, r.seq) for r in tagged.orderBy("k", "ts", "seq").collect()
+        (r.k, tuple(r[c] for c in layout.cells), r.ts, r.seq) for r in tagged.orderBy("k", "ts", "seq").collect()
     ]
     assert order == sorted(order, key=lambda r: (r[0], r[1]))
 
