@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 # and rates. They identify data in recordings and must not be changed.
 # ---------------------------------------------------------------------------
 
+# Recording folders: my_bag-yy-MM-dd-HH-mm-ss.
+BAG_PREFIX = "my_bag-"
+STAMP_FORMAT = "yy-MM-dd-HH-mm-ss"
+
 CAMERAS = ["left_eye", "right_eye", "left_wrist", "right_wrist"]
 
 TIMELINES = ["message_log_time", "message_publish_time", "ros2_timestamp"]

@@ -87,8 +87,8 @@ def to_vector(value: Column, dtype: T.DataType) -> Column:
 def checked_vector(vector: Column, width: int, label: str) -> Column:
     """The vector itself; the query fails where it is missing or of another width."""
     size = F.coalesce(F.size(vector), F.lit(-1))
-    problem = F.when(vector.isNull(), F.lit(f"Missing {label} value.")).otherwise(
-        F.concat(F.lit(f"{label} has dim "), size.cast("string"), F.lit(f" but expected {width}."))
+    problem = F.when(vector.isNull(), F.lit(f"no {label} vector")).otherwise(
+        F.concat(F.lit(f"{label} vector is "), size.cast("string"), F.lit(f" wide, not {width}"))
     )
     return F.when(size == width, vector).otherwise(F.raise_error(problem).cast("array<float>"))
 

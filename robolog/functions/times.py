@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, SparkSession, functions as F, types as T
 
-from robolog.contracts import DEFAULT_TASK, NS
+from robolog.contracts import BAG_PREFIX, DEFAULT_TASK, NS, STAMP_FORMAT
 
 
 def ntz_micros(value: Column) -> Column:
@@ -55,7 +55,7 @@ def anchor_from_text(text: Column) -> Column:
     return F.coalesce(*found)
 
 
-def bag_timestamp(name: Column, prefix: str = "my_bag-") -> Column:
+def bag_timestamp(name: Column, prefix: str = BAG_PREFIX) -> Column:
     """The part of a recording name after the prefix, else the whole name."""
     return F.when(name.startswith(prefix), F.substring(name, len(prefix) + 1, 2**31 - 1)).otherwise(name)
 
@@ -68,7 +68,7 @@ def name_timestamp(name: Column, prefix: str, suffix: str) -> Column:
 
 def parse_bag_timestamp(stamp: Column) -> Column:
     """``yy-MM-dd-HH-mm-ss`` as a timestamp, null when it is something else."""
-    return F.try_to_timestamp(stamp, F.lit("yy-MM-dd-HH-mm-ss"))
+    return F.try_to_timestamp(stamp, F.lit(STAMP_FORMAT))
 
 
 def task_text(

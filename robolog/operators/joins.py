@@ -4,12 +4,37 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from robolog.session import materialize
 
-# Side tables are narrow (keys and a few scalars): 200k rows stay near 20 MB.
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+FIXED_BYTES = 16
+# Room given to a text key whose length is not measured.
+TEXT_KEY_BYTES = 256
+
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType)
+
+
+def _cell_bytes(value: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, _FIXED):
+        return F.lit(FIXED_BYTES)
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value)
+    elif isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, _FIXED):
+        size = F.size(value) * 8
+    else:
+        size = F.octet_length(F.to_json(F.struct(value)))
+    return F.coalesce(F.greatest(size, F.lit(0)), F.lit(0)) + FIXED_BYTES
+
+
+def table_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a table that has been written before."""
+    width = reduce(lambda a, b: a + b, [_cell_bytes(F.col(f.name), f.dataType) for f in df.schema])
+    found = df.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes")
+    ).first()
+    return found.n, found.bytes
 
 
 def side_join(
@@ -22,25 +47,29 @@ def side_join(
 ) -> DataFrame:
     """Join ``df`` to a per-key side table without moving ``df`` when that is safe.
 
-    ``rows`` is a known bound on the side table. When it is not known the side is
-    computed once (written to the shared folder) and counted. At or below
-    ``BROADCAST_ROWS`` the side is broadcast, so a hot key in ``df`` stays spread over
-    its tasks. Above it the shuffle join runs, where adaptive execution splits skewed
-    partitions of ``df``.
+    ``rows`` is a known bound on the side table. When it is not known, or the side holds
+    values of no fixed size, the side is computed once (written to the shared folder) and
+    measured. Up to ``BROADCAST_BYTES`` it is broadcast, so a hot key in ``df`` stays
+    spread over its tasks. Above that the shuffle join runs, where adaptive execution
+    splits skewed partitions of ``df``.
     """
-    if rows is None:
+    widths = [
+        FIXED_BYTES if isinstance(f.dataType, _FIXED) else TEXT_KEY_BYTES if f.name in on else None
+        for f in side.schema
+    ]
+    if rows is not None and rows * FIXED_BYTES * len(widths) > BROADCAST_BYTES:
+        size = BROADCAST_BYTES + 1
+    elif rows is not None and None not in widths:
+        size = rows * sum(widths)
+    else:
         side = materialize(side)
-        rows = side.count()
-    if rows <= BROADCAST_ROWS:
-        side = F.broadcast(side)
-    if not null_safe:
-        return df.join(side, on, how)
-    renamed = side.select(
-        *[F.col(c).alias(f"_side_{c}") if c in on else F.col(c) for c in side.columns]
-    )
-    if rows <= BROADCAST_ROWS:
-        renamed = F.broadcast(renamed)
-    same: Column = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_side_{c}")) for c in on]
-    )
-    return df.join(renamed, same, how).drop(*[f"_side_{c}" for c in on])
+        _, size = table_size(side)
+    if null_safe:
+        names = {c: f"_side_{c}" for c in on}
+        side = side.select(*[F.col(c).alias(names.get(c, c)) for c in side.columns])
+        same: Column = reduce(
+            lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(names[c])) for c in on]
+        )
+        side = F.broadcast(side) if size <= BROADCAST_BYTES else side
+        return df.join(side, same, how).drop(*names.values())
+    return df.join(F.broadcast(side) if size <= BROADCAST_BYTES else side, on, how)

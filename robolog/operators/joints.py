@@ -42,9 +42,9 @@ def parse_overrides(items: DataFrame, text: str = "item") -> DataFrame:
     raw = F.when(position > 0, F.expr(f"substring(`{text}`, instr(`{text}`, '=') + 1)"))
     value = F.trim(raw).try_cast("double")
     problem = (
-        F.when(position == 0, "expected NAME=VALUE")
-        .when(name == "", "joint name is empty")
-        .when(value.isNull(), "VALUE must be a float")
+        F.when(position == 0, "no value given")
+        .when(name == "", "no joint given")
+        .when(value.isNull(), "value is no number")
     )
     return items.select("*", name.alias("joint"), value.alias("override"), problem.alias("problem"))
 
@@ -55,7 +55,7 @@ def override_map(items: Sequence[str]) -> dict[str, float]:
     for item in items:
         name, found, raw = item.partition("=")
         if not found or not name.strip():
-            raise ValueError(f"bad joint override '{item}', expected NAME=VALUE")
+            raise ValueError(f"override '{item}' is not of the form NAME=VALUE")
         chosen[name.strip()] = float(raw)
     return chosen
 

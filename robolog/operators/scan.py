@@ -13,11 +13,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from robolog.operators.joins import side_join
+from robolog.operators.joins import side_join, table_size
 from robolog.operators.layout import HOT, TARGET_ROWS, Layout, measure
 from robolog.session import materialize
 
 
+# What a window over a whole small table may hold.
+ONE_TASK_BYTES = 256 * 1024 * 1024
+
+
 @dataclass(frozen=True)
 class Scan:
     """One output column of an ordered scan over ``column``."""
@@ -171,9 +175,9 @@ def numbered(df: DataFrame, order: str, name: str, **sums: str) -> DataFrame:
     may be of any sortable type.
     """
     small = materialize(df)
-    rows = small.count()
+    rows, size = table_size(small)
     before = (Window.unboundedPreceding, -1)
-    if rows <= TARGET_ROWS:
+    if rows <= TARGET_ROWS and size <= ONE_TASK_BYTES:
         whole = Window.orderBy(order)
         return small.select(
             "*",
@@ -183,7 +187,8 @@ def numbered(df: DataFrame, order: str, name: str, **sums: str) -> DataFrame:
                 for out, c in sums.items()
             ],
         )
-    return numbered_by_range(small, order, name, 2 * rows // TARGET_ROWS + 1, sums)
+    parts = 2 * max(rows // TARGET_ROWS, size // ONE_TASK_BYTES) + 2
+    return numbered_by_range(small, order, name, parts, sums)
 
 
 def numbered_by_range(

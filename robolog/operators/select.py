@@ -43,19 +43,19 @@ def entity_path(column: str) -> str:
 
 
 def spec_paths(spec: ExportSpec) -> list[str]:
-    """Paths an export needs, in first-use order; the first is the time reference."""
+    """Paths an export needs, in first-use order; the first is the clock."""
     qualified = spec.action + spec.state + ([spec.task] if spec.task else [])
     wanted = [entity_path(c) for c in qualified] + list(spec.cameras.values())
     return list(dict.fromkeys(wanted))
 
 
-def reference_path(spec: ExportSpec) -> str | None:
+def clock_path(spec: ExportSpec) -> str | None:
     vectors = spec.action + spec.state
     return entity_path(vectors[0]) if vectors else None
 
 
 def paths_in_use(df: DataFrame, spec: ExportSpec, topic: str = "entity_path") -> DataFrame:
-    """Rows per path an export needs, with its position and the reference flag."""
+    """Rows per path an export needs, with its position and the clock flag."""
     paths = spec_paths(spec)
     position = F.create_map(*[F.lit(x) for i, p in enumerate(paths) for x in (p, i)])
     return (
@@ -65,7 +65,7 @@ def paths_in_use(df: DataFrame, spec: ExportSpec, topic: str = "entity_path") ->
         .select(
             topic,
             F.try_element_at(position, F.col(topic)).cast("bigint").alias("position"),
-            (F.col(topic) == F.lit(reference_path(spec))).alias("is_reference"),
+            (F.col(topic) == F.lit(clock_path(spec))).alias("is_clock"),
             "n_rows",
         )
     )

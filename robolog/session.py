@@ -8,8 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+SHUFFLE_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """Partitions of about 128 MB each for a shuffle of the whole input, two per core at least.
+
+    Adaptive execution merges small ones again, so this is an upper bound, not a fixed cut.
+    """
+    return max(2 * cores, -(-input_bytes // SHUFFLE_BYTES))
+
+
 def build_session(app: str = "robolog", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators are written for."""
+    """A session with the settings the operators are written for.
+
+    Settings are given with ``__`` for dots: ``spark__sql__shuffle__partitions="8"``.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from robolog.contracts import CAMERAS
+from robolog.contracts import BAG_PREFIX, CAMERAS
 from robolog.functions.times import anchor_from_text, bag_timestamp
 from robolog.operators.quality import missing_inputs
 
 # Names inside a recording folder.
-BAG_PATTERN = "/(my_bag-[^/]+)/"
+BAG_PATTERN = f"/({BAG_PREFIX}[^/]+)/"
 TILED_VIDEO = "/video/cameras.mp4"
 MESSAGE_LOG = "data/data_0.mcap"
 ANCHOR_FILE = "video/cameras_first_frame.yaml"

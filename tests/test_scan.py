@@ -124,3 +124,24 @@ def test_numbering_of_small_tables(spark):
     for i, r in enumerate(one):
         assert (r.i, r.start) == (i, at)
         at += r["size"]
+
+
+def test_large_sides_are_not_broadcast(spark, monkeypatch):
+    """The same rows come out of the broadcast and the shuffle join."""
+    from robolog.operators import joins
+
+    df = spark.createDataFrame(rows(9, 300), "k string, ts bigint, seq bigint, v bigint")
+    side = df.groupBy("k").agg(F.min("ts").alias("first"), F.max(F.col("k")).alias("text"))
+    small = joins.side_join(df, side, ["k"])
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = joins.side_join(df, side, ["k"])
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        assert small.exceptAll(large.select(small.columns)).isEmpty() and large.count() == 300
+        split = scan(df, ["k"], ["ts", "seq"], target_rows=20, **SCANS)
+        plain = scan(df, ["k"], ["ts", "seq"], **SCANS)
+        assert split.exceptAll(plain).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")

@@ -108,7 +108,7 @@ def test_spec_paths():
         action=["/a:S:s", "/b:S:s"], state=["/b:T:t", "/c:S:s"], task="/t:D:text", cameras={"front": "/v"}
     )
     assert select.spec_paths(spec) == ["/a", "/b", "/c", "/t", "/v"]
-    assert select.reference_path(spec) == "/a"
+    assert select.clock_path(spec) == "/a"
 
 
 def test_subtrees():

@@ -218,7 +218,7 @@ SPEC = ExportSpec(
 @query(
     "spec_paths",
     f"""{LOG}, spec(entity_path, position) AS (VALUES ('error', 0), ('click', 1), ('signup', 2), ('purchase', 3), ('view', 4))
-    SELECT entity_path, CAST(position AS BIGINT) AS position, entity_path = 'error' AS is_reference, count(*) AS n_rows
+    SELECT entity_path, CAST(position AS BIGINT) AS position, entity_path = 'error' AS is_clock, count(*) AS n_rows
     FROM log JOIN spec USING (entity_path) GROUP BY ALL""",
 )
 def spec_paths_query(spark, sf):
