@@ -67,8 +67,8 @@ def name_timestamp(name: Column, prefix: str, suffix: str) -> Column:
 
 
 def parse_bag_timestamp(stamp: Column) -> Column:
-    """``yy-MM-dd-HH-mm-ss`` as a timestamp, null when it is something else."""
-    return F.try_to_timestamp(stamp, F.lit(STAMP_FORMAT))
+    """``yy-MM-dd-HH-mm-ss`` as a zone-less timestamp, null when it is something else."""
+    return F.try_to_timestamp(stamp, F.lit(STAMP_FORMAT)).cast("timestamp_ntz")
 
 
 def task_text(

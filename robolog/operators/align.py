@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from robolog.functions.times import ntz_micros
 from robolog.operators.joins import side_join
 from robolog.operators.layout import BLOB_ROWS, Layout, measure
 from robolog.operators.scan import last_value, next_value, row_number, scan
@@ -246,7 +247,7 @@ def sort_clean_index(
     """Parse the time index, drop rows without one, sort by it (a range-partitioned sort)."""
     dtype = df.schema[index].dataType
     if isinstance(dtype, T.StringType):
-        parsed = F.unix_micros(F.try_to_timestamp(F.col(index))) * F.lit(1000).cast("bigint")
+        parsed = ntz_micros(F.col(index).try_cast("timestamp_ntz")) * F.lit(1000).cast("bigint")
     else:
         parsed = F.col(index).try_cast("bigint")
     return df.withColumn(out, parsed).dropna(subset=[out]).orderBy(*by, out)

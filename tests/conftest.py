@@ -12,8 +12,10 @@ from robolog.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[8]",
-        spark__sql__shuffle__partitions="8",
+        "local[4]",
+        spark__sql__shuffle__partitions="4",
+        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1",
+        spark__ui__showConsoleProgress="false",
         spark__ui__enabled="false",
         spark__checkpoint__dir="file://" + str(tmp_path_factory.mktemp("shared")),
         spark__driver__memory="4g",

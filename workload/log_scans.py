@@ -10,6 +10,7 @@ from robolog.functions.times import (
     bag_timestamp,
     frame_time,
     normalize_time,
+    ntz_micros,
     parse_bag_timestamp,
 )
 from robolog.operators import quality, select
@@ -463,9 +464,13 @@ def bag_names(spark, sf):
     FROM names""",
 )
 def bag_timestamp_query(spark, sf):
-    stamped = bag_names(spark, sf).withColumn("bag_ts", bag_timestamp(F.col("name")))
+    stamped = (
+        bag_names(spark, sf)
+        .withColumn("bag_ts", bag_timestamp(F.col("name")))
+        .withColumn("stamp_us", ntz_micros(parse_bag_timestamp(F.col("bag_ts"))))
+    )
     return stamped.select(
-        "bag_id", "bag_ts", F.unix_seconds(parse_bag_timestamp(F.col("bag_ts"))).alias("bag_epoch")
+        "bag_id", "bag_ts", F.expr("stamp_us DIV 1000000").alias("bag_epoch")
     )
 
 
