@@ -125,6 +125,7 @@ def carry_forward_split(spark, sf):
     SELECT a.bag_id, a.seq, md5(unhex(hx)) AS digest, codec, {MEDIA} AS media_type FROM a LEFT JOIN codecs ON a.bag_id = codecs.bag_id""",
 )
 def align_images_query(spark, sf):
+    """Every fourth page stands for a camera frame, the others for images: all are used."""
     rows = sparse_images(spark, sf)
     clock = rows.where("seq % 4 = 0").select("bag_id", "ts_ns", "seq")
     shots = rows.where("seq % 4 <> 0").select("bag_id", "ts_ns", "seq", "encoding", "blob")

@@ -270,6 +270,7 @@ def missing_joints(spark, sf):
     SELECT bag_id, ts_ns, joint, angle, {POSE_COLUMNS} FROM u""",
 )
 def aligned_joints_query(spark, sf):
+    """Every third row stands for a camera frame, the others for messages: all rows are used."""
     rows = robot(spark, sf)
     clock = rows.where("seq % 3 = 0").select("bag_id", "ts_ns", "seq")
     messages = rows.where("seq % 3 <> 0").withColumnRenamed("position", "values")
