@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from workload.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ["events", "documents", "embeddings", "pages", "conversations"]
@@ -28,7 +29,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_sql(spark, db, name):
     df = driver.queries()[name](spark, SF_DIR)
     ours = Counter(tuple(plain(r[c]) for c in sorted(df.columns)) for r in df.collect())
