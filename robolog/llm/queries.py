@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from robolog.llm.chat_format import format_chats
 from robolog.llm.common import table
 from robolog.llm.exact_dedup import exact_groups
+from robolog.llm.language_id import fit_language, identify
 from robolog.llm.mixing import mix
+from robolog.llm.pieces import encode_texts
+from robolog.llm.quality_rules import apply_rules, fit_quality
 from robolog.llm.registry import query
+from robolog.llm.simhash import near_duplicates
 
 MIX_WEIGHTS = {
     "domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
@@ -89,3 +94,26 @@ SELECT doc_id, domain AS mix_domain, lang AS mix_lang, source AS mix_source, tok
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mix(docs, source_domain(), MIX_WEIGHTS, max_epochs=MIX_EPOCHS, seed=MIX_SEED, keep=["doc_id"])
+
+
+@query("op5_sentencepiece")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), digests=True)
+
+
+@query("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return apply_rules(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op1_simhash_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit_language(docs))
