@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from robolog.operators.joins import side_join
+
 LEVELS = ["domain", "lang", "source"]
 #: Hexadecimal digits of the seeded order that form a block: 4096 blocks for each leaf.
 BLOCK_DIGITS = 3
@@ -84,7 +86,8 @@ def mix(
 
     The running sum never runs over a whole leaf: tokens are first added up by block of the seeded order
     (its first digits, hence equal parts of a leaf), the blocks are summed up, and rows are ordered within
-    their block only.
+    their block only. The plan has a row for each leaf; it is written once and broadcast if its measured
+    size is small, else a shuffle join runs.
     """
     named = lambda c: F.coalesce(c.cast("string"), F.lit("unknown"))
     size = F.coalesce(F.octet_length(F.col(text).cast("string")), F.lit(0)).cast("bigint")
@@ -104,7 +107,7 @@ def mix(
     )
     by_leaf = list(to.values())
     order_key = F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col("epochs") + 1).cast("string"), F.coalesce(F.col("mix_key").cast("string"), F.lit(""))))
-    placed = rows.join(plan, by_leaf).withColumn("mix_order", order_key).withColumn("mix_block", F.substring("mix_order", 1, BLOCK_DIGITS))
+    placed = side_join(rows, plan, by_leaf, "inner").withColumn("mix_order", order_key).withColumn("mix_block", F.substring("mix_order", 1, BLOCK_DIGITS))
     blocks = placed.groupBy(*by_leaf, "mix_block").agg(F.sum("mix_tokens").alias("block_tokens"))
     ahead = Window.partitionBy(*by_leaf).orderBy("mix_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(*by_leaf, "mix_block", F.coalesce(F.sum("block_tokens").over(ahead), F.lit(0).cast("bigint")).alias("block_before"))

@@ -13,6 +13,7 @@ from robolog.llm.mixing import mix
 from robolog.llm.pieces import encode_texts
 from robolog.llm.quality_rules import apply_rules, fit_quality
 from robolog.llm.registry import query
+from robolog.llm.repeats import remove_repeats
 from robolog.llm.simhash import near_duplicates
 
 MIX_WEIGHTS = {
@@ -117,3 +118,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify(docs, fit_language(docs))
+
+
+@query("op4_suffix_array_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), digests=True)
