@@ -274,3 +274,23 @@ def identify(docs: DataFrame, model: bytes, key: str = "doc_id", text: str = "te
 
     rows = docs.select(F.col(key).alias("doc_id"), held_out(key).alias("held_out"), body(text).alias("content"))
     return rows.mapInArrow(run, f"doc_id {key_type}, held_out boolean, lang_pred string, score double").withColumnRenamed("doc_id", key)
+
+
+def keep_identified(docs: DataFrame, model: bytes, min_score: float, text: str = "text") -> DataFrame:
+    """The rows whose text has a language (is not ``und``) with a score of at least ``min_score``, with the columns they came with."""
+    check, width = zlib.crc32(model), len(docs.columns)
+
+    def run(batches):
+        known = once(("language model", check), lambda: LanguageModel.load(model))
+        for batch in batches:
+            for a, b in pieces(batch.column(width), 1 << 19):
+                part = batch.slice(a, b - a)
+                rows = [x.decode("utf-8", "replace") for x in part.column(width).to_pylist()]
+                keep = []
+                for i in range(0, len(rows), ROWS):
+                    names, scores = known.predict(rows[i : i + ROWS])
+                    keep.extend(n != UNDETERMINED and s >= min_score for n, s in zip(names, scores.tolist(), strict=True))
+                yield part.select(list(range(width))).filter(pa.array(keep, pa.bool_()))
+
+    rows = docs.select(*docs.columns, body(text).alias("language_id_content"))
+    return rows.mapInArrow(run, docs.schema)

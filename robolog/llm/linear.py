@@ -153,6 +153,18 @@ def fit_in_one_task(sample: DataFrame, fit: Callable[[list[dict]], bytes]) -> by
     return bytes(fitted[0]["model"]) if fitted else fit([])
 
 
+def class_odds(labels: DataFrame, target: str) -> float:
+    """How many rows are labelled 1 for one labelled 0, over the whole table (half a row is added to each)."""
+    counts = {row[0]: row[1] for row in labels.where(F.col(target).isin(0, 1)).groupBy(F.col(target).cast("int")).count().collect()}
+    return (counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5)
+
+
+def odds_shift(odds: float, target: np.ndarray) -> float:
+    """What log-odds fitted on a sample with other class shares must be moved by to hold for the whole table."""
+    ones = float((target == 1).sum())
+    return float(np.log(odds * (len(target) - ones + 0.5) / (ones + 0.5)))
+
+
 def labelled_sample(labels: DataFrame, docs: DataFrame, target: str, per_class: int, key: str, columns: list[str], seed: int = 7) -> DataFrame:
     """At most ``per_class`` documents of each class 0 and 1, chosen by a seeded hash of their id.
 

@@ -72,10 +72,10 @@ def leaf_budgets(leaves: DataFrame, weights: Mapping[str, Mapping[str, int]], bu
 def mix(
     docs: DataFrame, domain: Column, weights: Mapping[str, Mapping[str, int]], *, budget: int | None = None,
     budget_percent: int = 100, max_epochs: int = 4, seed: int = 0, key: str = "doc_id", text: str = "text",
-    bytes_per_token: int = 4, keep: list[str] | None = None,
+    bytes_per_token: int = 4, keep: list[str] | None = None, plan_columns: bool = True,
 ) -> DataFrame:
     """The chosen rows, once for each epoch they are in: the columns ``keep`` (default: all of ``docs``), then
-    mix_domain, mix_lang, mix_source, mix_tokens, mix_epoch.
+    mix_domain, mix_lang, mix_source, mix_tokens, mix_epoch (unless ``plan_columns`` is false).
 
     ``domain`` names a row's domain; the leaves are (domain, lang, source), a null counts as ``unknown``.
     ``weights`` gives whole numbers for the nodes of each level, 1 where a node is not listed. A document
@@ -116,7 +116,6 @@ def mix(
     chosen = placed.join(blocks, [*by_leaf, "mix_block"]).withColumn("mix_before", before)
     times = F.col("epochs") + F.when(F.col("mix_before") < F.col("rest"), 1).otherwise(0)
     chosen = chosen.withColumn("times", times).where("times > 0")
-    return chosen.select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *by_leaf, "mix_tokens",
-        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))).alias("mix_epoch"),
-    )
+    out = chosen.withColumn("mix_epoch", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))))
+    added = [*by_leaf, "mix_tokens", "mix_epoch"] if plan_columns else []
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *added)

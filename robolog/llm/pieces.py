@@ -292,15 +292,14 @@ def piece_model(path: str) -> tuple[PieceModel, WordCache]:
 
 
 def encode_texts(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text", digests: bool = False) -> DataFrame:
-    """One row per row: ``key``, ids (with begin and end id) and decoded, the text those ids stand for.
+    """One row per row: ``key``, n_tokens, ids (with begin and end id) and decoded, the text those ids stand for.
 
-    With ``digests``: key, n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers) and
-    decoded_sha256 instead, so that long id lists do not leave the worker. A null text counts as empty.
+    With ``digests`` ids_sha256 (ids as little-endian unsigned 32-bit integers) and decoded_sha256 instead, so that long id lists do not leave the worker. A null text counts as empty.
     Rows are independent, hence repeated rows and ids just come again; other columns are ignored. Texts
     are taken in groups of about a megabyte, a longer one by itself. ``model_path`` must exist on every executor.
     """
     key_type = docs.schema[key].dataType.simpleString()
-    columns = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
+    columns = "n_tokens bigint, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string")
 
     def run(batches):
         model, cache = piece_model(model_path)
@@ -318,9 +317,9 @@ def encode_texts(docs: DataFrame, model_path: str, key: str = "doc_id", text: st
                     if digests:
                         out.append((n + 2, hashlib.sha256(own.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest()))
                     else:
-                        out.append((own.astype(np.int32), decoded.decode()))
-                types = [pa.int64(), pa.string(), pa.string()] if digests else [pa.list_(pa.int32()), pa.string()]
-                names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]
+                        out.append((n + 2, own.astype(np.int32), decoded.decode()))
+                types = [pa.int64(), *([pa.string(), pa.string()] if digests else [pa.list_(pa.int32()), pa.string()])]
+                names = ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"])]
                 arrays = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *arrays], ["doc_id", *names])
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from robolog.llm.common import body, once, pieces
-from robolog.llm.linear import BagModel, WordNumbers, char_grams, fit_in_one_task, labelled_sample, stack
+from robolog.llm.linear import BagModel, WordNumbers, char_grams, class_odds, fit_in_one_task, labelled_sample, odds_shift, stack
 
 #: Labelled rows of each class that the classifier is fitted on, at most.
 SAMPLE_PER_CLASS = 1500
@@ -66,8 +66,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     """A logistic regression on hashed words and character n-grams for ``quality`` 0 or 1.
 
     Fitted on four fifths of a sample of at most ``per_class`` labelled rows of each class and calibrated
-    on the rest. Without labelled rows of both classes the model keeps every text.
+    on the rest, then moved to the class shares of the whole table of labels. Without labelled rows of both
+    classes the model keeps every text.
     """
+    odds = class_odds(labels, "quality")
     sample = labelled_sample(labels, docs.withColumn("sample_text", body(text)), "quality", per_class, key, ["sample_text"])
 
     def fit(rows: list[dict]) -> bytes:
@@ -80,7 +82,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
             model.bias = 10.0
             return model.dump()
         model.fit([b for b, h in zip(bags, held, strict=True) if not h], target[~held])
-        return model.calibrate([b for b, h in zip(bags, held, strict=True) if h], target[held]).dump()
+        model.calibrate([b for b, h in zip(bags, held, strict=True) if h], target[held])
+        model.shift += odds_shift(odds, target[held])
+        return model.dump()
 
     return fit_in_one_task(sample, fit)
 

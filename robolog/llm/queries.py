@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from robolog.llm.chat_format import format_chats
+from robolog.llm.co_training import fit_co_training, score_quality
 from robolog.llm.common import table
 from robolog.llm.exact_dedup import exact_groups
 from robolog.llm.language_id import fit_language, identify
@@ -15,6 +16,7 @@ from robolog.llm.quality_rules import apply_rules, fit_quality
 from robolog.llm.registry import query
 from robolog.llm.repeats import remove_repeats
 from robolog.llm.simhash import near_duplicates
+from robolog.llm.token_files import tokenize_to_files
 
 MIX_WEIGHTS = {
     "domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
@@ -123,3 +125,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_suffix_array_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), digests=True)
+
+
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_co_training(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op8_token_files")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenize_to_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
