@@ -210,7 +210,7 @@ def _window_repeats(snippets: DataFrame, length: int) -> DataFrame:
 def repeated_stretches(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, index_bytes: int = INDEX_BYTES, held_runs: int = HELD_RUNS) -> DataFrame:
     """doc, start, stop: stretches (they may overlap) that cover exactly the bytes of windows that also start earlier.
 
-    ``rows`` has doc (in the order that counts as earlier) and content. Windows are grouped into runs by the
+    ``rows`` has doc (distinct, in the order that counts as earlier) and content. Windows are grouped into runs by the
     smallest gram hash inside them; equal windows share that key, so only runs of one key are compared. Equal
     runs need no comparing: all but the first repeat. What differs under one key is put into run-compressed
     indexes of a bounded size and streamed through them. Keys that exceed that size are compared by the hashes
@@ -242,7 +242,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     takes the place of spans and kept. Cuts may fall inside a character, hence the remaining bytes are binary.
     """
     rows, most = _numbered(docs, key, text)
-    stretches = repeated_stretches(rows, length, **sizes)
+    stretches = repeated_stretches(rows if most == 1 else rows.dropDuplicates(["doc"]), length, **sizes)
     per_doc = stretches.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("stretches"))
     joined = rows.join(per_doc, "doc", "left").select("doc", "content", "stretches.start", "stretches.stop")
 
