@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from robolog.llm.common import body, once, pieces
+from robolog.operators.joins import side_join
 
 #: Character n-grams of 1 to 3 code points are hashed into so many features.
 FEATURE_BITS, ORDERS = 15, (1, 2, 3)
@@ -192,7 +193,8 @@ def language_sample(docs: DataFrame, key: str, text: str, lang: str, per_languag
     known = docs.where(F.col(lang).isNotNull() & ~held_out(key)).select(F.col(key).alias("doc_id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
     unit = (F.xxhash64(F.lit(seed), "doc_id") / 2.0**64 + 0.5)
-    found = known.join(sizes, "lang").where(unit < F.lit(float(per_language)) / F.col("n"))
+    # A row for each language: measured, and broadcast if small, so that no text is shuffled by its language.
+    found = side_join(known, sizes, ["lang"], "inner").where(unit < F.lit(float(per_language)) / F.col("n"))
     return found.select("lang", body("text").alias("content"), F.xxhash64(F.lit(seed + 1), "doc_id", "text").alias("sample_order"))
 
 
