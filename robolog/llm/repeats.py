@@ -196,13 +196,15 @@ def _indexed(length: int):
 def _window_repeats(snippets: DataFrame, length: int) -> DataFrame:
     """The same for keys with too many different runs for one index: every window by a 128-bit hash of its bytes.
 
-    The first position of each is a minimum, aggregated before the shuffle, so nothing is gathered.
+    The first position of each is a minimum, aggregated before the shuffle, so nothing is gathered. The minima
+    are written once; the join with them can then split a window that very many documents have.
     """
     at = F.explode(F.expr(f"sequence(0, length(content) - {length})"))
     windows = snippets.select("doc", "start", "content", at.alias("o"))
     own = F.expr(f"substring(content, o + 1, {length})")
     windows = windows.select(F.xxhash64(own).alias("h1"), F.xxhash64(F.lit(1), own).alias("h2"), F.struct("doc", (F.col("start") + F.col("o")).alias("start")).alias("at"))
-    first = windows.groupBy("h1", "h2").agg(F.min("at").alias("first"))
+    first = windows.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    first = write_once(first.where("n > 1").drop("n"))
     again = windows.join(first, ["h1", "h2"]).where("at > first")
     return again.select("at.doc", "at.start", (F.col("at.start") + length).alias("stop"))
 
