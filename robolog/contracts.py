@@ -124,6 +124,7 @@ MESSAGES = T.StructType([
     T.StructField("json", T.StringType()),
     T.StructField("text", T.StringType()),
     T.StructField("blob", T.BinaryType()),
+    T.StructField("ros_time_ns", T.LongType()),
 ])
 
 FRAMES = T.StructType([

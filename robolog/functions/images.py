@@ -13,20 +13,16 @@ NAME_HINTS = {
     "webp": ["webp"],
     "h264": ["h264", "avc", "x264", "mp4"],
 }
-JPEG_MAGIC = "FFD8FF"
-PNG_MAGIC = "89504E470D0A1A0A"
-RIFF_MAGIC = "52494646"
-WEBP_MAGIC = "57454250"
-ANNEXB_MAGICS = ["00000001", "000001"]
+JPEG_MAGIC = b"\xff\xd8\xff"
+PNG_MAGIC = b"\x89PNG\r\n\x1a\n"
+RIFF_MAGIC = b"RIFF"
+WEBP_MAGIC = b"WEBP"
+ANNEXB_MAGICS = [b"\x00\x00\x00\x01", b"\x00\x00\x01"]
 BYTE_KEYS = ["data", "blob", "image", "payload"]
 BASE64_PATTERN = r"^[A-Za-z0-9+/=\n\r ]+$"
 # End of fixed values.
 
 
-def _hex(magic: str) -> Column:
-    return F.unhex(F.lit(magic))
-
-
 def text_bytes(text: Column) -> Column:
     """Bytes of a string: decoded if it is base64, else its UTF-8 form."""
     trimmed = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
@@ -89,11 +85,11 @@ def codec_from_bytes(data: Column) -> Column:
     """Codec by file signature; jpeg when nothing matches."""
     annexb = F.lit(False)
     for magic in ANNEXB_MAGICS:
-        annexb = annexb | F.startswith(data, _hex(magic))
-    webp = F.startswith(data, _hex(RIFF_MAGIC)) & (F.substring(data, 9, 4) == _hex(WEBP_MAGIC))
+        annexb = annexb | F.startswith(data, F.lit(magic))
+    webp = F.startswith(data, F.lit(RIFF_MAGIC)) & (F.substring(data, 9, 4) == F.lit(WEBP_MAGIC))
     guess = (
-        F.when(F.startswith(data, _hex(JPEG_MAGIC)), "jpeg")
-        .when(F.startswith(data, _hex(PNG_MAGIC)), "png")
+        F.when(F.startswith(data, F.lit(JPEG_MAGIC)), "jpeg")
+        .when(F.startswith(data, F.lit(PNG_MAGIC)), "png")
         .when(webp, "webp")
         .when(annexb, "h264")
     )

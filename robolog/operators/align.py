@@ -8,14 +8,18 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from robolog.functions.times import ntz_micros
 from robolog.operators.joins import side_join
-from robolog.operators.layout import BLOB_ROWS, Layout, measure
+from robolog.operators.layout import Layout, measure
+from robolog.operators.quality import stream_length_mismatch
 from robolog.operators.scan import last_value, next_value, row_number, scan
 
 CLOCK = "_clock"
 
 
-def _one_column_per_topic(topic: str, value: str, topics: Mapping[str, str]) -> list[Column]:
-    return [F.when(F.col(topic) == path, F.col(value)).alias(out) for path, out in topics.items()]
+def _one_column_per_topic(topic: str, value: str | Mapping[str, str], topics: Mapping[str, str]) -> list[Column]:
+    return [
+        F.when(F.col(topic) == path, F.col(value if isinstance(value, str) else value[path])).alias(out)
+        for path, out in topics.items()
+    ]
 
 
 def _latest(
@@ -45,25 +49,27 @@ def asof_align(
     topic: str = "entity_path",
     ts: str = "ts_ns",
     seq: str = "seq",
-    value: str = "value",
+    value: str | Mapping[str, str] = "value",
     layout: Layout | None = None,
     target_rows: int | None = None,
 ) -> DataFrame:
     """For each clock row, the latest message of every topic at or before it.
 
-    ``topics`` maps an entity path to its output column. A message at the same instant
-    counts, the higher ``seq`` wins among equal times, and a null payload is no message.
-    Clock and messages go through one exchange and one sort for all topics together; there
+    ``topics`` maps an entity path to its output column, ``value`` is the payload column (or
+    one for each topic). A message at the same instant counts, the higher ``seq`` wins among
+    equal times, and a null payload is no message. Payloads travel with the rows; large ones
+    are better pointed to (``asof_pointer``). Clock and messages go through one exchange and one sort for all topics together; there
     is no inequality join. All columns of ``clock`` are kept.
     """
     ticks = clock.withColumn(CLOCK, F.lit(1))
     if seq not in clock.columns:
         ticks = ticks.withColumn(seq, F.lit(0).cast("bigint"))
-    notes = (
-        messages.where(F.col(topic).isin(*topics) & F.col(value).isNotNull())
-        .select(bag, ts, seq, *_one_column_per_topic(topic, value, topics))
-        .withColumn(CLOCK, F.lit(0))
-    )
+    columns = _one_column_per_topic(topic, value, topics)
+    notes = messages.where(F.col(topic).isin(*topics)).select(bag, ts, seq, *columns)
+    some = F.lit(False)
+    for c in topics.values():
+        some = some | F.col(c).isNotNull()
+    notes = notes.where(some).withColumn(CLOCK, F.lit(0))
     rows = ticks.unionByName(notes, allowMissingColumns=True)
     out = _latest(rows, bag, ts, seq, list(topics.values()), layout, target_rows)
     return out.select(*clock.columns, *topics.values())
@@ -168,18 +174,70 @@ def frame_lookup(
     seq: str = "seq",
     sample: str = "sample",
     layout: Layout | None = None,
-    target_rows: int | None = BLOB_ROWS,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """The sample shown at each row's time: at or before it, clamped to the first one."""
-    streams = samples.where(F.col(sample).isNotNull())
-    tagged = streams.withColumn("_topic", F.lit("sample"))
-    aligned = asof_align(
-        rows, tagged, {"sample": sample}, bag=bag, topic="_topic", ts=ts, seq=seq, value=sample,
+    pointed = asof_pointer(
+        rows, samples, F.col(sample).isNotNull(), bag=bag, ts=ts, seq=seq, clamp=True,
         layout=layout, target_rows=target_rows,
     )
-    first = streams.groupBy(bag).agg(F.min_by(sample, F.struct(ts, seq)).alias("_first"))
-    joined = side_join(aligned, first, [bag], "left")
-    return joined.withColumn(sample, F.coalesce(sample, "_first")).drop("_first")
+    return fetch(pointed, samples, [sample], bag=bag, ts=ts, seq=seq)
+
+
+POINTER = "_pointer"
+
+
+def asof_pointer(
+    clock: DataFrame,
+    samples: DataFrame,
+    present: Column,
+    *,
+    bag: str = "bag_id",
+    ts: str = "ts_ns",
+    seq: str = "seq",
+    clamp: bool = False,
+    layout: Layout | None = None,
+    target_rows: int | None = None,
+) -> DataFrame:
+    """For each clock row, where the latest sample is: its (ts, seq), as column ``_pointer``.
+
+    Only keys are sorted and carried, never the payload; ``present`` says which samples count.
+    With ``clamp`` rows before the first sample point to the first. Rows are counted before
+    ``present`` is asked, so counting reads keys only (an upper bound is enough).
+    """
+    ticks = clock.withColumn(CLOCK, F.lit(1))
+    if seq not in clock.columns:
+        ticks = ticks.withColumn(seq, F.lit(0).cast("bigint"))
+    if layout is None:
+        keys = ticks.select(bag, ts, CLOCK, seq).unionByName(samples.select(bag, ts, F.lit(0).alias(CLOCK), seq))
+        layout = measure(keys, [bag], [ts, CLOCK, seq], target_rows)
+    notes = samples.where(present).select(bag, ts, seq, F.lit(0).alias(CLOCK), F.struct(ts, seq).alias(POINTER))
+    rows = ticks.unionByName(notes, allowMissingColumns=True)
+    outputs = {"_before": last_value(POINTER)} | ({"_after": next_value(POINTER)} if clamp else {})
+    found = scan(rows, [bag], [ts, CLOCK, seq], layout, **outputs).where(F.col(CLOCK) == 1)
+    return found.select(*clock.columns, F.coalesce(*outputs).alias(POINTER))
+
+
+def fetch(
+    pointed: DataFrame,
+    samples: DataFrame,
+    columns: Sequence[str],
+    *,
+    bag: str = "bag_id",
+    ts: str = "ts_ns",
+    seq: str = "seq",
+) -> DataFrame:
+    """The payload columns of the samples pointed to: one join on (recording, time, sequence).
+
+    Of samples that agree in all three one is taken.
+    """
+    named = samples.select(
+        F.col(bag).alias("_p_bag"), F.col(ts).alias("_p_ts"), F.col(seq).alias("_p_seq"), *columns
+    ).dropDuplicates(["_p_bag", "_p_ts", "_p_seq"])
+    kept = [c for c in pointed.columns if c != POINTER and c not in columns]
+    ready = pointed.select(*kept, F.col(POINTER)[ts].alias("_ts"), F.col(POINTER)[seq].alias("_seq"))
+    same = (F.col(bag) == F.col("_p_bag")) & (F.col("_ts") == F.col("_p_ts")) & (F.col("_seq") == F.col("_p_seq"))
+    return ready.join(named, same, "left").select(*kept, *columns)
 
 
 def camera_zip(
@@ -193,27 +251,28 @@ def camera_zip(
     layout: Layout | None = None,
     target_rows: int | None = None,
 ) -> DataFrame:
-    """Cameras joined by position: the n-th frame of each, where all of them have one.
+    """Cameras joined by position: the n-th frame of each.
 
-    ``cameras`` maps a camera to its output column. Positions are numbered per stream and
+    ``cameras`` maps a camera to its output column. Recordings whose cameras differ in length
+    are not zipped: ``unequal_cameras`` lists them. Positions are numbered per stream and
     brought together by one aggregate on (recording, position) instead of n - 1 joins.
     """
     chosen = frames.where(F.col(camera).isin(*cameras))
+    uneven = unequal_cameras(chosen, list(cameras), bag=bag, camera=camera).select(bag)
+    chosen = side_join(chosen, uneven, [bag], "left_anti")
     numbered = scan(chosen, [bag, camera], order, layout, target_rows, _n=row_number())
-    present = F.lit(True)
-    for name in cameras:
-        present = present & F.col(f"_has_{name}")
-    return (
-        numbered.groupBy(bag, (F.col("_n") - 1).alias("frame_no"))
-        .agg(
-            *[F.max(F.when(F.col(camera) == c, F.col(value))).alias(out) for c, out in cameras.items()],
-            *[F.max(F.col(camera) == c).alias(f"_has_{c}") for c in cameras],
-        )
-        .where(present)
-        .drop(*[f"_has_{c}" for c in cameras])
+    return numbered.groupBy(bag, (F.col("_n") - 1).alias("frame_no")).agg(
+        *[F.max(F.when(F.col(camera) == c, F.col(value))).alias(out) for c, out in cameras.items()]
     )
 
 
+def unequal_cameras(
+    frames: DataFrame, cameras: Sequence[str], *, bag: str = "bag_id", camera: str = "camera"
+) -> DataFrame:
+    """Recordings ``camera_zip`` rejects: (bag, shortest, longest)."""
+    return stream_length_mismatch(frames, cameras, bag=bag, camera=camera)
+
+
 def collapse_repeats(
     df: DataFrame,
     expected: DataFrame,
@@ -225,14 +284,14 @@ def collapse_repeats(
 ) -> DataFrame:
     """Every k-th row of recordings that hold exactly k times the expected rows.
 
-    ``expected`` has one row per recording: (bag, ``expected``). Recordings whose count
-    is no exact multiple cannot be aligned and are left out.
+    ``expected`` has one row per recording: (bag, ``expected``). Recordings whose count is no
+    exact multiple cannot be aligned: ``uneven_repeats`` lists them, with those that only one
+    of the two tables has.
     """
-    counts = df.groupBy(bag).agg(F.count(F.lit(1)).alias("_n"))
     factors = (
-        counts.join(expected, bag)
-        .where((F.col("expected") > 0) & (F.expr("_n % nullif(expected, 0)") == 0))
-        .select(bag, F.expr("_n DIV nullif(expected, 0)").alias("_k"))
+        _repeat_counts(df, expected, bag)
+        .where("fits")
+        .select(bag, F.expr("n_rows DIV expected").alias("_k"))
     )
     if layout is None:
         layout = measure(df, [bag], order, target_rows)
@@ -241,6 +300,19 @@ def collapse_repeats(
     return joined.where((F.col("_rn") - 1) % F.col("_k") == 0).drop("_rn", "_k")
 
 
+def _repeat_counts(df: DataFrame, expected: DataFrame, bag: str) -> DataFrame:
+    counts = df.groupBy(bag).agg(F.count(F.lit(1)).alias("n_rows"))
+    fits = (F.col("expected") > 0) & (F.col("n_rows") % F.expr("nullif(expected, 0)") == 0)
+    return counts.join(expected.select(bag, "expected"), bag, "full").withColumn(
+        "fits", F.coalesce(fits, F.lit(False))
+    )
+
+
+def uneven_repeats(df: DataFrame, expected: DataFrame, *, bag: str = "bag_id") -> DataFrame:
+    """Recordings ``collapse_repeats`` rejects: (bag, n_rows, expected), null where one is unknown."""
+    return _repeat_counts(df, expected, bag).where("NOT fits").drop("fits")
+
+
 def sort_clean_index(
     df: DataFrame, index: str, by: Sequence[str] = (), out: str = "ts_ns"
 ) -> DataFrame:

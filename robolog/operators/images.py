@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from robolog.functions import images as img
 from robolog.operators.joins import side_join
-from robolog.operators.layout import BLOB_ROWS, Layout
+from robolog.operators.layout import BLOB_ROWS, Layout, measure
 from robolog.operators.scan import last_value, running_sum, scan
 
 
@@ -40,12 +40,27 @@ def carry_forward(
     order: Sequence[str] = ("ts_ns", "seq"),
     blob: str = "blob",
     layout: Layout | None = None,
-    target_rows: int | None = BLOB_ROWS,
+    target_rows: int | None = None,
 ) -> DataFrame:
-    """Repeat the last non-empty image where one is missing; empty bytes before the first."""
-    held = df.withColumn("_held", F.when(F.octet_length(blob) > 0, F.col(blob)))
-    filled = scan(held, [bag], order, layout, target_rows, _last=last_value("_held"))
-    return filled.withColumn(blob, F.coalesce("_last", F.lit(b""))).drop("_held", "_last")
+    """Repeat the last non-empty image where one is missing; empty bytes before the first.
+
+    The scan carries the position of the last image, not its bytes; rows that have an image
+    keep it, the others are joined to the one they point to. ``order`` tells rows apart.
+    """
+    order = list(order)
+    filled = F.octet_length(blob) > 0
+    if layout is None:
+        layout = measure(df, [bag], order, target_rows)
+    keys = df.select(bag, *order, F.when(filled, F.struct(*order)).alias("_here"))
+    pointed = scan(keys, [bag], order, layout, _last=last_value("_here"))
+    missing = pointed.where("_here IS NULL AND _last IS NOT NULL").select(
+        bag, *order, *[F.col("_last")[c].alias(f"_at_{c}") for c in order]
+    )
+    source = df.where(filled).select(bag, *[F.col(c).alias(f"_at_{c}") for c in order], F.col(blob).alias("_shown"))
+    shown = missing.join(source, [bag, *[f"_at_{c}" for c in order]]).select(bag, *order, "_shown")
+    joined = df.join(shown, [bag, *order], "left")
+    image = F.when(filled, F.col(blob)).otherwise(F.coalesce("_shown", F.lit(b"")))
+    return joined.withColumn(blob, image).select(*df.columns)
 
 
 def concat_packets(
@@ -54,14 +69,14 @@ def concat_packets(
     stream: str = "stream",
     order: Sequence[str] = ("ts_ns", "seq"),
     packet: str = "packet",
-    part_bytes: int = 64 * 1024 * 1024,
+    part_bytes: int = 4 * 1024 * 1024,
     layout: Layout | None = None,
     target_rows: int | None = BLOB_ROWS,
 ) -> DataFrame:
     """The bytes of each stream in order, as parts of about ``part_bytes``.
 
     Parts in order make the whole stream; a value per part keeps every group bounded,
-    whatever the length of the stream. A packet belongs to the part it starts in, so a part
+    whatever the length of the stream. A task holds many parts while it aggregates, so they are small. A packet belongs to the part it starts in, so a part
     is at most one packet longer than the limit.
     """
     sized = df.where(F.octet_length(packet) > 0).withColumn(

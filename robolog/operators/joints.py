@@ -35,20 +35,6 @@ def unpivot_joints(
     )
 
 
-def parse_overrides(items: DataFrame, text: str = "item") -> DataFrame:
-    """``NAME=VALUE`` rows as (joint, override, problem); later duplicates are the caller's."""
-    position = F.instr(F.col(text), "=")
-    name = F.trim(F.split_part(F.col(text), F.lit("="), F.lit(1)))
-    raw = F.when(position > 0, F.expr(f"substring(`{text}`, instr(`{text}`, '=') + 1)"))
-    value = F.trim(raw).try_cast("double")
-    problem = (
-        F.when(position == 0, "no value given")
-        .when(name == "", "no joint given")
-        .when(value.isNull(), "value is no number")
-    )
-    return items.select("*", name.alias("joint"), value.alias("override"), problem.alias("problem"))
-
-
 def override_map(items: Sequence[str]) -> dict[str, float]:
     """The overrides a caller gives, checked; the last one of a joint counts."""
     chosen: dict[str, float] = {}
@@ -61,9 +47,19 @@ def override_map(items: Sequence[str]) -> dict[str, float]:
 
 
 def joint_overrides(
-    rows: DataFrame, overrides: Mapping[str, float], joint: str = "joint", value: str = "angle"
+    rows: DataFrame,
+    overrides: Mapping[str, float],
+    joint: str = "joint",
+    value: str = "angle",
+    joints: Sequence[str] = tuple(ARM_JOINTS),
 ) -> DataFrame:
-    """Replace the value of named joints. The overrides are a literal map, so no join."""
+    """Replace the value of named joints. The overrides are a literal map, so no join.
+
+    A name that is no joint of the robot is an error.
+    """
+    unknown = sorted(set(overrides) - set(joints))
+    if unknown:
+        raise ValueError(f"no such joint: {', '.join(unknown)}")
     if not overrides:
         return rows
     table = F.create_map(*[F.lit(x) for name, v in overrides.items() for x in (name, float(v))])

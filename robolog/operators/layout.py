@@ -22,10 +22,9 @@ TARGET_ROWS = 2_000_000
 # For rows that carry an encoded frame: at 20 kB a packet this is 1 GB per task.
 BLOB_ROWS = 50_000
 HOT = "_hot"
-# Cells per cut for each ``target_rows`` rows in the cell. Rows are rarely even in time;
-# a wide cut reaches bursts in few rounds and costs one summary row per used cell.
-FAN_OUT = 256
-MAX_LEVELS = 16
+# Cells per cut for each ``target_rows`` rows in the cell. Rows are rarely even in time, so
+# some cells of a cut are over-full; only these are cut again.
+FAN_OUT = 8
 
 
 @dataclass(frozen=True)
@@ -89,7 +88,7 @@ def _stats(df: DataFrame, group: list[str], order: tuple[str, ...]) -> DataFrame
 
 
 def _cuts(stats: DataFrame, group: list[str], order: tuple[str, ...], target: int) -> DataFrame:
-    """For every over-full cell that still can be cut: first order column that varies."""
+    """For every over-full cell: the first order column that varies, null if none does."""
     by = lo = hi = F.lit(None).cast("bigint")
     for i in reversed(range(len(order))):
         varies = F.col(f"_max{i}") > F.col(f"_min{i}")
@@ -100,7 +99,6 @@ def _cuts(stats: DataFrame, group: list[str], order: tuple[str, ...], target: in
     return (
         stats.where(F.col("_n") > target)
         .select(*group, by.alias("_by"), lo.alias("_lo"), hi.alias("_hi"), parts.alias("_parts"), "_n")
-        .where(F.col("_by").isNotNull())
         .withColumn("_width", F.expr("(_hi - _lo) DIV _parts + 1"))
         # No more cells than rows, nor than values to tell apart.
         .withColumn("_cells", F.expr("least(_n, (_hi - _lo) DIV _width + 1)"))
@@ -130,8 +128,9 @@ def measure(
 ) -> Layout:
     """Count rows per key and, only if some key is over ``target_rows``, plan its cells.
 
-    One aggregate job in the usual case, none if the counts are known (``total``). ``order`` columns are integers (or booleans).
-    Every level table has at most ``rows / target_rows`` entries, since each entry stands
+    One aggregate job in the usual case, none if the counts are known (``total``). ``order``
+    columns are integers (or booleans). Cells are cut until none is over-full; more rows than
+    one task should hold that agree in all order columns are an error. Every level table has at most ``rows / target_rows`` entries, since each entry stands
     for more than ``target_rows`` rows.
     """
     target = target_rows or TARGET_ROWS
@@ -146,13 +145,21 @@ def measure(
     tagged = df.select(*keys, *order)
     levels: list[Level] = []
     n_cells = total.n_keys
-    while len(levels) < MAX_LEVELS:
+    while True:
         depth = len(levels)
         group = [*keys, *[f"_c{i}" for i in range(depth)]]
-        cuts = materialize(_cuts(_stats(tagged, group, order), group, order, target))
-        found = cuts.agg(
-            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_cells"), F.lit(0)).alias("cells")
+        full = materialize(_cuts(_stats(tagged, group, order), group, order, target))
+        cuts = full.where(F.col("_by").isNotNull())
+        found = full.agg(
+            F.count("_by").alias("n"),
+            F.coalesce(F.sum("_cells"), F.lit(0)).alias("cells"),
+            F.max(F.when(F.col("_by").isNull(), F.col("_n"))).alias("tied"),
         ).first()
+        if (found.tied or 0) > max(target, TARGET_ROWS):
+            raise ValueError(
+                f"{found.tied} rows of one key have equal {', '.join(order)}: they have no order to be cut by; "
+                "add a column that tells them apart"
+            )
         if found.n == 0:
             break
         level = Level(cuts.select(*group, "_by", "_lo", "_width"), found.n)

@@ -2,8 +2,10 @@
 
 Where no key is over-full a scan is a single window: one exchange on the key, one sort.
 For a split layout the same window runs inside each cell, one small summary row per cell is
-scanned over the cells of its key, and the summary is joined back on (key, cell), which
-the windowed rows are already partitioned by. Both forms give the same rows.
+scanned over the cells of its key, and the summary is joined back on (key, cell). Keys may be
+null, so the window and the join both use stand-ins that never are: the join then finds the
+rows where the window has put them, and they are shuffled and sorted once. Both forms give
+the same rows.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from robolog.operators.joins import side_join, table_size
 from robolog.operators.layout import HOT, TARGET_ROWS, Layout, measure
@@ -129,6 +131,12 @@ def scan(
         )
 
     tagged = layout.tag(df)
+    stand_ins = {}
+    for i, key in enumerate(keys):
+        absent = F.lit("" if isinstance(df.schema[key].dataType, T.StringType) else 0).cast(df.schema[key].dataType)
+        stand_ins |= {f"_k{i}": F.coalesce(key, absent), f"_n{i}": F.col(key).isNull()}
+    tagged = tagged.withColumns(stand_ins)
+    keys = list(stand_ins)
     cell_keys = [*keys, *layout.cells]
     local = tagged.select(
         "*", *[_window(spec, cell_keys, order).alias(name) for name, spec in outputs.items()]
@@ -148,10 +156,10 @@ def scan(
         *cell_keys,
         *[_carry(spec, names[name], keys, layout.cells).alias(carried[name]) for name, spec in outputs.items()],
     )
-    joined = side_join(local, carry, cell_keys, "left", rows=layout.n_cells, null_safe=True)
+    joined = side_join(local, carry, cell_keys, "left", rows=layout.n_cells)
     for name, spec in outputs.items():
         joined = joined.withColumn(name, _combine(spec, F.col(name), F.col(carried[name])))
-    return joined.drop(HOT, "_first", *layout.cells, *carried.values())
+    return joined.select(*df.columns, *outputs)
 
 
 def _combine(spec: Scan, local: Column, carry: Column) -> Column:

@@ -253,16 +253,56 @@ def last_segment(df: DataFrame, recording: str, segment: str) -> DataFrame:
     return side_join(df, last, [recording, segment], "left_semi")
 
 
-def hinted_column(columns: Sequence[str], hints: Sequence[str]) -> str | None:
-    """First column that has one of the hints, the hints tried in order."""
-    return next((c for h in hints for c in columns if h in c), None)
+def pick_image_columns(
+    presence: DataFrame, path: str, *, bag: str = "bag_id", column: str = "column_name"
+) -> DataFrame:
+    """Per recording the column that holds the images of ``path`` and the one that names their codec.
 
+    ``presence`` has a row per column a recording holds (repeats are harmless). The image column
+    is the first by name that has one of the hints, else the first of the path; the codec
+    column is the first by the rank of its hint. Either is null if there is none.
+    """
+    name = F.col(column)
+    hinted = F.lit(False)
+    for hint in IMAGE_COLUMN_HINTS:
+        hinted = hinted | name.contains(hint)
+    rank = F.lit(None).cast("int")
+    for i, hint in reversed(list(enumerate(CODEC_COLUMN_HINTS))):
+        rank = F.when(name.contains(hint), F.lit(i)).otherwise(rank)
+    return (
+        presence.where(name.startswith(path + ":"))
+        .groupBy(bag)
+        .agg(
+            F.coalesce(F.min(F.when(hinted, name)), F.min(name)).alias("image_column"),
+            F.min_by(name, F.when(rank.isNotNull(), F.struct(rank, name))).alias("codec_column"),
+        )
+    )
 
-def image_column(columns: Sequence[str], path: str) -> str | None:
-    """Column that holds the images of a path, else any column of the path."""
-    hinted = next((c for c in columns if any(h in c for h in IMAGE_COLUMN_HINTS)), None)
-    return hinted or next((c for c in columns if c.startswith(path + ":")), None)
 
+def reindex_timeline(
+    df: DataFrame,
+    timelines: Mapping[str, str],
+    *,
+    bag: str = "bag_id",
+    ts: str = "ts_ns",
+    picked: DataFrame | None = None,
+) -> DataFrame:
+    """Rows keyed by the preferred timeline of their recording: column ``ts`` and ``timeline``.
 
-def codec_column(columns: Sequence[str]) -> str | None:
-    return hinted_column(columns, CODEC_COLUMN_HINTS)
+    Rows without a value on that timeline are left out, as they have no place on it; recordings
+    without any timeline are listed by ``untimed_recordings``.
+    """
+    picked = pick_timeline(available_timelines(df, timelines, bag=bag), bag=bag) if picked is None else picked
+    joined = side_join(df, picked.select(bag, "timeline"), [bag], "inner")
+    at = F.lit(None).cast("bigint")
+    for name, column in timelines.items():
+        at = F.when(F.col("timeline") == name, F.col(column)).otherwise(at)
+    return joined.withColumn(ts, at).where(F.col(ts).isNotNull())
+
+
+def untimed_recordings(df: DataFrame, timelines: Mapping[str, str], *, bag: str = "bag_id") -> DataFrame:
+    """Recordings whose rows hold no value on any timeline."""
+    some = F.lit(False)
+    for column in timelines.values():
+        some = some | F.col(column).isNotNull()
+    return df.groupBy(bag).agg(F.max(some).alias("_some")).where("NOT _some").select(bag)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from robolog.contracts import DEFAULT_SOURCE_FPS, DEFAULT_TARGET_FPS, FPS_TOLERANCE, NS
 from robolog.operators.align import asof_align
 from robolog.operators.joins import side_join
-from robolog.operators.layout import TARGET_ROWS, Layout, key_counts, measure
+from robolog.operators.layout import TARGET_ROWS, Layout, measure
 from robolog.operators.scan import lag, row_number, running_sum, scan
 from robolog.session import materialize
 
@@ -33,27 +33,38 @@ def time_steps(
 
 
 def exact_median(
-    df: DataFrame, keys: Sequence[str], value: str, out: str, target_rows: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    out: str,
+    layout: Layout,
+    target_rows: int | None = None,
+    rows: str = "_rows",
 ) -> DataFrame:
-    """Exact median of an integer column per key.
+    """Exact median of an integer column per key, and the number of rows (null values too).
 
-    Keys that fit one task use the built-in median. With an over-full key the values are
-    first counted (value, n), which combines before the exchange, and the middle is read
-    off running counts, which are split over tasks as any other scan.
+    ``layout`` is that of rows of which ``df`` has at most as many per key, so nothing is
+    counted anew. Keys that fit one task use the built-in median in the aggregate that counts
+    the rows. With an over-full key the values are first counted (value, n), which combines
+    before the exchange, and the middle is read off running counts, which are split over
+    tasks as any other scan; the two middle values are averaged as the built-in median does.
     """
     keys = list(keys)
-    present = df.where(F.col(value).isNotNull())
-    spread = key_counts(present, keys)
-    if spread.fullest <= (target_rows or TARGET_ROWS):
-        return present.groupBy(*keys).agg(F.median(value).alias(out))
+    if layout.max_rows <= (target_rows or TARGET_ROWS):
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows), F.median(value).alias(out))
     # Read several times below; written once so that the steps are not computed again.
-    counted = materialize(present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
-    running = scan(counted, keys, [value], target_rows=target_rows, _upto=running_sum("_n"))
-    totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    joined = side_join(running, totals, keys, "inner", rows=spread.n_keys)
+    counted = materialize(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
+    known = F.when(F.col(value).isNotNull(), F.col("_n"))
+    totals = counted.groupBy(*keys).agg(F.sum("_n").alias(rows), F.sum(known).alias("_total"))
+    running = scan(
+        counted.where(F.col(value).isNotNull()), keys, [value], target_rows=target_rows, _upto=running_sum("_n")
+    )
+    joined = side_join(running, totals.select(*keys, "_total"), keys, "inner", rows=layout.n_keys, null_safe=True)
     low = F.min(F.when(F.col("_upto") > F.expr("(_total - 1) DIV 2"), F.col(value)))
     high = F.min(F.when(F.col("_upto") > F.expr("_total DIV 2"), F.col(value)))
-    return joined.groupBy(*keys).agg(((low + high) / 2).alias(out))
+    middle = F.when(low == high, low.cast("double")).otherwise(0.5 * low.cast("double") + 0.5 * high.cast("double"))
+    medians = joined.groupBy(*keys).agg(middle.alias(out))
+    return side_join(totals.drop("_total"), medians, keys, "left", rows=layout.n_keys, null_safe=True)
 
 
 def infer_fps(
@@ -70,11 +81,13 @@ def infer_fps(
     The median is cut to whole nanoseconds and the rate is rounded half to even.
     """
     keys = list(keys)
+    if layout is None:
+        layout = measure(frames, keys, [ts, seq], target_rows)
     steps = time_steps(frames, keys, ts=ts, seq=seq, layout=layout, target_rows=target_rows)
-    counts = frames.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_times"))
-    medians = exact_median(steps.where(F.col("step_ns") > 0), keys, "step_ns", "_median", target_rows)
+    positive = steps.withColumn("step_ns", F.when(F.col("step_ns") > 0, F.col("step_ns")))
+    medians = exact_median(positive, keys, "step_ns", "_median", layout, target_rows, "n_times")
     whole = F.col("_median").cast("bigint")
-    return counts.join(medians, keys, "left").select(
+    return medians.select(
         *keys,
         "n_times",
         whole.alias("median_step_ns"),
@@ -99,17 +112,17 @@ def fps_check(
 ) -> DataFrame:
     """Whether each stream already runs at the target rate, over all its steps."""
     keys = list(keys)
+    if layout is None:
+        layout = measure(frames, keys, [ts, seq], target_rows)
     steps = time_steps(frames, keys, ts=ts, seq=seq, layout=layout, target_rows=target_rows)
-    medians = exact_median(steps, keys, "step_ns", "_median", target_rows)
-    counts = frames.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_times"))
+    medians = exact_median(steps, keys, "step_ns", "_median", layout, target_rows, "n_times")
     source = F.when(F.col("n_times") < 2, F.lit(0.0)).otherwise(
         F.try_divide(F.lit(float(NS)), F.col("_median"))
     )
     rate = F.col("source_fps")
     close = F.abs(rate - F.lit(float(target_fps))) / F.lit(float(target_fps)) <= F.lit(tolerance)
     return (
-        counts.join(medians, keys, "left")
-        .withColumn("source_fps", source)
+        medians.withColumn("source_fps", source)
         .select(
             *keys,
             "source_fps",

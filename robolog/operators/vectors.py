@@ -73,7 +73,8 @@ def dim_mismatch(
         df.where(F.col(path).isin(*expected)), keys=keys, path=path, column=column, **names
     )
     by_path = dims.groupBy(*keys, path).agg(
-        F.sum("dim").alias("observed"), F.min_by("sample", column).alias("sample")
+        F.sum("dim").alias("observed"),
+        F.min_by("sample", F.when(F.col("sample").isNotNull(), F.col(column))).alias("sample"),
     )
     wanted = F.explode(_fixed_map(expected)).alias(path, "expected")
     every = df.groupBy(*keys).agg(F.count(F.lit(1))).select(*keys, wanted)

@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from robolog.contracts import ARM_JOINTS
+from robolog.contracts import ARM_JOINTS, IMAGE_PATH
 from robolog.functions.numeric import pad_vector
-from robolog.operators.align import asof_align
-from robolog.operators.images import carry_forward, image_codec, with_media_type
+from robolog.operators.align import asof_align, asof_pointer, fetch
+from robolog.operators.images import image_codec, with_media_type
 from robolog.operators.joins import side_join
 from robolog.operators.joints import joint_pose, unpivot_joints
-from robolog.operators.layout import BLOB_ROWS
+from robolog.operators.select import pick_image_columns
 from robolog.session import materialize, write_once
 
 
 @dataclass(frozen=True)
 class AlignedBags:
-    """Aligned frames of the good recordings, and a status row for every recording."""
+    """Aligned frames of the good recordings, and a status row for every recording of the clock.
+
+    ``status`` has the recording, n_frames, empty_topics, ok, and ``widths`` (topic to width).
+    """
 
     frames: DataFrame
     status: DataFrame
@@ -37,6 +40,9 @@ def align_bags(
     seq: str = "seq",
     value: str = "values",
     missing: str = "zero",
+    optional: Collection[str] = (),
+    texts: Mapping[str, str] | None = None,
+    text: str = "text",
     stage: bool = False,
     target_rows: int | None = None,
 ) -> AlignedBags:
@@ -44,17 +50,19 @@ def align_bags(
 
     The width of a topic is its longest aligned vector, at least the target. Frames before
     a topic's first message get zeros (``missing='zero'``) or are left out (``'drop'``). A
-    recording where some topic never has a value is rejected. All recordings go through one
+    recording where some topic never has a value is rejected, unless the topic is ``optional``;
+    its vectors are then empty. ``texts`` maps topics whose payload is the column ``text`` to
+    their output; they go through the same scan and may be null. All recordings go through one
     job; the per-recording profile (widths, counts) is the only extra table. The aligned
     rows are needed for the profile and for the result: with ``stage`` they are written
     once to the shared folder and read twice, else the join runs twice.
     """
     if missing not in ("zero", "drop"):
         raise ValueError(f"unknown missing policy {missing}")
-    targets = targets or {}
+    targets, texts = targets or {}, texts or {}
     aligned = asof_align(
-        clock, messages, topics, bag=bag, topic=topic, ts=ts, seq=seq, value=value,
-        target_rows=target_rows,
+        clock, messages, {**topics, **texts}, bag=bag, topic=topic, ts=ts, seq=seq,
+        value={**dict.fromkeys(topics, value), **dict.fromkeys(texts, text)}, target_rows=target_rows,
     )
     if stage:
         aligned = write_once(aligned)
@@ -67,19 +75,24 @@ def align_bags(
         )
     )
     empty = F.array_compact(
-        F.array(*[F.when(F.col(f"_c_{c}") == 0, F.lit(p)) for p, c in topics.items()])
-    )
-    status = profile.select(bag, "n_frames", empty.alias("empty_topics")).withColumn(
-        "ok", F.size("empty_topics") == 0
+        F.array(*[
+            F.when(F.col(f"_c_{c}") == 0, F.lit(p)) if p not in optional else F.lit(None).cast("string")
+            for p, c in topics.items()
+        ])
     )
     width = {
-        c: F.greatest(F.col(f"_w_{c}"), F.lit(max(1, targets.get(p, 1)))) for p, c in topics.items()
+        c: F.greatest(F.col(f"_w_{c}"), F.lit(0 if p in optional else max(1, targets.get(p, 1))))
+        for p, c in topics.items()
     }
+    widths = F.map_from_arrays(F.array(*[F.lit(p) for p in topics]), F.array(*[width[c] for c in columns]))
+    status = profile.select(bag, "n_frames", empty.alias("empty_topics"), widths.alias("widths")).withColumn(
+        "ok", F.size("empty_topics") == 0
+    )
     good = profile.where(F.size(empty) == 0).select(bag, *[width[c].alias(f"_w_{c}") for c in columns])
     rows = aligned.dropna(subset=columns) if missing == "drop" else aligned
-    joined = side_join(rows, good, [bag], "inner", rows=profile.count())
+    joined = side_join(rows, good, [bag], "inner")
     frames = joined.select(
-        *clock.columns, *[pad_vector(F.col(c), F.col(f"_w_{c}")).alias(c) for c in columns]
+        *clock.columns, *[pad_vector(F.col(c), F.col(f"_w_{c}")).alias(c) for c in columns], *texts.values()
     )
     return AlignedBags(frames, status)
 
@@ -93,22 +106,31 @@ def align_images(
     seq: str = "seq",
     hint: str = "encoding",
     blob: str = "blob",
-    target_rows: int | None = BLOB_ROWS,
+    column: str | None = None,
+    path: str = IMAGE_PATH,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """An encoded image topic on the camera clock, with its media type.
 
-    Frames without an image repeat the last one; before the first the bytes are empty.
+    Frames without an image repeat the last one; before the first the bytes are empty. With
+    ``column`` (the name of the column a row's payload came from) each recording's image
+    column and codec column of ``path`` are picked first: only the former's images count, and
+    only the latter's encodings. The clock is pointed to images by their keys; the bytes are
+    moved once, to the frames that show them.
     """
-    filled = images.withColumn(blob, F.when(F.octet_length(blob) > 0, F.col(blob)))
-    tagged = filled.withColumn("_topic", F.lit("image"))
-    aligned = asof_align(
-        clock, tagged, {"image": blob}, bag=bag, topic="_topic", ts=ts, seq=seq, value=blob,
-        target_rows=target_rows,
+    if column:
+        picked = pick_image_columns(images.select(bag, column).distinct(), path, bag=bag, column=column)
+        known = side_join(images, picked, [bag], "inner")
+        images = known.withColumns({
+            blob: F.when(F.col(column) == F.col("image_column"), F.col(blob)),
+            hint: F.when(F.col(column) == F.coalesce("codec_column", "image_column"), F.col(hint)),
+        }).drop("image_column", "codec_column")
+    pointed = asof_pointer(
+        clock, images, F.octet_length(blob) > 0, bag=bag, ts=ts, seq=seq, target_rows=target_rows
     )
     codecs = image_codec(images, bag=bag, order=(ts, seq), hint=hint, blob=blob)
-    # The latest-at join skips empty images already, so what is left is the empty lead.
-    shown = aligned.withColumn(blob, F.coalesce(blob, F.lit(b"")))
-    return with_media_type(shown, codecs, bag=bag)
+    shown = fetch(pointed, images.where(F.octet_length(blob) > 0), [blob], bag=bag, ts=ts, seq=seq)
+    return with_media_type(shown.withColumn(blob, F.coalesce(blob, F.lit(b""))), codecs, bag=bag)
 
 
 def aligned_joints(
@@ -135,6 +157,8 @@ def aligned_joints(
         clock, tagged, {"position": "position"}, bag=bag, topic="_topic", ts=ts, seq=seq,
         value=value, target_rows=target_rows,
     )
+    # Read for the widths and for the result.
+    aligned = write_once(aligned)
     n = len(ARM_JOINTS)
     widest = aligned.groupBy(bag).agg(F.max(F.size("position")).alias("_widest"))
     checked = side_join(aligned, widest, [bag], "left")

@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-SHUFFLE_BYTES = 128 * 1024 * 1024
-
-
-def shuffle_partitions(input_bytes: int, cores: int) -> int:
-    """Partitions of about 128 MB each for a shuffle of the whole input, two per core at least.
-
-    Adaptive execution merges small ones again, so this is an upper bound, not a fixed cut.
-    """
-    return max(2 * cores, -(-input_bytes // SHUFFLE_BYTES))
-
-
 def build_session(app: str = "robolog", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are written for.
 
@@ -31,6 +22,7 @@ def build_session(app: str = "robolog", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -42,12 +34,13 @@ def build_session(app: str = "robolog", master: str | None = None, **conf: str)
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (a local test) is a temporary folder used.
+    Only where the setting is absent in a session with a single process (a local test) is a
+    temporary folder used.
     """
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = "file://" + tempfile.mkdtemp(prefix="robolog-")
     if not context.getCheckpointDir():
@@ -73,6 +66,33 @@ def write_once(df: DataFrame, path: str | None = None) -> DataFrame:
     costs a re-read instead of the whole lineage.
     """
     spark = df.sparkSession
-    path = path or scratch_path(spark, "stage")
+    if path is None:
+        path = scratch_path(spark, "stage")
+        _staged.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_staged: list[str] = []
+
+
+@contextmanager
+def discard_staged(spark: SparkSession):
+    """Remove, on leaving, the folders that ``write_once`` has filled inside the block.
+
+    For jobs that end by writing their result elsewhere: nothing read after the block may
+    depend on them. (Checkpoints are removed by Spark when their tables are no longer in use.)
+    """
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        for path in _staged[before:]:
+            remove(spark, path)
+        del _staged[before:]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -17,8 +17,9 @@ def read_messages(
 ) -> DataFrame:
     """The message log below ``path`` (folders named ``bag_id=...`` give the recording).
 
-    With ``strict`` a malformed record fails the read; else its fields come out null and
-    the record is kept in ``_corrupt`` for JSON and CSV.
+    A file that cannot be read fails the read. In JSON and CSV a malformed record does so
+    with ``strict``; else its fields come out null and the record is kept in ``_corrupt``,
+    which ``ingest_report`` counts.
     """
     reader = spark.read.option("recursiveFileLookup", "false")
     if fmt in ("json", "csv"):
@@ -32,12 +33,7 @@ def read_messages(
             .format(fmt)
             .load(path)
         )
-    return (
-        reader.schema(schema)
-        .option("ignoreCorruptFiles", str(not strict).lower())
-        .format(fmt)
-        .load(path)
-    )
+    return reader.schema(schema).option("ignoreCorruptFiles", "false").format(fmt).load(path)
 
 
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
