@@ -29,6 +29,11 @@ def ascii_lower(text: str | Column = "text") -> Column:
     return F.translate(F.coalesce(column.cast("string"), F.lit("")), UPPER, UPPER.lower())
 
 
+def has_repeats(df: DataFrame, key: str) -> bool:
+    """Whether some id stands in several rows. Only the ids are read."""
+    return not df.groupBy(key).count().where("count > 1").isEmpty()
+
+
 def once(key: object, build: Callable[[], object]) -> object:
     """What ``build`` gives, kept for the life of a Python worker (a tokenizer, a lookup table)."""
     held = sys.modules.setdefault("robolog_worker_state", types.ModuleType("robolog_worker_state")).__dict__

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from robolog.llm.common import ascii_lower, body
+from robolog.llm.common import ascii_lower, body, has_repeats
 
 #: Bytes of distinct content a table holds before its bucket is partitioned again.
 TABLE_BYTES = 64 << 20
@@ -203,4 +203,6 @@ def drop_exact(docs: DataFrame, key: str = "doc_id", text: str = "text", table_b
         groups.withColumnRenamed("__digest", "__d"),
         (F.col("__digest") == F.col("__d")) & F.col(key).eqNullSafe(F.col("__keep_id")),
     )
-    return kept.dropDuplicates(["__digest", key]).select(*docs.columns)
+    # Only where an id stands in several rows can a row repeat.
+    kept = kept.dropDuplicates(["__digest", key]) if has_repeats(docs, key) else kept
+    return kept.select(*docs.columns)
