@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from robolog.llm.common import body, once, pieces
+from robolog.llm.common import body, give_back, once, pieces
 from robolog.llm.linear import MOST_LOGIT, BagModel, WordNumbers, char_grams, class_odds, fit_in_one_task, labelled_sample, odds_shift, stack
 
 #: Labelled rows of each class, and rows without a label, that the classifiers are fitted on, at most.
@@ -158,4 +158,4 @@ def score_quality(docs: DataFrame, model: bytes, key: str = "doc_id", text: str
                 )
 
     rows = docs.select(F.col(key).alias("doc_id"), body(text).alias("content"), *_meta_columns())
-    return rows.mapInArrow(run, f"doc_id {key_type}, p_text double, p_meta double, score double, kept boolean").withColumnRenamed("doc_id", key)
+    return rows.mapInArrow(give_back(run), f"doc_id {key_type}, p_text double, p_meta double, score double, kept boolean").withColumnRenamed("doc_id", key)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -42,6 +44,25 @@ def once(key: object, build: Callable[[], object]) -> object:
     return held[key]
 
 
+def give_back(run: Callable) -> Callable:
+    """A function over Arrow batches that hands freed memory back to the system when its task ends.
+
+    Workers are reused by tasks of other stages, and what they no longer use would count against
+    the executor as long as they live.
+    """
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser, so that every output bit depends on every input bit."""
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)

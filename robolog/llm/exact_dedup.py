@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from robolog.llm.common import ascii_lower, body, has_repeats
+from robolog.llm.common import ascii_lower, body, give_back, has_repeats
 
 #: Bytes of distinct content a table holds before its bucket is partitioned again.
 TABLE_BYTES = 64 << 20
@@ -154,8 +154,8 @@ def content_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", tab
             yield _named(out, held[0])
 
     schema = f"digest binary, content binary, keep_id {id_type.simpleString()}, n bigint"
-    local = rows.mapInArrow(first, schema)
-    return local.repartition("digest").mapInArrow(last, f"digest binary, keep_id {id_type.simpleString()}, group_size bigint")
+    local = rows.mapInArrow(give_back(first), schema)
+    return local.repartition("digest").mapInArrow(give_back(last), f"digest binary, keep_id {id_type.simpleString()}, group_size bigint")
 
 
 def _named(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
@@ -179,7 +179,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", table
 
     members = (
         docs.select(F.col(key).alias("doc_id"), body(text).alias("content"))
-        .mapInArrow(digests, f"doc_id {id_type}, digest binary")
+        .mapInArrow(give_back(digests), f"doc_id {id_type}, digest binary")
         .groupBy("doc_id", "digest")
         .agg(F.count("*").alias("n"))
     )

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from robolog.llm.common import body, once, pieces
+from robolog.llm.common import body, give_back, once, pieces
 from robolog.operators.joins import side_join
 
 #: Character n-grams of 1 to 3 code points are hashed into so many features.
@@ -184,7 +184,7 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], seen))], ["feature", "df"])
 
-    found = docs.select(body(text).alias("content")).mapInArrow(count, "feature bigint, df bigint")
+    found = docs.select(body(text).alias("content")).mapInArrow(give_back(count), "feature bigint, df bigint")
     return found.groupBy("feature").agg(F.sum("df").alias("df"))
 
 
@@ -220,7 +220,7 @@ def fit_language(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
         yield pa.RecordBatch.from_arrays([pa.array([fit_rows(rows, idf)], pa.binary())], ["model"])
 
     sample = language_sample(docs, key, text, lang, per_language)
-    fitted = sample.repartition(1).sortWithinPartitions("sample_order").mapInArrow(run, "model binary").collect()
+    fitted = sample.repartition(1).sortWithinPartitions("sample_order").mapInArrow(give_back(run), "model binary").collect()
     return bytes(fitted[0]["model"]) if fitted else fit_rows([], idf)
 
 
@@ -275,7 +275,7 @@ def identify(docs: DataFrame, model: bytes, key: str = "doc_id", text: str = "te
                 )
 
     rows = docs.select(F.col(key).alias("doc_id"), held_out(key).alias("held_out"), body(text).alias("content"))
-    return rows.mapInArrow(run, f"doc_id {key_type}, held_out boolean, lang_pred string, score double").withColumnRenamed("doc_id", key)
+    return rows.mapInArrow(give_back(run), f"doc_id {key_type}, held_out boolean, lang_pred string, score double").withColumnRenamed("doc_id", key)
 
 
 def keep_identified(docs: DataFrame, model: bytes, min_score: float, text: str = "text") -> DataFrame:
@@ -295,4 +295,4 @@ def keep_identified(docs: DataFrame, model: bytes, min_score: float, text: str =
                 yield part.select(list(range(width))).filter(pa.array(keep, pa.bool_()))
 
     rows = docs.select(*docs.columns, body(text).alias("language_id_content"))
-    return rows.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(give_back(run), docs.schema)

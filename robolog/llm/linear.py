@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from robolog.llm.common import mix64
+from robolog.llm.common import give_back, mix64
 
 #: Log-odds are kept within this, so that a probability is never 0 or 1.
 MOST_LOGIT = 30.0
@@ -149,7 +149,7 @@ def fit_in_one_task(sample: DataFrame, fit: Callable[[list[dict]], bytes]) -> by
         rows = [row for batch in batches for row in batch.to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array([fit(rows)], pa.binary())], ["model"])
 
-    fitted = sample.repartition(1).sortWithinPartitions("sample_order").mapInArrow(run, "model binary").collect()
+    fitted = sample.repartition(1).sortWithinPartitions("sample_order").mapInArrow(give_back(run), "model binary").collect()
     return bytes(fitted[0]["model"]) if fitted else fit([])
 
 

@@ -10,13 +10,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from robolog.llm.common import body, once, pieces, spread
+from robolog.llm.common import body, give_back, once, pieces, spread
 
 SPACE = "▁"
 #: The rank of a pair that does not merge.
 NEVER = np.int64(1 << 40)
-#: Words whose ids a worker keeps, and characters of a word that is kept.
-KEPT_WORDS, KEPT_LENGTH = 300_000, 64
+#: Words whose ids a worker keeps.
+KEPT_WORDS = 150_000
 
 
 class KeyIndex:
@@ -324,4 +324,4 @@ def encode_texts(docs: DataFrame, model_path: str, key: str = "doc_id", text: st
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *arrays], ["doc_id", *names])
 
     rows = docs.select(F.col(key).alias("doc_id"), body(text).alias("content"))
-    return rows.mapInArrow(run, f"doc_id {key_type}, {columns}").withColumnRenamed("doc_id", key)
+    return rows.mapInArrow(give_back(run), f"doc_id {key_type}, {columns}").withColumnRenamed("doc_id", key)

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from robolog.llm.common import body, once, pieces
+from robolog.llm.common import body, give_back, once, pieces
 from robolog.llm.linear import BagModel, WordNumbers, char_grams, class_odds, fit_in_one_task, labelled_sample, odds_shift, stack
 
 #: Labelled rows of each class that the classifier is fitted on, at most.
@@ -121,4 +121,4 @@ def apply_rules(docs: DataFrame, model: bytes, key: str = "doc_id", text: str =
 
     rows = docs.select(F.col(key).alias("doc_id"), body(text).alias("content"))
     schema = f"doc_id {key_type}, " + ", ".join(f"{n} bigint" for n in names) + ", base_failed boolean, p_quality double, kept boolean"
-    return rows.mapInArrow(run, schema).withColumnRenamed("doc_id", key)
+    return rows.mapInArrow(give_back(run), schema).withColumnRenamed("doc_id", key)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from robolog.llm.anchors import runs
-from robolog.llm.common import body, pieces
+from robolog.llm.common import body, give_back, pieces
 from robolog.llm.run_index import MOST_SYMBOLS, earlier_windows
 from robolog.session import materialize, write_once
 
@@ -103,7 +103,7 @@ def anchored_runs(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, held_
         if held:
             yield from _merged(held)
 
-    return rows.mapInArrow(run, "key bigint, print bigint, doc bigint, start bigint, place bigint")
+    return rows.mapInArrow(give_back(run), "key bigint, print bigint, doc bigint, start bigint, place bigint")
 
 
 def _ranges(texts: list[bytes]):
@@ -220,13 +220,13 @@ def repeated_stretches(rows: DataFrame, length: int = LENGTH, gram: int = GRAM,
     """
     found = anchored_runs(rows, length, gram, held_runs)
     dealt = found.repartition(F.coalesce("key", F.xxhash64("doc", "start"))).sortWithinPartitions("key", "print", "doc", "start")
-    marked = write_once(dealt.mapInArrow(_marked, "key bigint, doc bigint, start bigint, stop bigint"))
+    marked = write_once(dealt.mapInArrow(give_back(_marked), "key bigint, doc bigint, start bigint, stop bigint"))
     mixed = marked.where("key IS NOT NULL")
     large = materialize(mixed.groupBy("key").agg(F.sum(F.col("stop") - F.col("start") + 1).alias("size")).where(F.col("size") > index_bytes).select("key"))
     snippets = rows.join(mixed, "doc").select("key", "doc", "start", F.expr("substring(content, CAST(start + 1 AS INT), CAST(stop - start AS INT))").alias("content"))
     any_large = not large.isEmpty()
     small = snippets.join(large, "key", "left_anti") if any_large else snippets
-    indexed = small.repartition("key").sortWithinPartitions("key", "doc", "start").mapInArrow(_indexed(length), "doc bigint, start bigint, stop bigint")
+    indexed = small.repartition("key").sortWithinPartitions("key", "doc", "start").mapInArrow(give_back(_indexed(length)), "doc bigint, start bigint, stop bigint")
     out = marked.where("key IS NULL").select("doc", "start", "stop").unionByName(indexed)
     if any_large:
         out = out.unionByName(_window_repeats(snippets.join(large, "key", "left_semi"), length))
@@ -262,7 +262,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                 yield pa.RecordBatch.from_arrays([part.column(0), *numbers, *rest], ["doc", "n_bytes", "n_removed", "n_spans", *(["kept_sha256"] if digests else ["spans", "kept"])])
 
     last = "kept_sha256 string" if digests else "spans array<struct<start:bigint,stop:bigint>>, kept binary"
-    done = joined.mapInArrow(run, f"doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, {last}")
+    done = joined.mapInArrow(give_back(run), f"doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, {last}")
     own = F.when(F.col("doc") >= NO_ID + most, F.expr(f"(doc - pmod(doc, {most}L)) div {most}L"))
     return done.withColumn("doc", own).withColumnRenamed("doc", key)
 

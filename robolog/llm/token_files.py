@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from robolog.llm.common import body, once, pieces, spread
+from robolog.llm.common import body, give_back, once, pieces, spread
 from robolog.llm.token_coder import ID_BITS, decode_blocks, encode_blocks
 from robolog.session import scratch_path, write_once
 
@@ -26,7 +26,7 @@ FILE_BYTES = 32 << 20
 HEAD = "<4sIIIII"
 HEAD_SIZE = struct.calcsize(HEAD)
 MAGIC, CONTINUES = b"RTB1", 1 << 31
-KEPT_UNITS, KEPT_LENGTH = 300_000, 64
+KEPT_UNITS = 150_000
 NO_ID = -(1 << 63)
 
 _CUT, _RUN = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s\s")
@@ -163,7 +163,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, key: str
         yield from flush(True)
 
     ordered = rows.repartitionByRange(int(files), "doc").sortWithinPartitions("doc", F.xxhash64("content"))
-    frames = ordered.mapInArrow(run, "frame binary")
+    frames = ordered.mapInArrow(give_back(run), "frame binary")
     frames.select(F.col("frame").cast("string").alias("value")).write.mode("overwrite").option("lineSep", "\n").text(path)
 
 
@@ -236,7 +236,7 @@ def read_token_files(spark: SparkSession, path: str, digests: bool = False, lane
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
     last = "ids_crc32 bigint" if digests else "ids array<int>"
-    return files.mapInArrow(run, f"file string, place bigint, doc_id bigint, n_tokens bigint, {last}")
+    return files.mapInArrow(give_back(run), f"file string, place bigint, doc_id bigint, n_tokens bigint, {last}")
 
 
 def _batch(rows: list[tuple], digests: bool) -> pa.RecordBatch:
