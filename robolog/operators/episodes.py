@@ -39,6 +39,7 @@ def number_frames(
     seq: str = "seq",
     layout: Layout | None = None,
     target_rows: int | None = None,
+    size: int | None = None,
 ) -> DataFrame:
     """Add episode_index, frame_index, index and timestamp to the rows of each episode.
 
@@ -49,7 +50,7 @@ def number_frames(
         layout = measure(rows, [segment], [ts, seq], target_rows)
     ordered = scan(rows, [segment], [ts, seq], layout, _rn=row_number())
     side = episodes.select(segment, "episode_index", "first_index", "first_ns")
-    joined = side_join(ordered, side, [segment], "inner", rows=layout.n_keys)
+    joined = side_join(ordered, side, [segment], "inner", rows=layout.n_keys, size=size)
     seconds = (F.col(ts) - F.col("first_ns")) / float(NS)
     return (
         joined.withColumn("frame_index", F.col("_rn") - 1)
@@ -59,6 +60,19 @@ def number_frames(
     )
 
 
+def file_places(
+    episodes: DataFrame, *, target_mb: float, files_per_chunk: int = FILES_PER_CHUNK
+) -> DataFrame:
+    """Chunk and file of episodes whose ``bytes_before`` is known: a file is full once it has the target size."""
+    file = F.floor(F.col("bytes_before") / F.lit(target_mb * MB)).cast("bigint")
+    return (
+        episodes.withColumn("_file", file)
+        .withColumn("chunk_index", F.expr(f"_file DIV {files_per_chunk}"))
+        .withColumn("file_index", F.expr(f"_file % {files_per_chunk}"))
+        .drop("_file")
+    )
+
+
 def task_table(
     rows: DataFrame, *, order: Sequence[str] = ("segment_id", "ts_ns", "seq"), task: str = "task"
 ) -> DataFrame:
@@ -138,11 +152,5 @@ def file_assignment(
 ) -> DataFrame:
     """Chunk and file of each episode: a file is full once it has reached the target size."""
     sized = numbered(episodes, order, "_row", bytes_before=size).drop("_row")
-    files = F.floor(F.col("bytes_before") / F.lit(target_mb * MB)).cast("bigint")
-    return (
-        sized.withColumn("_file", files)
-        .withColumn("chunk_index", F.expr(f"_file DIV {files_per_chunk}"))
-        .withColumn("file_index", F.expr(f"_file % {files_per_chunk}"))
-        .withColumn("path", F.format_string(template, "chunk_index", "file_index"))
-        .drop("_file")
-    )
+    placed = file_places(sized, target_mb=target_mb, files_per_chunk=files_per_chunk)
+    return placed.withColumn("path", F.format_string(template, "chunk_index", "file_index"))

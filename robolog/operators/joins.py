@@ -10,8 +10,6 @@ from robolog.session import materialize
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 FIXED_BYTES = 16
-# Room given to a text key whose length is not measured.
-TEXT_KEY_BYTES = 256
 
 _FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType)
 
@@ -44,24 +42,21 @@ def side_join(
     how: str = "left",
     rows: int | None = None,
     null_safe: bool = False,
+    size: int | None = None,
 ) -> DataFrame:
     """Join ``df`` to a per-key side table without moving ``df`` when that is safe.
 
-    ``rows`` is a known bound on the side table. When it is not known, or the side holds
-    values of no fixed size, the side is computed once (written to the shared folder) and
-    measured. Up to ``BROADCAST_BYTES`` it is broadcast, so a hot key in ``df`` stays
+    ``size`` is its size in bytes, if the caller has measured it; ``rows`` is a known bound on
+    its rows, enough if all its columns have a fixed size. Else the side is computed once
+    (written to the shared folder) and measured, the texts by their actual length. Up to ``BROADCAST_BYTES`` it is broadcast, so a hot key in ``df`` stays
     spread over its tasks. Above that the shuffle join runs, where adaptive execution
     splits skewed partitions of ``df``.
     """
-    widths = [
-        FIXED_BYTES if isinstance(f.dataType, _FIXED) else TEXT_KEY_BYTES if f.name in on else None
-        for f in side.schema
-    ]
-    if rows is not None and rows * FIXED_BYTES * len(widths) > BROADCAST_BYTES:
-        size = BROADCAST_BYTES + 1
-    elif rows is not None and None not in widths:
-        size = rows * sum(widths)
-    else:
+    least = (rows or 0) * FIXED_BYTES * len(side.columns)
+    fixed = all(isinstance(f.dataType, _FIXED) for f in side.schema)
+    if size is None and rows is not None and (fixed or least > BROADCAST_BYTES):
+        size = least
+    if size is None:
         side = materialize(side)
         _, size = table_size(side)
     if null_safe:

@@ -35,6 +35,33 @@ def unpivot_joints(
     )
 
 
+def parse_overrides(items: DataFrame, text: str = "item") -> DataFrame:
+    """``NAME=VALUE`` rows as (joint, override, problem); later duplicates are the caller's."""
+    position = F.instr(F.col(text), "=")
+    name = F.trim(F.split_part(F.col(text), F.lit("="), F.lit(1)))
+    raw = F.when(position > 0, F.expr(f"substring(`{text}`, instr(`{text}`, '=') + 1)"))
+    value = F.trim(raw).try_cast("double")
+    problem = (
+        F.when(position == 0, "no value given")
+        .when(name == "", "no joint given")
+        .when(value.isNull(), "value is no number")
+    )
+    return items.select("*", name.alias("joint"), value.alias("override"), problem.alias("problem"))
+
+
+def override_table(items: DataFrame, text: str = "item") -> dict[str, float]:
+    """The overrides a table of ``NAME=VALUE`` rows gives; a row that is none is an error.
+
+    The map is as small as the robot has joints: repeats are merged before it is collected, and
+    of several values of a joint the largest counts.
+    """
+    parsed = parse_overrides(items, text)
+    wrong = parsed.where("problem IS NOT NULL").select(text, "problem").limit(1).collect()
+    if wrong:
+        raise ValueError(f"override '{wrong[0][0]}': {wrong[0][1]}")
+    return {r.joint: r.override for r in parsed.groupBy("joint").agg(F.max("override").alias("override")).collect()}
+
+
 def override_map(items: Sequence[str]) -> dict[str, float]:
     """The overrides a caller gives, checked; the last one of a joint counts."""
     chosen: dict[str, float] = {}

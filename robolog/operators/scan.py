@@ -173,17 +173,20 @@ def _combine(spec: Scan, local: Column, carry: Column) -> Column:
     return F.coalesce(local, carry)
 
 
-def numbered(df: DataFrame, order: str, name: str, **sums: str) -> DataFrame:
+def numbered(
+    df: DataFrame, order: str, name: str, *, known: tuple[int, int] | None = None, **sums: str
+) -> DataFrame:
     """Number the rows of a small table 0.. by ``order``, with running sums before each row.
 
     For tables with one row per recording, segment or task. ``sums`` maps an output name
     to the column summed over all earlier rows. While the table fits one task it is one
     window. A larger one is range partitioned, written to the shared folder (so that the
     partition number is fixed), and numbered per partition with carried totals. ``order``
-    may be of any sortable type.
+    may be of any sortable type. ``known`` gives rows and bytes of a table that is written
+    already.
     """
-    small = materialize(df)
-    rows, size = table_size(small)
+    small = df if known else materialize(df)
+    rows, size = known or table_size(small)
     before = (Window.unboundedPreceding, -1)
     if rows <= TARGET_ROWS and size <= ONE_TASK_BYTES:
         whole = Window.orderBy(order)

@@ -6,7 +6,7 @@ import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from robolog.contracts import DEFAULT_SOURCE_FPS, DEFAULT_TARGET_FPS, FPS_TOLERANCE, NS
 from robolog.operators.align import asof_align
@@ -37,19 +37,21 @@ def exact_median(
     keys: Sequence[str],
     value: str,
     out: str,
-    layout: Layout,
     target_rows: int | None = None,
+    layout: Layout | None = None,
     rows: str = "_rows",
 ) -> DataFrame:
     """Exact median of an integer column per key, and the number of rows (null values too).
 
-    ``layout`` is that of rows of which ``df`` has at most as many per key, so nothing is
-    counted anew. Keys that fit one task use the built-in median in the aggregate that counts
+    ``layout`` may be that of rows of which ``df`` has at most as many per key; nothing is
+    counted anew then. Keys that fit one task use the built-in median in the aggregate that counts
     the rows. With an over-full key the values are first counted (value, n), which combines
     before the exchange, and the middle is read off running counts, which are split over
     tasks as any other scan; the two middle values are averaged as the built-in median does.
     """
     keys = list(keys)
+    if layout is None:
+        layout = measure(df.where(F.col(value).isNotNull()), keys, [value], target_rows)
     if layout.max_rows <= (target_rows or TARGET_ROWS):
         return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows), F.median(value).alias(out))
     # Read several times below; written once so that the steps are not computed again.
@@ -85,7 +87,7 @@ def infer_fps(
         layout = measure(frames, keys, [ts, seq], target_rows)
     steps = time_steps(frames, keys, ts=ts, seq=seq, layout=layout, target_rows=target_rows)
     positive = steps.withColumn("step_ns", F.when(F.col("step_ns") > 0, F.col("step_ns")))
-    medians = exact_median(positive, keys, "step_ns", "_median", layout, target_rows, "n_times")
+    medians = exact_median(positive, keys, "step_ns", "_median", target_rows, layout, "n_times")
     whole = F.col("_median").cast("bigint")
     return medians.select(
         *keys,
@@ -115,7 +117,7 @@ def fps_check(
     if layout is None:
         layout = measure(frames, keys, [ts, seq], target_rows)
     steps = time_steps(frames, keys, ts=ts, seq=seq, layout=layout, target_rows=target_rows)
-    medians = exact_median(steps, keys, "step_ns", "_median", layout, target_rows, "n_times")
+    medians = exact_median(steps, keys, "step_ns", "_median", target_rows, layout, "n_times")
     source = F.when(F.col("n_times") < 2, F.lit(0.0)).otherwise(
         F.try_divide(F.lit(float(NS)), F.col("_median"))
     )
@@ -265,6 +267,10 @@ def keep_frames(
     Frame i is kept when its time i / source reaches the next output instant. The rule is
     a function of the frame number alone, so it needs no state and no order.
     """
+    return df.where(_keep_rule(frame_no, source_fps, target_fps, max_seconds))
+
+
+def _keep_rule(frame_no: str, source_fps: float, target_fps: float, max_seconds: float) -> Column:
     if target_fps <= 0:
         raise ValueError(f"target fps must be positive, got {target_fps}")
     source = float(source_fps if source_fps and source_fps > 0 else DEFAULT_SOURCE_FPS)
@@ -278,12 +284,25 @@ def keep_frames(
     due_here = F.expr(f"`{frame_no}` = 0 OR {due(f'`{frame_no}`')} > {due(f'(`{frame_no}` - 1)')}")
     planned = F.col(frame_no) <= int(max_seconds * source) - 1
     problem = F.raise_error(F.lit("stream is longer than max_seconds")).cast("boolean")
-    return df.where(F.when(planned, due_here).otherwise(problem))
+    return F.when(planned, due_here).otherwise(problem)
+
+
+# Distinct source rates that are planned in one query.
+MOST_RATES = 256
+
+
+def _source_rates(frames: DataFrame, column: str) -> list[float]:
+    """The distinct positive rates of a column (few: rates of cameras)."""
+    found = frames.where(F.col(column) > 0).select(F.col(column).cast("double").alias("r")).distinct()
+    rates = [r.r for r in found.orderBy("r").limit(MOST_RATES + 1).collect()]
+    if len(rates) > MOST_RATES:
+        raise ValueError(f"more than {MOST_RATES} source rates in {column}: round them first")
+    return rates
 
 
 def downsample_fps(
     frames: DataFrame,
-    source_fps: float,
+    source_fps: float | str,
     target_fps: float = DEFAULT_TARGET_FPS,
     *,
     keys: Sequence[str] = ("bag_id",),
@@ -293,13 +312,22 @@ def downsample_fps(
 ) -> DataFrame:
     """Number the frames of each stream from 0 and keep those the target rate asks for.
 
-    The rule is planned for the longest stream the layout has counted.
+    ``source_fps`` is one rate, or the column that holds each recording's own. The rule is
+    planned for each rate and for the longest stream the layout has counted.
     """
     keys = list(keys)
     if layout is None:
         layout = measure(frames, keys, order, target_rows)
-    source = source_fps if source_fps and source_fps > 0 else DEFAULT_SOURCE_FPS
-    longest = (layout.max_rows + 1) / source
     numbered = scan(frames, keys, order, layout, _rn=row_number())
     numbered = numbered.withColumn("frame_no", F.col("_rn") - 1).drop("_rn")
+    if isinstance(source_fps, str):
+        rates = _source_rates(frames, source_fps)
+        kept = F.lit(None).cast("boolean")
+        for rate in rates:
+            rule = _keep_rule("frame_no", rate, target_fps, (layout.max_rows + 1) / rate)
+            kept = F.when(F.col(source_fps).cast("double") == F.lit(rate), rule).otherwise(kept)
+        unknown = _keep_rule("frame_no", DEFAULT_SOURCE_FPS, target_fps, (layout.max_rows + 1) / DEFAULT_SOURCE_FPS)
+        return numbered.where(F.when(F.col(source_fps) > 0, kept).otherwise(unknown))
+    source = source_fps if source_fps and source_fps > 0 else DEFAULT_SOURCE_FPS
+    longest = (layout.max_rows + 1) / source
     return keep_frames(numbered, "frame_no", source_fps, target_fps, longest)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from robolog.functions.numeric import float_castable
+from robolog.functions.numeric import flatten_lists, float_castable
 
 
 def _fixed_map(values: Mapping[str, int]) -> Column:
@@ -39,12 +39,13 @@ def column_dims(
     values: str = "values",
     order: Sequence[str] = ("ts_ns", "seq"),
 ) -> DataFrame:
-    """Length of the first non-empty value of each column."""
-    size = F.size(values)
-    at = F.when(size > 0, F.struct(*order))
-    return df.groupBy(*keys, path, column).agg(
-        F.coalesce(F.min_by(size, at), F.lit(0)).cast("bigint").alias("dim"),
-        F.min_by(values, at).alias("sample"),
+    """Length of the first non-empty value of each column, lists flattened."""
+    flat = flatten_lists(F.col(values), df.schema[values].dataType)
+    sized = df.select(*keys, path, column, *order, F.col(values).alias("_value"), F.size(flat).alias("_size"))
+    at = F.when(F.col("_size") > 0, F.struct(*order))
+    return sized.groupBy(*keys, path, column).agg(
+        F.coalesce(F.min_by("_size", at), F.lit(0)).cast("bigint").alias("dim"),
+        F.min_by("_value", at).alias("sample"),
     )
 
 

@@ -2,32 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from robolog.contracts import DEFAULT_TASK, STATE_WIDTHS, source_paths
-from robolog.functions.numeric import concat_vectors, has_width
+from robolog.contracts import DEFAULT_TASK, POSE_PATHS, STATE_WIDTHS, TEXT_PATH, column_preferences, source_paths
+from robolog.functions.numeric import concat_vectors, has_width, pad_vector
 from robolog.functions.times import frame_time, task_text
 from robolog.operators.episodes import (
+    FILES_PER_CHUNK,
     episode_stats,
     episode_table,
     episode_tasks,
-    file_assignment,
+    file_places,
     number_frames,
     stats_arrays,
     task_join,
     task_table,
 )
-from robolog.operators.joins import side_join
+from robolog.operators.joins import side_join, table_size
 from robolog.operators.layout import measure, totals
 from robolog.operators.quality import require, run_report
-from robolog.plans.align import align_bags
-from robolog.session import write_once
-from robolog.sinks.publish import read_dataset, write_dataset, write_meta
-from robolog.sources.catalog import read_anchors
-from robolog.sources.log import read_frames, read_messages
+from robolog.operators.scan import numbered
+from robolog.operators.select import pick_columns, reindex_timeline
+from robolog.operators.timeline import infer_fps
+from robolog.plans.align import AlignedBags, align_bags
+from robolog.session import discard_staged, materialize, write_once
+from robolog.sinks.publish import episode_files, read_dataset, write_dataset, write_meta
+from robolog.sources.catalog import in_bags, list_files, read_anchors
+from robolog.sources.log import read_frames, read_messages, timeline_columns
 
 
 VECTORS = {"action": "action", "observation_state": "observation_state"}
@@ -35,10 +39,13 @@ VECTORS = {"action": "action", "observation_state": "observation_state"}
 
 @dataclass(frozen=True)
 class Dataset:
+    """Numbered frames and their tables; ``rejected`` has (segment, n_bad, reason) of what is not in them."""
+
     frames: DataFrame
     episodes: DataFrame
     tasks: DataFrame
     rejected: DataFrame
+    info: DataFrame
 
 
 def episode_frames(
@@ -92,48 +99,97 @@ def build_dataset(
     ts: str = "ts_ns",
     seq: str = "seq",
     file_mb: float = 100.0,
-    **options,
+    task: str | None = None,
+    task_default: str = DEFAULT_TASK,
+    task_override: str | None = None,
+    fps: DataFrame | None = None,
+    target_rows: int | None = None,
 ) -> Dataset:
-    """All segments to one dataset, with per-episode statistics and file assignment.
+    """All segments to one dataset, with file assignment and totals.
 
-    Segments that hold a vector of another width are rejected as a whole and listed.
+    Segments that hold a vector of another width are rejected as a whole and listed. The rows
+    are written once, with vectors and task text; rejects, lengths, tasks and frames all come
+    from that table. ``fps`` (segment, fps) gives the rates that ``info`` reports.
     """
-    vectors = rows.dropna(subset=[*action, *state])
-    a = concat_vectors(*[F.col(c) for c in action])
-    s = concat_vectors(*[F.col(c) for c in state])
-    bad = (
-        vectors.groupBy(segment)
-        .agg(F.count_if(~(has_width(a, action_dim) & has_width(s, state_dim))).alias("n_bad"))
-        .where(F.col("n_bad") > 0)
-    )
-    kept = side_join(rows, bad.select(segment), [segment], "left_anti")
-    frames, episodes, tasks = episode_frames(
-        kept, action, state, segment=segment, ts=ts, seq=seq, **options
+    complete = rows.dropna(subset=[*action, *state])
+    source = F.col(task) if task else F.lit(None).cast("string")
+    dtype = rows.schema[task].dataType if task else T.StringType()
+    staged = write_once(complete.select(
+        segment,
+        ts,
+        seq,
+        task_text(source, dtype, task_default, task_override).alias("task"),
+        concat_vectors(*[F.col(c) for c in action]).alias("action"),
+        concat_vectors(*[F.col(c) for c in state]).alias("observation_state"),
+    ))
+    fits = has_width(F.col("action"), action_dim) & has_width(F.col("observation_state"), state_dim)
+    # One row per segment, measured once; all that follows about segments is read off it.
+    segments = materialize(
+        staged.groupBy(segment).agg(
+            F.count(F.lit(1)).alias("length"), F.min(ts).alias("first_ns"), F.count_if(~fits).alias("n_bad")
+        )
     )
-    # Five counters and the float32 vectors.
+    n_segments, size = table_size(segments)
+    bad = segments.where("n_bad > 0").select(segment, "n_bad", F.lit("vector of another width").alias("reason"))
+    kept = side_join(staged, bad.select(segment), [segment], "left_anti", size=size)
+    good = segments.where("n_bad = 0").drop("n_bad")
+    episodes = numbered(good, segment, "episode_index", known=(n_segments, size), first_index="length")
+    layout = measure(kept, [segment], [ts, seq], target_rows, totals(good, "length"))
+    frames = number_frames(kept, episodes, segment=segment, ts=ts, seq=seq, layout=layout, size=2 * size)
+    tasks = materialize(task_table(kept, order=(segment, ts, seq)))
+    frames = side_join(frames, tasks, ["task"], "inner", size=table_size(tasks)[1])
+    # Five counters and the float32 vectors; all rows are of one size, so bytes follow rows.
     row_bytes = 8 * 4 + 4 + 4 * (action_dim + state_dim)
-    sized = episodes.withColumn("size_bytes", F.col("length") * F.lit(row_bytes))
-    placed = file_assignment(sized, target_mb=file_mb)
+    sized = episodes.withColumns({
+        "size_bytes": F.col("length") * F.lit(row_bytes), "bytes_before": F.col("first_index") * F.lit(row_bytes),
+    })
+    placed = file_places(sized, target_mb=file_mb)
     where = placed.select("episode_index", "chunk_index", "file_index")
-    frames = side_join(frames, where, ["episode_index"], "inner", rows=episodes.count())
+    frames = side_join(frames, where, ["episode_index"], "inner", rows=n_segments)
+    info = placed.agg(
+        F.count(F.lit(1)).alias("total_episodes"),
+        F.coalesce(F.sum("length"), F.lit(0)).alias("total_frames"),
+        F.lit(action_dim).alias("action_dim"),
+        F.lit(state_dim).alias("state_dim"),
+        F.lit(FILES_PER_CHUNK).alias("files_per_chunk"),
+    ).crossJoin(tasks.agg(F.count(F.lit(1)).alias("total_tasks")))
+    if fps is not None:
+        rates = side_join(fps, placed.select(segment), [segment], "left_semi")
+        one = F.when(F.min("fps") == F.max("fps"), F.min("fps"))
+        info = info.crossJoin(rates.agg(one.alias("fps"), F.min("fps").alias("least_fps"), F.max("fps").alias("most_fps")))
     return Dataset(
         frames=frames,
         episodes=placed.withColumnRenamed(segment, "segment_id"),
         tasks=tasks,
         rejected=bad,
+        info=info,
     )
 
 
-def publish(dataset: Dataset, path: str, replace: bool = False) -> None:
-    """Write frames, then the metadata tables.
+def dataset_features(info: DataFrame) -> DataFrame:
+    """The vector and counter columns of a dataset: (name, dtype, shape)."""
+    rows = [("action", "float32", F.col("action_dim")), ("observation_state", "float32", F.col("state_dim")), ("timestamp", "float32", F.lit(1))]
+    rows += [(name, "int64", F.lit(1)) for name in ("frame_index", "episode_index", "index", "task_index")]
+    made = [F.struct(F.lit(n).alias("name"), F.lit(t).alias("dtype"), F.array(w.cast("int")).alias("shape")) for n, t, w in rows]
+    return info.select(F.inline(F.array(*made)))
+
 
-    Statistics and tasks per episode are computed from the written frames, so the
-    alignment behind them runs once.
+def publish(dataset: Dataset, path: str, replace: bool = False, **tables: DataFrame) -> None:
+    """Write frames, then the metadata tables: episodes, episode_files, tasks, episode_tasks, stats, info,
+    features, rejected, and those given by name.
+
+    Statistics, tasks and files per episode are computed from the written frames, so the
+    alignment behind them runs once and a recorded path is that of a file that was written.
     """
-    meta = {"episodes": dataset.episodes, "tasks": dataset.tasks}
+    spark = dataset.frames.sparkSession
+    meta = {
+        "episodes": dataset.episodes, "tasks": dataset.tasks, "info": dataset.info,
+        "features": dataset_features(dataset.info), "rejected": dataset.rejected, **tables,
+    }
     write_dataset(dataset.frames, meta, path, replace=replace)
-    written = read_dataset(dataset.frames.sparkSession, path)
+    written = read_dataset(spark, path)
     derived = {
+        "episode_files": episode_files(spark, path),
         "episode_tasks": episode_tasks(written, episode="episode_index", order=("frame_index",)),
         "stats": stats_arrays(episode_stats(written, VECTORS)),
     }
@@ -141,43 +197,181 @@ def publish(dataset: Dataset, path: str, replace: bool = False) -> None:
 
 
 def camera_clock(frames: DataFrame, anchors: DataFrame, camera: str = "left_eye") -> DataFrame:
-    """Frame times of one camera: clock anchor plus presentation time."""
+    """Frame times of one camera: clock anchor plus presentation time.
+
+    Recordings without an anchor or without such frames have no clock: see ``recording_faults``.
+    """
     stream = frames.where(F.col("camera") == camera).select("bag_id", "frame_no", "pts", "tb_num", "tb_den")
-    joined = side_join(stream, anchors, ["bag_id"], "inner")
+    known = anchors.where(F.col("first_frame_epoch_ns").isNotNull())
+    joined = side_join(stream, known, ["bag_id"], "inner")
     at = frame_time(F.col("first_frame_epoch_ns"), F.col("pts"), F.col("tb_num"), F.col("tb_den"))
     return joined.select("bag_id", F.col("frame_no").alias("seq"), at.alias("ts_ns"))
 
 
-def run_full(
-    spark: SparkSession,
-    bag_root: str,
-    messages_path: str,
-    frames_path: str,
+def recording_faults(
+    bags: DataFrame, anchors: DataFrame, frames: DataFrame, camera: str = "left_eye"
+) -> DataFrame:
+    """A row for every recording (of ``bags``, anchors or frames) with what it lacks: (bag_id, reasons).
+
+    Checked are the clock anchor, frames of the clock camera, and that all cameras a recording
+    has hold as many frames.
+    """
+    counted = frames.groupBy("bag_id", "camera").agg(F.count(F.lit(1)).alias("n"))
+    cameras = counted.groupBy("bag_id").agg(
+        F.max(F.col("camera") == camera).alias("_clock"), (F.min("n") < F.max("n")).alias("_uneven")
+    )
+    anchored = anchors.groupBy("bag_id").agg(F.max(F.col("first_frame_epoch_ns").isNotNull()).alias("_anchor"))
+    every = bags.select("bag_id").unionByName(anchors.select("bag_id")).unionByName(frames.select("bag_id")).distinct()
+    found = every.join(anchored, "bag_id", "left").join(cameras, "bag_id", "left")
+    no = F.lit(False)
+    reasons = F.array_compact(F.array(
+        F.when(~F.coalesce("_anchor", no), "no clock anchor"),
+        F.when(~F.coalesce("_clock", no), f"no {camera} frames"),
+        F.when(F.coalesce("_uneven", no), "cameras differ in length"),
+    ))
+    return found.select("bag_id", reasons.alias("reasons"))
+
+
+def component_parts(messages: DataFrame, topics: Collection[str], mode: str) -> DataFrame:
+    """Messages of the columns picked per recording and path, with ``part``: the path and the column's position.
+
+    A pose path has up to two parts (translations, then quaternions), the others one; columns
+    that were not picked are left out. A message without a component name counts as a column
+    of its own.
+    """
+    named = messages.where(F.col("entity_path").isin(*topics)).withColumn(
+        "column_name", F.concat_ws(":", "entity_path", F.coalesce("component", F.lit("values")))
+    )
+    wanted = {p: c for p, c in column_preferences(mode).items() if p in topics}
+    wanted |= {p: [] for p in topics if p not in wanted}
+    presence = named.select("bag_id", "entity_path", "column_name").distinct()
+    picked = pick_columns(presence, wanted).withColumnRenamed("column", "column_name")
+    joined = side_join(named, picked, ["bag_id", "entity_path", "column_name"], "inner")
+    part = F.concat_ws("#", "entity_path", F.col("position").cast("string"))
+    return joined.withColumn("part", part).drop("position", "column_name")
+
+
+def align_recordings(
+    clock: DataFrame,
+    messages: DataFrame,
+    topics: Mapping[str, str],
+    widths: Mapping[str, int],
+    *,
+    mode: str,
+    text_path: str | None = TEXT_PATH,
+    target_rows: int | None = None,
+) -> AlignedBags:
+    """Every path on the camera clock as one vector, and the instruction text.
+
+    The picked columns of a path are aligned each by itself, then joined end to end and padded
+    to the path's width (never cut). ``status.reasons`` names paths without a value and paths
+    wider than their width.
+    """
+    two = [p for p in topics if p in POSE_PATHS]
+    parts = {f"{p}#{i}": f"{c}__{i}" for p, c in topics.items() for i in range(2 if p in two else 1)}
+    values = component_parts(messages, list(topics), mode).select("bag_id", "part", "ts_ns", "seq", "values", F.lit(None).cast("string").alias("text"))
+    texts = {}
+    if text_path:
+        texts = {text_path: "task_text"}
+        words = messages.where(F.col("entity_path") == text_path).select(
+            "bag_id", F.col("entity_path").alias("part"), "ts_ns", "seq", F.lit(None).cast("array<double>").alias("values"), "text")
+        values = values.unionByName(words)
+    aligned = align_bags(
+        clock, values, parts, topic="part", optional=[f"{p}#1" for p in two], texts=texts, stage=True,
+        target_rows=target_rows,
+    )
+    joined = {}
+    for p, c in topics.items():
+        whole = F.concat(*[F.col(parts[f"{p}#{i}"]) for i in range(2 if p in two else 1)])
+        joined[c] = pad_vector(whole, F.greatest(F.size(whole), F.lit(widths.get(p, 0))))
+    frames = aligned.frames.select("bag_id", "ts_ns", "seq", *[v.alias(c) for c, v in joined.items()], *texts.values())
+    wide = [
+        F.when(
+            sum((F.col("widths")[f"{p}#{i}"] for i in range(2 if p in two else 1)), F.lit(0)) > widths[p],
+            F.lit(f"vector of another width: {p}"),
+        )
+        for p in topics if p in widths
+    ]
+    empty = F.transform("empty_topics", lambda t: F.concat(F.lit("no value: "), F.substring_index(t, "#", 1)))
+    status = aligned.status.select("bag_id", "n_frames", F.concat(empty, F.array_compact(F.array(*wide))).alias("reasons"))
+    return AlignedBags(frames, status)
+
+
+def run_tables(
+    bags: DataFrame,
+    anchors: DataFrame,
+    frames: DataFrame,
+    messages: DataFrame,
     output: str,
     *,
     mode: str = "gripper",
     strict: bool = False,
     replace: bool = True,
     topics: Mapping[str, str] | None = None,
+    widths: Mapping[str, int] | None = None,
+    action: Sequence[str] | None = None,
+    action_dim: int = 42,
+    text_path: str | None = TEXT_PATH,
+    target_rows: int | None = None,
     **options,
 ) -> Dataset:
-    """Recordings to a published dataset: anchors, clock, alignment, episodes, files.
+    """Recordings as tables to a published dataset: clock, alignment, episodes, files.
 
-    Rejected recordings are skipped, or fail the run when ``strict``.
+    ``meta/status`` has a row for every recording that ``bags``, anchors, frames or messages
+    name, with the reasons why it is not in the dataset. With ``strict`` any such reason fails
+    the run before anything is published.
     """
+    widths = widths if widths is not None else STATE_WIDTHS[mode]
     topics = topics or {p: p.strip("/").replace("/", "_") for p in source_paths(mode)}
-    clock = camera_clock(read_frames(spark, frames_path), read_anchors(spark, bag_root))
-    messages = read_messages(spark, messages_path, strict=strict).select(
-        "bag_id", "entity_path", F.col("log_time_ns").alias("ts_ns"), "seq", "values"
+    named = bags.select("bag_id").unionByName(messages.select("bag_id")).distinct()
+    faults = materialize(recording_faults(named, anchors, frames))
+    sound = faults.where(F.size("reasons") == 0).select("bag_id")
+    clock = write_once(side_join(camera_clock(frames, anchors), sound, ["bag_id"], "left_semi"))
+    aligned = align_recordings(
+        clock, messages, topics, widths, mode=mode, text_path=text_path, target_rows=target_rows
+    )
+    status = materialize(
+        faults.withColumnRenamed("reasons", "_f").join(aligned.status, "bag_id", "left").select(
+            "bag_id", F.concat("_f", F.coalesce("reasons", F.array().cast("array<string>"))).alias("reasons"),
+        ).withColumn("ok", F.size("reasons") == 0)
     )
-    widths = STATE_WIDTHS[mode]
-    aligned = align_bags(clock, messages, topics, widths, stage=True)
-    require(run_report(aligned.status), strict)
-    action = [topics[p] for p in topics if p not in widths]
+    require(run_report(status), strict)
+    usable = side_join(aligned.frames, status.where("ok").select("bag_id"), ["bag_id"], "left_semi")
+    action = list(action or [topics[p] for p in topics if p not in widths])
     state = [topics[p] for p in topics if p in widths]
     dataset = build_dataset(
-        aligned.frames, action, state, segment="bag_id",
-        action_dim=options.pop("action_dim", 42), state_dim=sum(widths.values()), **options,
+        usable, action, state, segment="bag_id", action_dim=action_dim, state_dim=sum(widths.values()),
+        task="task_text" if text_path else None, fps=infer_fps(clock, ["bag_id"], target_rows=target_rows),
+        target_rows=target_rows, **options,
     )
-    publish(dataset, output, replace)
+    if strict and not dataset.rejected.isEmpty():
+        raise RuntimeError("recordings with vectors of another width")
+    publish(dataset, output, replace, status=status)
     return dataset
+
+
+def run_full(
+    spark: SparkSession,
+    bag_root: str,
+    messages_path: str,
+    frames_path: str,
+    output: str,
+    *,
+    timeline: str | None = None,
+    **options,
+) -> None:
+    """Recordings below ``bag_root`` (anchor files), a message log and camera frames to a published dataset.
+
+    Messages are placed by the preferred timeline of their recording, or by ``timeline`` if one
+    is named; those without any are reported like the other faults. What the job staged is
+    removed at the end. See ``run_tables`` for the options.
+    """
+    with discard_staged(spark):
+        bags = in_bags(list_files(spark, bag_root)).select("bag_id").distinct()
+        messages = read_messages(spark, messages_path)
+        columns = {timeline: timeline_columns()[timeline]} if timeline else timeline_columns()
+        placed = reindex_timeline(messages, columns)
+        named = bags.unionByName(messages.select("bag_id")).distinct()
+        run_tables(
+            named, read_anchors(spark, bag_root, strict=False), read_frames(spark, frames_path), placed, output, **options
+        )

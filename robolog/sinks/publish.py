@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ROWS_PER_FILE = 5_000_000
 
@@ -42,24 +42,34 @@ def write_dataset(
     replace: bool = False,
     rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
-    """A dataset folder: ``data/`` by chunk, and one table per entry of ``meta``.
+    """A dataset folder: ``data/`` by chunk and file, and one table per entry of ``meta``.
 
-    ``replace=False`` refuses an existing output. Frames need ``chunk_index``,
-    ``episode_index`` and ``frame_index``; each file covers a range of episodes.
+    ``replace=False`` refuses an existing output. Frames need ``chunk_index``, ``file_index``,
+    ``episode_index`` and ``frame_index``. The rows of one (chunk, file) go to one task, in
+    blocks of ``rows_per_file`` frames of an episode, so that a very long episode is spread
+    over several tasks and part files of its folder.
     """
     mode = "overwrite" if replace else "errorifexists"
+    block = F.floor(F.col("frame_index") / F.lit(rows_per_file))
     (
-        frames.repartitionByRange("chunk_index", "episode_index", "frame_index")
-        .sortWithinPartitions("chunk_index", "episode_index", "frame_index")
+        frames.repartition("chunk_index", "file_index", block)
+        .sortWithinPartitions("chunk_index", "file_index", "episode_index", "frame_index")
         .write.mode(mode)
         .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy("chunk_index")
+        .partitionBy("chunk_index", "file_index")
         .parquet(f"{path}/data")
     )
     write_meta(meta, path, replace=replace)
 
 
+def episode_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files the episodes are in: (episode_index, path below the dataset, n_rows), read off the data."""
+    data = spark.read.parquet(f"{path}/data")
+    name = F.concat(F.lit("data/"), F.substring_index(F.col("_metadata.file_path"), "/", -3))
+    return data.select("episode_index", name.alias("path")).groupBy("episode_index", "path").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def write_meta(tables: Mapping[str, DataFrame], path: str, *, replace: bool = False) -> None:
     """Metadata tables of a dataset."""
     mode = "overwrite" if replace else "errorifexists"

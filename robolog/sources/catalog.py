@@ -59,15 +59,16 @@ def earliest_bag(bags: DataFrame, stamp: str = "bag_ts") -> DataFrame:
     return bags.agg(F.min(stamp).alias(stamp))
 
 
-def read_anchors(spark: SparkSession, root: str) -> DataFrame:
-    """Clock anchors of all recordings below ``root``; a file without one fails the query."""
+def read_anchors(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
+    """Clock anchors of all recordings below ``root``; a file without one fails the query, or
+    gives null if not ``strict``."""
     texts = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", ANCHOR_FILE.split("/")[-1])
         .text(root, wholetext=True)
         .select("value", F.col("_metadata.file_path").alias("path"))
     )
-    return clock_anchor(in_bags(texts), text="value", strict=True)
+    return clock_anchor(in_bags(texts), text="value", strict=strict)
 
 
 def clock_anchor(

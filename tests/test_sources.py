@@ -139,11 +139,12 @@ def test_column_choice(spark):
     }
 
 
-def test_image_column_choice():
+def test_image_column_choice(spark):
     columns = ["/c:McapSchema:encoding", "/c:McapChannel:message", "/c:EncodedImage:blob", "/c:EncodedImage:encoding"]
-    assert select.image_column(columns, "/c") == "/c:McapChannel:message"
-    assert select.image_column(["/c:x:y"], "/c") == "/c:x:y" and select.image_column([], "/c") is None
-    assert select.codec_column(columns) == "/c:McapSchema:encoding"
+    rows = [("a", c) for c in columns] + [("b", "/c:x:y"), ("c", "/d:EncodedImage:blob")]
+    df = spark.createDataFrame(rows, "bag_id string, column_name string")
+    found = {r.bag_id: (r.image_column, r.codec_column) for r in select.pick_image_columns(df, "/c").collect()}
+    assert found == {"a": ("/c:EncodedImage:blob", "/c:McapSchema:encoding"), "b": ("/c:x:y", None)}
 
 
 def test_timeline_choice(spark):

@@ -132,23 +132,26 @@ TIMELINES_SQL = """clocks AS (
          CASE WHEN bag_id % 2 = 0 THEN ts_ns END AS ros_time_ns, seq AS tick FROM log)"""
 
 
-def timelines(spark, sf):
-    clocks = log(spark, sf).select(
+TIMELINE_COLUMNS = {
+    "message_log_time": "log_time_ns",
+    "message_publish_time": "publish_time_ns",
+    "ros2_timestamp": "ros_time_ns",
+    "tick": "tick",
+}
+
+
+def timeline_clocks(spark, sf):
+    return log(spark, sf).select(
         "bag_id",
         F.when((F.col("bag_id") % 7 != 0) & (F.col("k") % 3 == 0), F.col("ts_ns")).alias("log_time_ns"),
         F.when((F.col("bag_id") % 5 != 0) & (F.col("k") > 40), F.col("ts_ns")).alias("publish_time_ns"),
         F.when(F.col("bag_id") % 2 == 0, F.col("ts_ns")).alias("ros_time_ns"),
         F.col("seq").alias("tick"),
     )
-    return select.available_timelines(
-        clocks,
-        {
-            "message_log_time": "log_time_ns",
-            "message_publish_time": "publish_time_ns",
-            "ros2_timestamp": "ros_time_ns",
-            "tick": "tick",
-        },
-    )
+
+
+def timelines(spark, sf):
+    return select.available_timelines(timeline_clocks(spark, sf), TIMELINE_COLUMNS)
 
 
 AVAILABLE_SQL = f"""{LOG}, {TIMELINES_SQL}, available AS (
@@ -171,6 +174,20 @@ def pick_timeline_query(spark, sf):
     return select.pick_timeline(timelines(spark, sf))
 
 
+@query(
+    "reindex_timeline",
+    f"""{AVAILABLE_SQL}, p AS (SELECT bag_id, arg_min(timeline, r) AS timeline FROM available GROUP BY bag_id),
+      x AS (SELECT c.bag_id, c.tick, p.timeline, CASE p.timeline WHEN 'message_log_time' THEN log_time_ns
+        WHEN 'message_publish_time' THEN publish_time_ns WHEN 'ros2_timestamp' THEN ros_time_ns ELSE tick END AS ts_ns
+        FROM clocks c JOIN p ON c.bag_id = p.bag_id)
+    SELECT * FROM x WHERE ts_ns IS NOT NULL""",
+)
+def reindex_timeline_query(spark, sf):
+    """Messages keyed by the timeline their recording prefers."""
+    rows = select.reindex_timeline(timeline_clocks(spark, sf), TIMELINE_COLUMNS)
+    return rows.select("bag_id", "tick", "timeline", "ts_ns")
+
+
 HOUR_SQL = "ts_ns - ts_ns % 3600000000000"
 
 

@@ -9,7 +9,8 @@ from robolog.operators.scan import last_value, scan
 from robolog.operators.select import complete_rows
 from robolog.plans.align import align_bags
 from robolog.plans.dataset import episode_frames
-from workload.log_scans import CAMERA_OF, CAMERA_SQL, DAY_NS, HOUR_SQL, camera_frames
+from robolog.contracts import CAMERAS
+from workload.log_scans import CAMERA_OF, DAY_NS, HOUR_SQL, camera_frames
 from workload.registry import LOG, TOPICS, log, query
 
 # A small cell size, so that the split plans run over the whole table as well.
@@ -74,15 +75,15 @@ def dedup_last(spark, sf):
 def exact_fill(spark, sf, **options):
     rows = hourly(spark, sf).withColumn("ts_ns", F.expr(f"ts_ns - ts_ns % {DAY_NS}"))
     expected = rows.where("entity_path IN ('view', 'click')").select("bag_id", "ts_ns").distinct()
-    purchases = rows.where("entity_path = 'purchase'")
-    return align.align_exact_fill(expected, purchases, ["value", "k"], **options)
+    readings = rows.where("entity_path NOT IN ('view', 'click')")
+    return align.align_exact_fill(expected, readings, ["value", "k"], **options)
 
 
 FILL_SQL = f"""{LOG}, {HOURLY},
   d AS (SELECT bag_id, entity_path, ts_ns - ts_ns % {DAY_NS} AS ts_ns, seq, value, k FROM hourly),
   e AS (SELECT DISTINCT bag_id, ts_ns FROM d WHERE entity_path IN ('view', 'click')),
   u AS (SELECT bag_id, ts_ns, arg_max(value, seq) FILTER (value IS NOT NULL) AS value, arg_max(k, seq) AS k
-        FROM d WHERE entity_path = 'purchase' GROUP BY 1, 2),
+        FROM d WHERE entity_path NOT IN ('view', 'click') GROUP BY 1, 2),
   j AS (SELECT e.bag_id, e.ts_ns, value, k FROM e LEFT JOIN u ON e.bag_id = u.bag_id AND e.ts_ns = u.ts_ns)
   SELECT bag_id, ts_ns,
     coalesce(last_value(value IGNORE NULLS) OVER b, first_value(value IGNORE NULLS) OVER f) AS value,
@@ -199,28 +200,57 @@ def grid_resample(spark, sf):
 
 
 FRAME_NO = "row_number() OVER (PARTITION BY bag_id, camera ORDER BY ts_ns, seq) - 1"
-ZIP_SQL = f"""{LOG}, n AS (SELECT bag_id, camera, value, {FRAME_NO} AS frame_no
-    FROM (SELECT *, {CAMERA_SQL} AS camera FROM log) WHERE camera IS NOT NULL)
-  SELECT a.bag_id, a.frame_no, a.value AS left_eye, b.value AS right_eye
-  FROM n a JOIN n b ON a.bag_id = b.bag_id AND a.frame_no = b.frame_no AND a.camera = 'left_eye' AND b.camera = 'right_eye'"""
+# Every reading gives a frame of each camera; some recordings lose frames of one.
+LOST_FRAME = "camera = 'right_wrist' AND bag_id % 5 = 0 AND k < 10"
+TAKES_SQL = f"""takes AS (SELECT * FROM (SELECT bag_id, ts_ns, seq, value * (1 + i) AS value, k,
+      ['left_eye', 'right_eye', 'left_wrist', 'right_wrist'][i + 1] AS camera FROM log, unnest([0, 1, 2, 3]) t(i)) WHERE NOT ({LOST_FRAME})),
+    lengths AS (SELECT bag_id, min(n) AS shortest, max(n) AS longest FROM (
+      SELECT bag_id, count(*) FILTER (camera = c) AS n FROM takes, unnest(['left_eye', 'right_eye', 'left_wrist', 'right_wrist']) u(c) GROUP BY bag_id, c) GROUP BY 1)"""
+ZIP_SQL = f"""{LOG}, {TAKES_SQL}, n AS (SELECT bag_id, camera, value, {FRAME_NO} AS frame_no
+    FROM takes WHERE bag_id IN (SELECT bag_id FROM lengths WHERE shortest = longest))
+  SELECT a.bag_id, a.frame_no, a.value AS left_eye, b.value AS right_eye, c.value AS left_wrist, d.value AS right_wrist
+  FROM n a JOIN n b ON a.bag_id = b.bag_id AND a.frame_no = b.frame_no AND a.camera = 'left_eye' AND b.camera = 'right_eye'
+  JOIN n c ON a.bag_id = c.bag_id AND a.frame_no = c.frame_no AND c.camera = 'left_wrist'
+  JOIN n d ON a.bag_id = d.bag_id AND a.frame_no = d.frame_no AND d.camera = 'right_wrist'"""
+
+
+def camera_takes(spark, sf):
+    cameras = F.array(*[F.lit(c) for c in CAMERAS])
+    takes = log(spark, sf).select("bag_id", "ts_ns", "seq", "value", "k", F.posexplode(cameras).alias("i", "camera"))
+    return takes.withColumn("value", F.col("value") * (F.col("i") + 1)).where(f"NOT ({LOST_FRAME})").drop("i")
 
 
 @query("camera_zip", ZIP_SQL)
 def camera_zip(spark, sf):
-    return align.camera_zip(camera_frames(spark, sf), {"left_eye": "left_eye", "right_eye": "right_eye"})
+    return align.camera_zip(camera_takes(spark, sf), {c: c for c in CAMERAS})
 
 
 @query(
     "frame_lookup",
-    f"""{LOG}, c AS ({asof_sql(value='props', topics={'click': 'sample'})}),
-      f AS (SELECT bag_id, arg_min(props, (ts_ns, seq)) AS first FROM log WHERE entity_path = 'click' GROUP BY 1)
-    SELECT c.bag_id, c.ts_ns, c.seq, coalesce(c.sample, f.first) AS sample FROM c LEFT JOIN f ON c.bag_id = f.bag_id""",
+    f"""{LOG}, c AS ({asof_sql(value='props')}), """
+    + ", ".join(
+        f"f_{c} AS (SELECT bag_id, arg_min(props, (ts_ns, seq)) AS first FROM log WHERE entity_path = '{c}' GROUP BY 1)" for c in TOPICS
+    )
+    + " "
+    + " UNION ALL ".join(
+        f"""SELECT c.bag_id, '{CAMERA_OF[c]}' AS camera, c.ts_ns, c.seq, coalesce(c.{c}, f_{c}.first) AS sample
+        FROM c LEFT JOIN f_{c} ON c.bag_id = f_{c}.bag_id"""
+        for c in TOPICS
+    ),
 )
 def frame_lookup(spark, sf):
+    """The sample of every camera at each view: a clock per (recording, camera)."""
     rows = log(spark, sf)
-    clock = rows.where("entity_path = 'view'").select("bag_id", "ts_ns", "seq")
-    samples = rows.where("entity_path = 'click'").select("bag_id", "ts_ns", "seq", F.col("props").alias("sample"))
-    return align.frame_lookup(clock, samples)
+    stream = F.struct("bag_id", "camera").alias("stream")
+    cameras = F.explode(F.array(*[F.lit(c) for c in CAMERA_OF.values()])).alias("camera")
+    clock = rows.where("entity_path = 'view'").select("bag_id", "ts_ns", "seq", cameras).select(stream, "ts_ns", "seq")
+    samples = camera_frames(spark, sf).select(stream, "ts_ns", "seq", F.col("props").alias("sample"))
+    key = F.concat_ws("/", F.col("stream.bag_id").cast("string"), "stream.camera")
+    found = align.frame_lookup(clock.withColumn("stream", key), samples.withColumn("stream", key), bag="stream")
+    return found.select(
+        F.split_part("stream", F.lit("/"), F.lit(1)).cast("bigint").alias("bag_id"),
+        F.split_part("stream", F.lit("/"), F.lit(2)).alias("camera"), "ts_ns", "seq", "sample",
+    )
 
 
 @query(
@@ -234,6 +264,10 @@ def frame_lookup(spark, sf):
 )
 def collapse_repeats(spark, sf):
     """Each reading three times; some recordings lose one copy and cannot be aligned."""
+    return align.collapse_repeats(*repeats(spark, sf))
+
+
+def repeats(spark, sf):
     rows = log(spark, sf)
     repeated = (
         rows.withColumn("rep", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
@@ -241,7 +275,23 @@ def collapse_repeats(spark, sf):
         .select("bag_id", "ts_ns", F.expr("seq * 4 + rep").alias("seq"), "value")
     )
     expected = rows.groupBy("bag_id").agg(F.count(F.lit(1)).alias("expected"))
-    return align.collapse_repeats(repeated, expected)
+    return repeated, expected
+
+
+@query(
+    "rejected_recordings",
+    f"""{LOG}, {TAKES_SQL}, r AS (SELECT bag_id FROM log, unnest([0, 1, 2]) AS t(rep) WHERE NOT (bag_id % 7 = 0 AND rep = 1 AND k = 50)),
+      e AS (SELECT bag_id, count(*) AS expected FROM log GROUP BY 1), n AS (SELECT bag_id, count(*) AS n_rows FROM r GROUP BY 1)
+    SELECT bag_id, 'cameras differ in length' AS reason, shortest AS found, longest AS wanted FROM lengths WHERE shortest <> longest
+    UNION ALL SELECT bag_id, 'no multiple of the expected rows', n_rows, expected FROM n JOIN e USING (bag_id) WHERE n_rows % expected <> 0""",
+)
+def rejected_recordings(spark, sf):
+    """What the camera zip and the collapsing of repeats leave out, with the reason."""
+    cameras = align.unequal_cameras(camera_takes(spark, sf), CAMERAS).select(
+        "bag_id", F.lit("cameras differ in length").alias("reason"), F.col("shortest").alias("found"), F.col("longest").alias("wanted"))
+    uneven = align.uneven_repeats(*repeats(spark, sf)).select(
+        "bag_id", F.lit("no multiple of the expected rows").alias("reason"), F.col("n_rows").alias("found"), F.col("expected").alias("wanted"))
+    return cameras.unionByName(uneven)
 
 
 # The stateful loop itself, as a recursive table over frame numbers.
@@ -264,6 +314,28 @@ def downsample_fps(spark, sf):
     return timeline.downsample_fps(frames, 29.97, 12.0)
 
 
+# The same loop for each source rate; recordings have one of three, some none (30 then).
+RATES_SQL = """WITH RECURSIVE log AS (
+    SELECT user_id AS bag_id, epoch_us(ts) * 1000 AS ts_ns, event_id AS seq, [29.97::DOUBLE, 60::DOUBLE, 24::DOUBLE, 0::DOUBLE][1 + user_id % 4] AS fps FROM events),
+  n AS (SELECT *, row_number() OVER (PARTITION BY bag_id ORDER BY ts_ns, seq) - 1 AS frame_no FROM log),
+  longest AS (SELECT max(frame_no) AS last FROM n),
+  loop(fps, i, keep, due) AS (
+    SELECT fps, CAST(0 AS BIGINT), true, 1.0::DOUBLE / 12.0::DOUBLE FROM unnest([29.97::DOUBLE, 60::DOUBLE, 24::DOUBLE, 30::DOUBLE]) t(fps)
+    UNION ALL
+    SELECT fps, i + 1, (i + 1) / fps + 1e-9::DOUBLE >= due,
+      CASE WHEN (i + 1) / fps + 1e-9::DOUBLE >= due THEN due + 1.0::DOUBLE / 12.0::DOUBLE ELSE due END
+    FROM loop, longest WHERE i < last)
+  SELECT bag_id, ts_ns, seq, n.fps, frame_no FROM n JOIN loop ON frame_no = i AND loop.fps = CASE WHEN n.fps > 0 THEN n.fps ELSE 30 END WHERE keep"""
+
+
+@query("downsample_rates", RATES_SQL)
+def downsample_rates(spark, sf):
+    """Every recording thinned from its own rate."""
+    rate = F.element_at(F.array(*[F.lit(r) for r in (29.97, 60.0, 24.0, 0.0)]), (F.col("bag_id") % 4 + 1).cast("int"))
+    frames = log(spark, sf).select("bag_id", "ts_ns", "seq", rate.alias("fps"))
+    return timeline.downsample_fps(frames, "fps", 12.0)
+
+
 @query("downsample_fps_split", DOWNSAMPLE_SQL)
 def downsample_fps_split(spark, sf):
     frames = log(spark, sf).select("bag_id", "ts_ns", "seq")

@@ -138,21 +138,22 @@ FRAME_WIDTH = 61
 
 @query(
     "tile_crop",
-    f"""WITH f AS (SELECT page_id, hex(encode(html)) AS hx, {FRAME_WIDTH} AS w, octet_length(encode(html)) // {FRAME_WIDTH} AS h FROM pages),
+    f"""WITH b AS (SELECT page_id, hex(encode(html)) AS hx, greatest(2, (octet_length(encode(html)) + {FRAME_WIDTH} - 1) // {FRAME_WIDTH}) AS h FROM pages),
+      f AS (SELECT page_id, rpad(hx, CAST(h * {FRAME_WIDTH} * 2 AS INT), '0') AS hx, {FRAME_WIDTH} AS w, h FROM b),
       t AS (SELECT page_id, hx, w, h, unnest(['left_eye', 'right_eye', 'left_wrist', 'right_wrist']) AS camera,
         unnest([0, 0, h // 2, h // 2]) AS r0, unnest([h // 2, h // 2, h, h]) AS r1,
-        unnest([0, w // 2, 0, w // 2]) AS c0, unnest([w // 2, w, w // 2, w]) AS c1 FROM f WHERE h >= 2)
+        unnest([0, w // 2, 0, w // 2]) AS c0, unnest([w // 2, w, w // 2, w]) AS c1 FROM f)
     SELECT page_id, camera, (r1 - r0) * (c1 - c0) AS n_bytes,
       md5(unhex(array_to_string(list_transform(range(r0, r1), lambda r: substr(hx, (r * w + c0) * 2 + 1, (c1 - c0) * 2)), ''))) AS digest FROM t""",
 )
 def tile_crop(spark, sf):
-    """Page bytes as one-channel frames of a fixed width; the last part row is no row."""
-    raw = F.encode("html", "UTF-8")
-    frames = table(spark, sf, "pages").select(
+    """Page bytes as one-channel frames of a fixed width and two rows at least, zeros after the last byte."""
+    height = F.expr(f"greatest(2L, (octet_length(encode(html, 'UTF-8')) + {FRAME_WIDTH - 1}) DIV {FRAME_WIDTH})")
+    frames = table(spark, sf, "pages").withColumn("height", height).select(
         "page_id",
-        raw.alias("pixels"),
+        F.rpad(F.encode("html", "UTF-8"), F.col("height").cast("int") * FRAME_WIDTH, F.lit(b"\x00")).alias("pixels"),
         F.lit(FRAME_WIDTH).cast("bigint").alias("width"),
-        F.expr(f"octet_length(encode(html, 'UTF-8')) DIV {FRAME_WIDTH}").alias("height"),
+        "height",
         F.lit(1).cast("bigint").alias("channels"),
     )
     return images.tile_crop(frames).select(

@@ -165,12 +165,21 @@ def observed_dims(spark, sf):
 @query(
     "dim_mismatch",
     f"""{V}, {LONG_SQL}, {DIMS_SQL}, o AS (SELECT bag_id, entity_path, CAST(sum(dim) AS BIGINT) AS dim FROM dims GROUP BY 1, 2)
-    SELECT b.bag_id, t.entity_path, CAST(expected AS BIGINT) AS expected, coalesce(dim, 0) AS observed
+    , firsts AS (SELECT bag_id, entity_path, component, arg_min("values", ts_ns) FILTER (len("values") > 0) AS sample FROM long GROUP BY 1, 2, 3),
+      s AS (SELECT bag_id, entity_path, arg_min(sample, component) FILTER (sample IS NOT NULL) AS sample FROM firsts GROUP BY 1, 2)
+    SELECT b.bag_id, t.entity_path, CAST(expected AS BIGINT) AS expected, coalesce(dim, 0) AS observed,
+      coalesce(len(sample), -1) AS sample_size, sample[1]::DOUBLE AS sample_first
     FROM (SELECT DISTINCT bag_id FROM long) b CROSS JOIN {TARGET_SQL} LEFT JOIN o ON o.bag_id = b.bag_id AND o.entity_path = t.entity_path
+    LEFT JOIN s ON s.bag_id = b.bag_id AND s.entity_path = t.entity_path
     WHERE coalesce(dim, 0) <> expected""",
 )
 def dim_mismatch(spark, sf):
-    return vectors.dim_mismatch(long_rows(spark, sf), GRIPPER).drop("sample")
+    found = vectors.dim_mismatch(long_rows(spark, sf), GRIPPER)
+    return found.select(
+        "bag_id", "entity_path", "expected", "observed",
+        F.coalesce(F.size("sample"), F.lit(-1)).cast("bigint").alias("sample_size"),
+        F.get("sample", F.lit(0)).cast("double").alias("sample_first"),
+    )
 
 
 @query(
