@@ -12,10 +12,14 @@ from __future__ import annotations
 import numpy as np
 
 SLOT_BITS, HASH_BITS = 10, 12
-#: Range coder: 56 bits of state, 16 bits out at a time, ranges of at least 2^24.
-STATE, TOP, LEAST = (1 << 56) - 1, 1 << 40, 1 << 24
+#: Range coder: 56 bits of state, 16 bits out at a time, ranges of at least 2^40 before a token is coded.
+STATE, TOP = (1 << 56) - 1, 1 << 40
 GAIN, LIMIT = 24, 1 << 12
 ID_BITS = 17
+#: Four counts of 16 bits in one number: one each, halves, and what adds up each count and those before it.
+ONES, HALF = np.uint64(0x0001000100010001), np.uint64(0x7FFF7FFF7FFF7FFF)
+MASK, STEP = np.uint64(0xFFFF), np.uint64(16)
+HASH_ONE, HASH_TWO = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 
 
 class _Models:
@@ -25,93 +29,105 @@ class _Models:
         self.follow2 = np.zeros(lanes << HASH_BITS, dtype=np.int32)  # (id + 1) << 2 | how often it held
         self.follow1 = np.zeros(lanes << HASH_BITS, dtype=np.int32)
         self.slots = np.zeros(lanes << SLOT_BITS, dtype=np.int32)  # id + 1
-        self.by_trust = np.full((lanes * 32, 4), 2, dtype=np.int32)
-        self.by_past = np.full((lanes * 16, 4), 2, dtype=np.int32)
-        self.lane = np.arange(lanes, dtype=np.int64)
-        self.last = np.zeros((2, lanes), dtype=np.int64)
+        self.by_trust = np.full(lanes * 32, ONES * np.uint64(2))
+        self.by_past = np.full(lanes * 16, ONES * np.uint64(2))
+        lane = np.arange(lanes, dtype=np.int64)
+        self.hashed, self.slotted, self.trusted, self.passed = lane << HASH_BITS, lane << SLOT_BITS, lane * 32, lane * 16
+        self.one, self.two = np.zeros(lanes, dtype=np.uint32), np.zeros(lanes, dtype=np.uint32)
         self.past = np.zeros(lanes, dtype=np.int64)
 
     def predict(self, n: int) -> None:
-        """Predictions and cumulative outcome counts of the first ``n`` lanes."""
-        lane, one, two = self.lane[:n], self.last[0, :n], self.last[1, :n]
-        self.at2 = (lane << HASH_BITS) + (((one * 0x9E3779B1 + two * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - HASH_BITS))
-        self.at1 = (lane << HASH_BITS) + ((one * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - HASH_BITS))
-        self.e2, self.e1 = self.follow2[self.at2], self.follow1[self.at1]
-        self.id2, self.id1 = self.e2 >> 2, self.e1 >> 2
-        trust = (self.e2 & 3) + ((self.e1 & 3) << 2) + ((self.id2 == self.id1).astype(np.int64) << 4)
-        self.row_trust, self.row_past = lane * 32 + trust, lane * 16 + self.past[:n]
-        odds = self.by_trust[self.row_trust] + self.by_past[self.row_past]
-        self.upto = np.cumsum(odds, axis=1, dtype=np.int64)
-        self.odds = odds
+        """Predictions of the first ``n`` lanes, the counts of their outcomes, and these added up."""
+        hash1 = self.one[:n] * HASH_ONE
+        hash2 = hash1 + self.two[:n] * HASH_TWO
+        self.at1 = self.hashed[:n] + (hash1 >> np.uint32(32 - HASH_BITS))
+        self.at2 = self.hashed[:n] + (hash2 >> np.uint32(32 - HASH_BITS))
+        self.e1, self.e2 = self.follow1[self.at1], self.follow2[self.at2]
+        self.id1, self.id2 = self.e1 >> 2, self.e2 >> 2
+        trust = (self.e2 & 3) | ((self.e1 & 3) << 2) | ((self.id2 == self.id1).astype(np.int32) << 4)
+        self.row_trust, self.row_past = self.trusted[:n] + trust, self.passed[:n] + self.past[:n]
+        self.held_trust, self.held_past = self.by_trust[self.row_trust], self.by_past[self.row_past]
+        self.odds = self.held_trust + self.held_past
+        self.upto = self.odds * ONES
 
     def slot_of(self, ids: np.ndarray) -> np.ndarray:
-        return (ids * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - SLOT_BITS)
+        return (ids.astype(np.uint32) * HASH_ONE >> np.uint32(32 - SLOT_BITS)).astype(np.int64)
 
-    def learn(self, n: int, ids: np.ndarray, outcome: np.ndarray) -> None:
-        new = (ids + 1).astype(np.int32) << 2
+    def share(self, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First count and number of counts of the outcomes, and all counts."""
+        shift = outcome.astype(np.uint64) * STEP
+        share = (self.odds >> shift) & MASK
+        return (((self.upto >> shift) & MASK) - share).view(np.int64), share.view(np.int64), (self.upto >> np.uint64(48)).view(np.int64)
+
+    def learn(self, n: int, ids: np.ndarray, slot: np.ndarray, outcome: np.ndarray) -> None:
+        own = (ids + 1).astype(np.int32)
+        new = own << 2
         for table, at, held, found in ((self.follow2, self.at2, self.e2, self.id2), (self.follow1, self.at1, self.e1, self.id1)):
             sure = held & 3
-            table[at] = np.where(found == ids + 1, held + (sure < 3), np.where(sure > 1, held - 1, new))
-        self.slots[(self.lane[:n] << SLOT_BITS) + self.slot_of(ids)] = ids + 1
-        for counts, row in ((self.by_trust, self.row_trust), (self.by_past, self.row_past)):
-            counts[row, outcome] += GAIN
-            full = row[counts[row, outcome] > LIMIT]
-            if len(full):
-                counts[full] = (counts[full] >> 1) | 1
+            table[at] = np.where(found == own, held + (sure < 3), np.where(sure > 1, held - 1, new))
+        self.slots[self.slotted[:n] + slot] = own
+        shift = outcome.astype(np.uint64) * STEP
+        gain = np.uint64(GAIN) << shift
+        for counts, row, held in ((self.by_trust, self.row_trust, self.held_trust), (self.by_past, self.row_past, self.held_past)):
+            more = held + gain
+            counts[row] = np.where((more >> shift) & MASK > LIMIT, ((more >> np.uint64(1)) & HALF) | ONES, more)
         self.past[:n] = ((self.past[:n] << 2) | outcome) & 15
-        self.last[1, :n] = self.last[0, :n]
-        self.last[0, :n] = ids
+        self.two[:n] = self.one[:n]
+        self.one[:n] = ids
 
 
-def _raw_shares(outcome: np.ndarray) -> np.ndarray:
+def _raw_bits(outcome: np.ndarray) -> np.ndarray:
     return np.where(outcome == 2, SLOT_BITS, ID_BITS)
 
 
+def _due(low: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Lanes whose first 16 bits are settled, or whose range has become too small."""
+    return np.flatnonzero(((low ^ (low + span)) < TOP) | (span < TOP))
+
+
+def _shift(low: np.ndarray, span: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Move lanes on by 16 bits, cutting a range that is too small at the next boundary; gives the lanes that are due again."""
+    lo, sp = low[at], span[at]
+    sp = np.where((lo ^ (lo + sp)) >= TOP, -lo & (TOP - 1), sp)
+    lo, sp = (lo << 16) & STATE, (sp << 16) & STATE
+    low[at], span[at] = lo, sp
+    return at[_due(lo, sp)]
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
     """Code words (unsigned 16-bit) of each block of ids below 2^17. Blocks must come longest first."""
     lanes = len(blocks)
     sizes = np.array([len(b) for b in blocks], dtype=np.int64)
-    ids = np.zeros((int(sizes.max(initial=0)), lanes), dtype=np.int64)
+    longest = int(sizes.max(initial=0))
+    ids = np.zeros((longest, lanes), dtype=np.int64)
     for i, b in enumerate(blocks):
         ids[: len(b), i] = b
     models = _Models(lanes)
     low, span = np.zeros(lanes, dtype=np.int64), np.full(lanes, STATE, dtype=np.int64)
-    room = 4 * int(sizes.max(initial=0)) + 8
+    room = 4 * longest + 8
     out, used = np.zeros(lanes * room, dtype=np.uint16), np.arange(lanes, dtype=np.int64) * room
-
-    def shrink(at, first, share, total):
-        part = span[at] // total
-        low[at] += first * part
-        span[at] = share * part
-        while len(at):
-            lo, sp = low[at], span[at]
-            same = (lo ^ (lo + sp)) < TOP
-            at = at[same | (sp < LEAST)]
-            if not len(at):
-                return
-            lo, sp = low[at], span[at]
-            short = (lo ^ (lo + sp)) >= TOP
-            sp = np.where(short, -lo & (LEAST - 1), sp)
-            out[used[at]] = lo >> 40
-            used[at] += 1
-            low[at] = (lo << 16) & STATE
-            span[at] = (sp << 16) & STATE
-
-    for t in range(len(ids)):
+    for t in range(longest):
         n = int(np.searchsorted(-sizes, -t, side="left"))
         own = ids[t, :n]
         models.predict(n)
-        slot = models.slot_of(own)
-        seen = models.slots[(models.lane[:n] << SLOT_BITS) + slot] == own + 1
-        outcome = np.where(models.id2 == own + 1, 0, np.where(models.id1 == own + 1, 1, np.where(seen, 2, 3)))
-        at = models.lane[:n]
-        share = models.odds[at, outcome]
-        shrink(at, models.upto[at, outcome] - share, share, models.upto[:, 3])
+        slot, mark = models.slot_of(own), own + 1
+        seen = models.slots[models.slotted[:n] + slot] == mark
+        outcome = np.where(models.id2 == mark, 0, np.where(models.id1 == mark, 1, 3 - seen))
+        first, share, total = models.share(outcome)
+        lo, sp = low[:n], span[:n]
+        part = sp // total
+        lo += first * part
+        np.multiply(share, part, out=sp)
         raw = np.flatnonzero(outcome >= 2)
-        if len(raw):
-            value = np.where(outcome[raw] == 2, slot[raw], own[raw])
-            shrink(raw, value, 1, np.int64(1) << _raw_shares(outcome[raw]))
-        models.learn(n, own, outcome)
+        part = sp[raw] >> _raw_bits(outcome[raw])
+        lo[raw] += np.where(outcome[raw] == 2, slot[raw], own[raw]) * part
+        sp[raw] = part
+        at = _due(lo, sp)
+        while len(at):
+            out[used[at]] = low[at] >> 40
+            used[at] += 1
+            at = _shift(low, span, at)
+        models.learn(n, own, slot, outcome)
     low += 0xFF  # a number inside the last range whose final byte may be left out
     for k in (40, 24, 8):
         out[used] = (low >> k) & 0xFFFF
@@ -121,59 +137,49 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
 
 def decode_blocks(words: list[np.ndarray], sizes: np.ndarray) -> list[np.ndarray]:
     """The ids of each block, given its code words and its number of ids. Blocks must come longest first."""
-    lanes = len(words)
-    ids = np.zeros((int(sizes.max(initial=0)), lanes), dtype=np.int32)
+    lanes, longest = len(words), int(sizes.max(initial=0))
+    ids = np.zeros((longest, lanes), dtype=np.int32)
     lengths = np.array([len(w) for w in words], dtype=np.int64)
     start = np.cumsum(lengths + 4) - (lengths + 4)
     flat = np.zeros(int((lengths + 4).sum()) + 4, dtype=np.int64)
     for s, w in zip(start.tolist(), words, strict=True):
         flat[s : s + len(w)] = w
-    last = start + lengths
+    last = start + lengths  # zeros from there on
     models = _Models(lanes)
     low, span = np.zeros(lanes, dtype=np.int64), np.full(lanes, STATE, dtype=np.int64)
-    # 56 bits of the code: three words and the upper half of a fourth, as 16 bits are shifted in at a time at bit 0.
+    # 56 bits of the code: three words and the upper half of a fourth, whose lower half is read with the next.
     code = (flat[start] << 40) | (flat[start + 1] << 24) | (flat[start + 2] << 8) | (flat[start + 3] >> 8)
     read = start + 3
-
-    def take(at, total):
-        part = span[at] // total
-        return np.minimum((code[at] - low[at]) // part, total - 1)
-
-    def shrink(at, first, share, total):
-        part = span[at] // total
-        low[at] += first * part
-        span[at] = share * part
+    for t in range(longest):
+        n = int(np.searchsorted(-sizes, -t, side="left"))
+        models.predict(n)
+        upto = models.upto
+        total = (upto >> np.uint64(48)).view(np.int64)
+        lo, sp, co = low[:n], span[:n], code[:n]
+        part = sp // total
+        value = np.minimum((co - lo) // part, total - 1).view(np.uint64)
+        outcome = (value >= (upto & MASK)).astype(np.int64)
+        outcome += value >= ((upto >> STEP) & MASK)
+        outcome += value >= ((upto >> np.uint64(32)) & MASK)
+        first, share, _ = models.share(outcome)
+        lo += first * part
+        np.multiply(share, part, out=sp)
+        own = np.where(outcome == 0, models.id2, models.id1).astype(np.int64) - 1
+        raw = np.flatnonzero(outcome >= 2)
+        bits = _raw_bits(outcome[raw])
+        part = sp[raw] >> bits
+        got = np.minimum((co[raw] - lo[raw]) // part, (1 << bits) - 1)
+        lo[raw] += got * part
+        sp[raw] = part
+        slotted = models.slots[models.slotted[raw] + (got & ((1 << SLOT_BITS) - 1))]
+        own[raw] = np.where(outcome[raw] == 2, slotted - 1, got)
+        at = _due(lo, sp)
         while len(at):
-            lo, sp = low[at], span[at]
-            at = at[((lo ^ (lo + sp)) < TOP) | (sp < LEAST)]
-            if not len(at):
-                return
-            lo, sp = low[at], span[at]
-            short = (lo ^ (lo + sp)) >= TOP
-            sp = np.where(short, -lo & (LEAST - 1), sp)
             where = np.minimum(read[at], last[at])
             more = ((flat[where] & 0xFF) << 8) | (flat[np.minimum(where + 1, last[at])] >> 8)
             code[at] = ((code[at] << 16) & STATE) | more
             read[at] += 1
-            low[at] = (lo << 16) & STATE
-            span[at] = (sp << 16) & STATE
-
-    for t in range(len(ids)):
-        n = int(np.searchsorted(-sizes, -t, side="left"))
-        models.predict(n)
-        at = models.lane[:n]
-        total = models.upto[:, 3]
-        value = take(at, total)
-        outcome = (value[:, None] >= models.upto[:, :3]).sum(axis=1)
-        share = models.odds[at, outcome]
-        shrink(at, models.upto[at, outcome] - share, share, total)
-        own = np.where(outcome == 0, models.id2, models.id1).astype(np.int64) - 1
-        raw = np.flatnonzero(outcome >= 2)
-        if len(raw):
-            size = np.int64(1) << _raw_shares(outcome[raw])
-            got = take(raw, size)
-            shrink(raw, got, 1, size)
-            own[raw] = np.where(outcome[raw] == 2, models.slots[(raw << SLOT_BITS) + np.minimum(got, (1 << SLOT_BITS) - 1)].astype(np.int64) - 1, got)
-        models.learn(n, own, outcome)
+            at = _shift(low, span, at)
+        models.learn(n, own, models.slot_of(own), outcome)
         ids[t, :n] = own
     return [ids[: sizes[i], i] for i in range(lanes)]

@@ -26,7 +26,7 @@ FILE_BYTES = 32 << 20
 HEAD = "<4sIIIII"
 HEAD_SIZE = struct.calcsize(HEAD)
 MAGIC, CONTINUES = b"RTB1", 1 << 31
-KEPT_UNITS = 150_000
+KEPT_UNITS = 400_000
 NO_ID = -(1 << 63)
 
 _CUT, _RUN = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s\s")
