@@ -287,13 +287,19 @@ def test_run_full(spark, bags, tmp_path):
         "/info/eef_left": 7, "/info/eef_right": 7, "/info/gripper_feedback_L": 5, "/info/gripper_feedback_R": 5,
     }
     messages = [
-        (good, path, None, 100 + step * 100_000_000, None, step, [float(step)] * n, None, None, None)
+        (good, path, None, 100 + step * 100_000_000, None, step, [float(step)] * n, None, None, None, None)
         for path, n in widths.items()
         for step in range(1, 4)
     ]
     spark.createDataFrame(messages, MESSAGES).write.parquet(str(tmp_path / "in" / "messages"))
     output = str(tmp_path / "out")
-    run_full(spark, bags, str(tmp_path / "in" / "messages"), str(tmp_path / "in" / "frames"), output, strict=True)
+    given = (spark, bags, str(tmp_path / "in" / "messages"), str(tmp_path / "in" / "frames"))
+    # The folder holds a recording without an anchor, which strict must not pass over.
+    with pytest.raises(RuntimeError, match="rejected"):
+        run_full(*given, output, strict=True)
+    run_full(*given, output)
+    rejected = read_dataset(spark, output, "status").where("NOT ok").collect()
+    assert rejected and all("no clock anchor" in r.reasons for r in rejected)
     rows = read_dataset(spark, output).orderBy("frame_index").collect()
     assert [r.action[0] for r in rows] == [0.0, 1.0, 2.0, 3.0, 3.0]
     assert all(len(r.action) == 42 and len(r.observation_state) == 26 for r in rows)
