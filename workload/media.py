@@ -9,6 +9,8 @@ from robolog.functions.numeric import extract_numbers
 from robolog.functions.times import task_text
 from robolog.operators import episodes, images
 from robolog.plans.align import align_images
+from robolog.session import scratch_path
+from robolog.sinks.publish import write_by_bag
 from workload.registry import query, table
 
 # --- pages as images: a host is a recording, page_id its clock --------------------------
@@ -116,14 +118,14 @@ def carry_forward_split(spark, sf):
     return carried.select("bag_id", "seq", F.md5("blob").alias("digest"))
 
 
-@query(
-    "align_images",
-    f"""{PAGES}, {CODECS.replace('FROM pages_blob', "FROM (SELECT bag_id, seq, encoding, CASE WHEN length(html) % 3 = 0 THEN hx END AS hx FROM pages_blob WHERE seq % 4 <> 0)")},
+ALIGN_IMAGES_SQL = (f"""{PAGES}, {CODECS.replace('FROM pages_blob', "FROM (SELECT bag_id, seq, encoding, CASE WHEN length(html) % 3 = 0 THEN hx END AS hx FROM pages_blob WHERE seq % 4 <> 0)")},
       m AS (SELECT bag_id, ts_ns, hx FROM pages_blob WHERE seq % 4 <> 0 AND length(html) % 3 = 0),
       a AS (SELECT c.bag_id, c.seq, coalesce(m.hx, '') AS hx FROM (SELECT * FROM pages_blob WHERE seq % 4 = 0) c
             ASOF LEFT JOIN m ON c.bag_id = m.bag_id AND c.ts_ns >= m.ts_ns)
-    SELECT a.bag_id, a.seq, md5(unhex(hx)) AS digest, codec, {MEDIA} AS media_type FROM a LEFT JOIN codecs ON a.bag_id = codecs.bag_id""",
-)
+    SELECT a.bag_id, a.seq, md5(unhex(hx)) AS digest, codec, {MEDIA} AS media_type FROM a LEFT JOIN codecs ON a.bag_id = codecs.bag_id""")
+
+
+@query("align_images", ALIGN_IMAGES_SQL)
 def align_images_query(spark, sf):
     """Every fourth page stands for a camera frame, the others for images: all are used."""
     rows = sparse_images(spark, sf)
@@ -133,6 +135,18 @@ def align_images_query(spark, sf):
     return shown.select("bag_id", "seq", F.md5("blob").alias("digest"), "codec", "media_type")
 
 
+@query("images_written", ALIGN_IMAGES_SQL)
+def images_written(spark, sf):
+    """The same images and media types, written by recording and read back."""
+    rows = sparse_images(spark, sf)
+    clock = rows.where("seq % 4 = 0").select("bag_id", "ts_ns", "seq")
+    shown = align_images(clock, rows.where("seq % 4 <> 0").select("bag_id", "ts_ns", "seq", "encoding", "blob"))
+    path = scratch_path(spark, "images")
+    write_by_bag(shown, path)
+    bag = F.col("bag_id").cast(rows.schema["bag_id"].dataType).alias("bag_id")
+    return spark.read.parquet(path).select(bag, "seq", F.md5("blob").alias("digest"), "codec", "media_type")
+
+
 FRAME_WIDTH = 61
 
 
