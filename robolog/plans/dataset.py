@@ -27,10 +27,11 @@ from robolog.operators.quality import require, run_report
 from robolog.operators.scan import numbered
 from robolog.operators.select import pick_columns, reindex_timeline
 from robolog.operators.timeline import infer_fps
+from robolog.operators.vectors import dim_mismatch
 from robolog.plans.align import AlignedBags, align_bags
 from robolog.session import discard_staged, materialize, write_once
 from robolog.sinks.publish import episode_files, read_dataset, write_dataset, write_meta
-from robolog.sources.catalog import in_bags, list_files, read_anchors
+from robolog.sources.catalog import in_bags, list_files, missing_files, read_anchors
 from robolog.sources.log import read_frames, read_messages, timeline_columns
 
 
@@ -312,6 +313,7 @@ def run_tables(
     action: Sequence[str] | None = None,
     action_dim: int = 42,
     text_path: str | None = TEXT_PATH,
+    reports: Mapping[str, DataFrame] | None = None,
     target_rows: int | None = None,
     **options,
 ) -> Dataset:
@@ -319,7 +321,8 @@ def run_tables(
 
     ``meta/status`` has a row for every recording that ``bags``, anchors, frames or messages
     name, with the reasons why it is not in the dataset. With ``strict`` any such reason fails
-    the run before anything is published.
+    the run before anything is published. ``meta/dim_mismatch`` lists the paths whose messages
+    do not have the contract's width, with a sample; ``reports`` are published beside it.
     """
     widths = widths if widths is not None else STATE_WIDTHS[mode]
     topics = topics or {p: p.strip("/").replace("/", "_") for p in source_paths(mode)}
@@ -346,7 +349,8 @@ def run_tables(
     )
     if strict and not dataset.rejected.isEmpty():
         raise RuntimeError("recordings with vectors of another width")
-    publish(dataset, output, replace, status=status)
+    odd = dim_mismatch(messages.select("bag_id", "entity_path", "component", "ts_ns", "seq", "values"), widths)
+    publish(dataset, output, replace, status=status, dim_mismatch=odd, **(reports or {}))
     return dataset
 
 
@@ -367,11 +371,13 @@ def run_full(
     removed at the end. See ``run_tables`` for the options.
     """
     with discard_staged(spark):
-        bags = in_bags(list_files(spark, bag_root)).select("bag_id").distinct()
+        files = list_files(spark, bag_root)
+        bags = in_bags(files).select("bag_id").distinct()
         messages = read_messages(spark, messages_path)
         columns = {timeline: timeline_columns()[timeline]} if timeline else timeline_columns()
         placed = reindex_timeline(messages, columns)
         named = bags.unionByName(messages.select("bag_id")).distinct()
         run_tables(
-            named, read_anchors(spark, bag_root, strict=False), read_frames(spark, frames_path), placed, output, **options
+            named, read_anchors(spark, bag_root, strict=False), read_frames(spark, frames_path), placed, output,
+            reports={"missing_inputs": missing_files(files)}, **options,
         )

@@ -75,6 +75,8 @@ def test_every_fault_is_listed_and_strict_fails(spark, tmp_path, fault, reason):
     run_tables(*given, path, topics=TOPICS, widths=WIDTHS, action_dim=2)
     status = {r.bag_id: list(r.reasons) for r in read_dataset(spark, path, "status").collect()}
     assert status["a"] == [] and reason in status["b"]
+    odd = {(r.bag_id, r.entity_path): r.observed for r in read_dataset(spark, path, "dim_mismatch").collect()}
+    assert odd == {"width": {("b", POSE): 8}, "unheard": {("c", POSE): 0}}.get(fault, {})
     if fault == "unheard":
         assert status["c"] == ["no clock anchor", "no left_eye frames"]
     assert {r.segment_id for r in read_dataset(spark, path, "episodes").collect()} == {"a"}
@@ -103,6 +105,8 @@ def test_staged_folders_are_removed_after_a_run(spark, tmp_path):
              topics=TOPICS, widths=WIDTHS, action_dim=1, strict=True)
     # Messages have only a publish time, so they are placed by it.
     assert read_dataset(spark, str(tmp_path / "out")).count() == 3
+    lacking = {r.name for r in read_dataset(spark, str(tmp_path / "out"), "missing_inputs").collect()}
+    assert "data/data_0.mcap" in lacking and "video/cameras_first_frame.yaml" not in lacking
     assert {d for d in os.listdir(root) if d.startswith("stage-")} == before
 
 
