@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from robolog.llm.anchors import runs
 from robolog.llm.common import body, give_back, pieces
 from robolog.llm.run_index import MOST_SYMBOLS, earlier_windows
+from robolog.operators.joins import side_join
 from robolog.session import materialize, write_once
 
 #: Bytes of a window, and of the grams whose smallest hash is the key of a window.
@@ -223,16 +224,24 @@ def repeated_stretches(rows: DataFrame, length: int = LENGTH, gram: int = GRAM,
     marked = write_once(dealt.mapInArrow(give_back(_marked), "key bigint, doc bigint, start bigint, stop bigint"))
     mixed = marked.where("key IS NOT NULL")
     large = materialize(mixed.groupBy("key").agg(F.sum(F.col("stop") - F.col("start") + 1).alias("size")).where(F.col("size") > index_bytes).select("key"))
-    snippets = rows.join(mixed, "doc").select("key", "doc", "start", F.expr("substring(content, CAST(start + 1 AS INT), CAST(stop - start AS INT))").alias("content"))
     any_large = not large.isEmpty()
-    small = snippets.join(large, "key", "left_anti") if any_large else snippets
-    indexed = small.repartition("key").sortWithinPartitions("key", "doc", "start").mapInArrow(give_back(_indexed(length)), "doc bigint, start bigint, stop bigint")
+    small = side_join(mixed, large, ["key"], "left_anti") if any_large else mixed
+    indexed = _snippets(rows, small).repartition("key").sortWithinPartitions("key", "doc", "start").mapInArrow(give_back(_indexed(length)), "doc bigint, start bigint, stop bigint")
     out = marked.where("key IS NULL").select("doc", "start", "stop").unionByName(indexed)
     if any_large:
-        out = out.unionByName(_window_repeats(snippets.join(large, "key", "left_semi"), length))
+        # Few documents hold such keys: only their texts are moved, and their runs are written once.
+        crowded = materialize(side_join(mixed, large, ["key"], "left_semi"))
+        held = side_join(rows, crowded.select("doc").distinct(), ["doc"], "left_semi")
+        out = out.unionByName(_window_repeats(write_once(_snippets(held, crowded)), length))
     return out
 
 
+def _snippets(rows: DataFrame, runs_: DataFrame) -> DataFrame:
+    """The bytes of runs: key, doc, start, content."""
+    own = F.expr("substring(content, CAST(start + 1 AS INT), CAST(stop - start AS INT))")
+    return rows.join(runs_, "doc").select("key", "doc", "start", own.alias("content"))
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, digests: bool = False, **sizes: int) -> DataFrame:
     """One row per row: ``key`` (bigint), n_bytes, n_removed, n_spans, spans (start and stop of each removed run) and kept (binary).
 
