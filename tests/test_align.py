@@ -109,13 +109,14 @@ def test_collapse_repeats_only_exact_multiples(spark):
         assert [(r.bag_id, r.ts_ns, r.seq) for r in out] == [("a", 1, 0), ("a", 2, 2), ("a", 3, 4)]
 
 
-def test_camera_zip_stops_at_the_shorter_stream(spark):
-    frames = spark.createDataFrame(
-        [("a", "l", 1, 0, 10), ("a", "l", 2, 1, None), ("a", "l", 3, 2, 12), ("a", "r", 5, 0, 20), ("a", "r", 6, 1, 21)],
-        "bag_id string, camera string, ts_ns bigint, seq bigint, value int",
-    )
-    out = align.camera_zip(frames, {"l": "left", "r": "right"}).orderBy("frame_no").collect()
-    assert [(r.frame_no, r.left, r.right) for r in out] == [(0, 10, 20), (1, None, 21)]
+def test_camera_zip_needs_streams_of_one_length(spark):
+    even = [("a", "l", 1, 0, 10), ("a", "l", 2, 1, None), ("a", "r", 5, 0, 20), ("a", "r", 6, 1, 21)]
+    longer = [("b", c, i, i, i) for c, n in (("l", 3), ("r", 2)) for i in range(n)]
+    frames = spark.createDataFrame(even + longer, "bag_id string, camera string, ts_ns bigint, seq bigint, value int")
+    cameras = {"l": "left", "r": "right"}
+    out = align.camera_zip(frames, cameras).orderBy("bag_id", "frame_no").collect()
+    assert [(r.bag_id, r.frame_no, r.left, r.right) for r in out] == [("a", 0, 10, 20), ("a", 1, None, 21)]
+    assert [tuple(r) for r in align.unequal_cameras(frames, list(cameras)).collect()] == [("b", 2, 3)]
 
 
 def test_sort_clean_index(spark):
