@@ -26,9 +26,9 @@ def body(text: str | Column = "text") -> Column:
 
 
 def ascii_lower(text: str | Column = "text") -> Column:
-    """The text with A-Z lowered and every other character as it is; null counts as empty."""
-    column = F.col(text) if isinstance(text, str) else text
-    return F.translate(F.coalesce(column.cast("string"), F.lit("")), UPPER, UPPER.lower())
+    """The text's bytes with A-Z lowered and every other byte as it is, valid UTF-8 or not; null counts as empty."""
+    # In ISO-8859-1 every byte is a character, so nothing is replaced on the way there and back.
+    return F.encode(F.translate(F.decode(body(text), "ISO-8859-1"), UPPER, UPPER.lower()), "ISO-8859-1")
 
 
 def has_repeats(df: DataFrame, key: str) -> bool:

@@ -59,3 +59,9 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
 def test_kept_rows_keep_their_columns(spark):
     df = spark.range(100).select(F.col("id").alias("doc_id"), (F.col("id") % 9).cast("string").alias("text"), F.lit(1).alias("keep_id"))
     assert sorted(r.doc_id for r in drop_exact(df).collect()) == list(range(91, 100))
+
+
+def test_a_text_with_an_invalid_byte_keeps_one_copy(spark):
+    df = spark.sql("SELECT id AS doc_id, CAST(IF(id < 3, X'61FF41', IF(id < 5, X'61FE41', X'61C3A9C3')) AS STRING) AS text FROM range(7)")
+    assert sorted(r.doc_id for r in drop_exact(df).select("doc_id").collect()) == [2, 4, 6]
+    assert sorted(r.doc_id for r in exact_groups(df).where("kept").collect()) == [2, 4, 6]
