@@ -287,17 +287,48 @@ def _keep_rule(frame_no: str, source_fps: float, target_fps: float, max_seconds:
     return F.when(planned, due_here).otherwise(problem)
 
 
-# Distinct source rates that are planned in one query.
+# Distinct source rates up to which each has its own expression; more are joined as a table.
 MOST_RATES = 256
+_RATES_SCHEMA = (
+    "__rate double, __source double, __step double, __plain boolean, __last bigint, "
+    "__runs array<struct<start: double, number: bigint, distance: double, count: bigint>>"
+)
 
 
 def _source_rates(frames: DataFrame, column: str) -> list[float]:
-    """The distinct positive rates of a column (few: rates of cameras)."""
+    """The distinct positive rates of a column (at most one for each recording)."""
     found = frames.where(F.col(column) > 0).select(F.col(column).cast("double").alias("r")).distinct()
-    rates = [r.r for r in found.orderBy("r").limit(MOST_RATES + 1).collect()]
-    if len(rates) > MOST_RATES:
-        raise ValueError(f"more than {MOST_RATES} source rates in {column}: round them first")
-    return rates
+    return [r.r for r in found.orderBy("r").collect()]
+
+
+def _planned(rate: float, target_fps: float, max_rows: int) -> tuple:
+    """What :func:`_keep_rule` plans for a rate, as a row of the table of rates."""
+    source = rate if rate > 0 else float(DEFAULT_SOURCE_FPS)
+    output, longest = min(float(target_fps), source), (max_rows + 1) / rate
+    runs = output_instants(output, longest)
+    plain = _plain_runs(runs, source, 1.0 / output)
+    rest = [(float(a), int(b), float(c), int(d)) for a, b, c, d in runs[plain:]]
+    return rate, source, 1.0 / output, bool(plain), int(longest * source) - 1, rest
+
+
+def _keep_by_table(numbered: DataFrame, column: str, rates: list[float], target_fps: float, max_rows: int, unknown: Column) -> DataFrame:
+    """Rows kept by the rule of their own rate, which is joined to them."""
+    if target_fps <= 0:
+        raise ValueError(f"target fps must be positive, got {target_fps}")
+    table = numbered.sparkSession.createDataFrame([_planned(r, target_fps, max_rows) for r in rates], _RATES_SCHEMA)
+
+    def due(frame: str) -> str:
+        seconds = f"(CAST({frame} AS DOUBLE) / __source + 1e-9D)"
+        run = f"element_at(filter(__runs, r -> {seconds} >= r.start), -1)"
+        here = f"transform(array({run}), r -> IF(r.count = 1, 0L, least(floor(({seconds} - r.start) / r.distance), r.count - 1)) + r.number + 1L)[0]"
+        reached = f"exists(__runs, r -> {seconds} >= r.start)"
+        return f"CASE WHEN {reached} THEN {here} WHEN __plain THEN floor({seconds} / __step) + 1L ELSE 0L END"
+
+    rule = F.expr(f"frame_no = 0 OR {due('frame_no')} > {due('(frame_no - 1)')}")
+    problem = F.raise_error(F.lit("stream is longer than max_seconds")).cast("boolean")
+    kept = F.when(F.col("frame_no") <= F.col("__last"), rule).otherwise(problem)
+    joined = numbered.join(table, F.col(column).cast("double") == F.col("__rate"), "left")
+    return joined.where(F.when(F.col(column) > 0, kept).otherwise(unknown)).select(*numbered.columns)
 
 
 def downsample_fps(
@@ -322,11 +353,13 @@ def downsample_fps(
     numbered = numbered.withColumn("frame_no", F.col("_rn") - 1).drop("_rn")
     if isinstance(source_fps, str):
         rates = _source_rates(frames, source_fps)
+        unknown = _keep_rule("frame_no", DEFAULT_SOURCE_FPS, target_fps, (layout.max_rows + 1) / DEFAULT_SOURCE_FPS)
+        if len(rates) > MOST_RATES:
+            return _keep_by_table(numbered, source_fps, rates, target_fps, layout.max_rows, unknown)
         kept = F.lit(None).cast("boolean")
         for rate in rates:
             rule = _keep_rule("frame_no", rate, target_fps, (layout.max_rows + 1) / rate)
             kept = F.when(F.col(source_fps).cast("double") == F.lit(rate), rule).otherwise(kept)
-        unknown = _keep_rule("frame_no", DEFAULT_SOURCE_FPS, target_fps, (layout.max_rows + 1) / DEFAULT_SOURCE_FPS)
         return numbered.where(F.when(F.col(source_fps) > 0, kept).otherwise(unknown))
     source = source_fps if source_fps and source_fps > 0 else DEFAULT_SOURCE_FPS
     longest = (layout.max_rows + 1) / source
