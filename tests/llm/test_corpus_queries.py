@@ -14,7 +14,7 @@ from robolog.llm.language_id import fit_language, identify
 from robolog.llm.registry import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
-IDS = {1, 2, 3, 4, 5, 6, 7, 8, 9, 10}
+IDS = set(range(1, 14))
 
 
 def test_every_operator_is_registered():
