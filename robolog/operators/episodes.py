@@ -74,11 +74,18 @@ def file_places(
 
 
 def task_table(
-    rows: DataFrame, *, order: Sequence[str] = ("segment_id", "ts_ns", "seq"), task: str = "task"
+    rows: DataFrame, *, order: Sequence[str] = ("segment_id", "ts_ns", "seq"), task: str = "task", known: DataFrame | None = None
 ) -> DataFrame:
-    """Tasks numbered by first appearance over all episodes: (task_index, task)."""
+    """Tasks numbered by first appearance over all episodes: (task_index, task).
+
+    ``known`` is such a table of earlier episodes: its tasks are left out, the new ones go on after it.
+    """
     first = rows.groupBy(task).agg(F.min(F.struct(*order)).alias("_first"))
-    return numbered(first, "_first", "task_index").select("task_index", task)
+    if known is None:
+        return numbered(first, "_first", "task_index").select("task_index", task)
+    after = known.agg(F.coalesce(F.max("task_index") + 1, F.lit(0)).alias("n")).first().n
+    new = numbered(first.join(known.select(task), task, "left_anti"), "_first", "task_index")
+    return new.select((F.col("task_index") + after).alias("task_index"), task)
 
 
 def task_join(rows: DataFrame, tasks: DataFrame, task: str = "task") -> DataFrame:

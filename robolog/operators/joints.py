@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from robolog.contracts import ARM_JOINTS
 from robolog.functions.numeric import vector_slice
-from robolog.functions.poses import joint_rotation
+from robolog.functions.poses import POSE, compose, joint_rotation, joint_transform_pose, no_motion, pose_struct, rpy_rotation, unit_axis
+from robolog.session import materialize
 
 
 def joint_slices(
@@ -109,3 +111,73 @@ def joint_pose(
     return rows.withColumn("_pose", pose).select(
         *rows.columns, *[F.col("_pose")[q].alias(q) for q in ("qx", "qy", "qz", "qw")]
     )
+
+
+#: What a table of joints has: names, kind, where it sits in the parent link (place and roll, pitch, yaw), axis,
+#: and the position of its value in the joint vector (null: it has none).
+JOINT_TABLE = (
+    "joint string, parent string, child string, kind string, ox double, oy double, oz double, roll double, pitch double, yaw double, "
+    "ax double, ay double, az double, slot int"
+)
+JOINT_KINDS = ("revolute", "continuous", "prismatic", "fixed")
+
+
+def joint_origins(joints: DataFrame) -> DataFrame:
+    """The joints with their origin as a pose and their motion's parameters as one struct; other kinds are an error."""
+    known = F.when(F.col("kind").isin(*JOINT_KINDS), F.col("kind")).otherwise(
+        F.raise_error(F.concat(F.lit("no such kind of joint: "), F.coalesce("kind", F.lit("none")))).cast("string"))
+    given = lambda c, d: F.coalesce(F.col(c), F.lit(d))
+    origin = pose_struct([given(c, 0.0) for c in ("ox", "oy", "oz")] + rpy_rotation(*[given(c, 0.0) for c in ("roll", "pitch", "yaw")]))
+    axis = unit_axis([given("ax", 1.0), given("ay", 0.0), given("az", 0.0)])
+    named = [a.alias(c) for a, c in zip(axis, ("ax", "ay", "az"), strict=True)]
+    # Worked out once per joint, not once per row that uses it.
+    return materialize(joints.select("joint", "parent", "child", F.struct("joint", known.alias("kind"), "slot", *named, origin.alias("origin")).alias("spec")))
+
+
+def _local(spec, vector) -> Column:
+    value = F.when(spec["slot"].isNotNull(), F.get(vector, spec["slot"]))
+    return joint_transform_pose(spec["origin"], spec["kind"], [spec["ax"], spec["ay"], spec["az"]], value)
+
+
+def joint_transforms(rows: DataFrame, vector: str, keep: Sequence[str], joints: DataFrame) -> DataFrame:
+    """One row per row and joint: the child link's pose in the parent link's frame.
+
+    The joints, one robot's, come along as one value; rows are not moved.
+    """
+    specs = joint_origins(joints).agg(F.sort_array(F.collect_list(F.struct("joint", "parent", "child", "spec"))).alias("_specs"))
+    posed = F.transform("_specs", lambda j: F.struct(j["joint"].alias("joint"), j["parent"].alias("parent"), j["child"].alias("child"), _local(j["spec"], F.col(vector)).alias("pose")))
+    flat = rows.select(*keep, vector).crossJoin(F.broadcast(specs)).select(*keep, F.inline(posed))
+    return flat.select(*keep, "joint", "parent", "child", *[F.col("pose")[n].alias(n) for n in POSE])
+
+
+def link_chains(joints: DataFrame) -> DataFrame:
+    """Every link with the joints from the root down to it: (link, chain). A ring of joints has no root and is an error."""
+    session = joints.sparkSession
+    specs = joint_origins(joints)
+    view = f"joints_{uuid.uuid4().hex}"
+    specs.createOrReplaceTempView(view)
+    try:
+        chains = session.sql(f"""
+            WITH RECURSIVE chains (link, chain) AS (
+              SELECT r.parent, slice(array(r.spec), 1, 0) FROM (SELECT parent, min(spec) AS spec FROM {view} GROUP BY parent) r LEFT ANTI JOIN {view} c ON c.child = r.parent
+              UNION ALL
+              SELECT j.child, concat(c.chain, array(j.spec)) FROM chains c JOIN {view} j ON j.parent = c.link)
+            SELECT link, chain FROM chains""")
+        chains.schema  # analysed while the view is there
+    finally:
+        session.catalog.dropTempView(view)
+    return chains
+
+
+def link_poses(rows: DataFrame, vector: str, keep: Sequence[str], joints: DataFrame) -> DataFrame:
+    """One row per row and link: the link's pose in the frame of the root link.
+
+    Only the tree of joints, which is as small as the robot, is walked by a recursive query. Each row then
+    puts the joints of a chain together in one expression, so rows are neither moved nor joined per level.
+    """
+    every = link_chains(joints).agg(F.sort_array(F.collect_list(F.struct("link", "chain"))).alias("_chains"))
+    from_root = F.transform("_chains", lambda c: F.struct(
+        c["link"].alias("link"), F.size(c["chain"]).alias("depth"),
+        F.aggregate(F.transform(c["chain"], lambda j: _local(j, F.col(vector))), no_motion(), compose).alias("pose")))
+    flat = rows.select(*keep, vector).crossJoin(F.broadcast(every)).select(*keep, F.inline(from_root))
+    return flat.select(*keep, "link", "depth", *[F.col("pose")[n].alias(n) for n in POSE])

@@ -31,6 +31,7 @@ from robolog.operators.vectors import dim_mismatch
 from robolog.plans.align import AlignedBags, align_bags
 from robolog.session import discard_staged, materialize, write_once
 from robolog.sinks.publish import episode_files, read_dataset, write_dataset, write_meta
+from robolog.sinks.versions import load_version, publishing
 from robolog.sources.catalog import in_bags, list_files, missing_files, read_anchors
 from robolog.sources.log import read_frames, read_messages, timeline_columns
 
@@ -49,6 +50,36 @@ class Dataset:
     info: DataFrame
 
 
+@dataclass(frozen=True)
+class DatasetState:
+    """What a published version holds so far, read off its small tables: where the next batch goes on."""
+
+    path: str
+    n_episodes: int
+    n_frames: int
+    episodes: DataFrame
+    tasks: DataFrame
+    info: DataFrame
+
+
+def dataset_state(spark: SparkSession, path: str) -> DatasetState:
+    """The latest version's totals and tables; the frames themselves are not read."""
+    if load_version(spark, path) is None:
+        raise FileNotFoundError(f"{path} has no published version to go on from")
+    episodes = read_dataset(spark, path, "episodes")
+    last = episodes.agg(
+        F.coalesce(F.max("episode_index") + 1, F.lit(0)).alias("episodes"), F.coalesce(F.max(F.col("first_index") + F.col("length")), F.lit(0)).alias("frames")
+    ).first()
+    return DatasetState(path, last.episodes, last.frames, episodes, read_dataset(spark, path, "tasks"), read_dataset(spark, path, "info"))
+
+
+def _refuse_repeats(segments: DataFrame, segment: str, state: DatasetState) -> None:
+    again = segments.select(F.col(segment).alias("segment_id")).join(state.episodes.select("segment_id"), "segment_id", "left_semi")
+    names = [str(r.segment_id) for r in again.limit(3).collect()]
+    if names:
+        raise ValueError(f"already in {state.path}: {', '.join(names)}")
+
+
 def episode_frames(
     rows: DataFrame,
     action: Sequence[str],
@@ -105,12 +136,17 @@ def build_dataset(
     task_override: str | None = None,
     fps: DataFrame | None = None,
     target_rows: int | None = None,
+    state_before: DatasetState | None = None,
 ) -> Dataset:
     """All segments to one dataset, with file assignment and totals.
 
     Segments that hold a vector of another width are rejected as a whole and listed. The rows
     are written once, with vectors and task text; rejects, lengths, tasks and frames all come
     from that table. ``fps`` (segment, fps) gives the rates that ``info`` reports.
+
+    With ``state_before`` (:func:`dataset_state`) the numbers of episodes, frames and tasks and the
+    file places go on where that version ends, ``tasks`` are the new ones only, and ``info`` has the
+    totals of both. A segment that the version has is an error, and so are other vector widths.
     """
     complete = rows.dropna(subset=[*action, *state])
     source = F.col(task) if task else F.lit(None).cast("string")
@@ -131,14 +167,23 @@ def build_dataset(
         )
     )
     n_segments, size = table_size(segments)
+    if state_before:
+        _refuse_repeats(segments, segment, state_before)
+        before = state_before.info.first()
+        if (before.action_dim, before.state_dim) != (action_dim, state_dim):
+            raise ValueError(f"{state_before.path} has vectors of {before.action_dim} and {before.state_dim} numbers, not {action_dim} and {state_dim}")
     bad = segments.where("n_bad > 0").select(segment, "n_bad", F.lit("vector of another width").alias("reason"))
     kept = side_join(staged, bad.select(segment), [segment], "left_anti", size=size)
     good = segments.where("n_bad = 0").drop("n_bad")
     episodes = numbered(good, segment, "episode_index", known=(n_segments, size), first_index="length")
+    if state_before:
+        episodes = episodes.withColumns({
+            "episode_index": F.col("episode_index") + state_before.n_episodes, "first_index": F.col("first_index") + state_before.n_frames})
     layout = measure(kept, [segment], [ts, seq], target_rows, totals(good, "length"))
     frames = number_frames(kept, episodes, segment=segment, ts=ts, seq=seq, layout=layout, size=2 * size)
-    tasks = materialize(task_table(kept, order=(segment, ts, seq)))
-    frames = side_join(frames, tasks, ["task"], "inner", size=table_size(tasks)[1])
+    tasks = materialize(task_table(kept, order=(segment, ts, seq), known=state_before.tasks if state_before else None))
+    all_tasks = materialize(tasks.unionByName(state_before.tasks)) if state_before else tasks
+    frames = side_join(frames, all_tasks, ["task"], "inner", size=table_size(all_tasks)[1])
     # Five counters and the float32 vectors; all rows are of one size, so bytes follow rows.
     row_bytes = 8 * 4 + 4 + 4 * (action_dim + state_dim)
     sized = episodes.withColumns({
@@ -147,15 +192,18 @@ def build_dataset(
     placed = file_places(sized, target_mb=file_mb)
     where = placed.select("episode_index", "chunk_index", "file_index")
     frames = side_join(frames, where, ["episode_index"], "inner", rows=n_segments)
+    done = (state_before.n_episodes, state_before.n_frames) if state_before else (0, 0)
     info = placed.agg(
-        F.count(F.lit(1)).alias("total_episodes"),
-        F.coalesce(F.sum("length"), F.lit(0)).alias("total_frames"),
+        (F.count(F.lit(1)) + done[0]).alias("total_episodes"),
+        (F.coalesce(F.sum("length"), F.lit(0)) + done[1]).alias("total_frames"),
         F.lit(action_dim).alias("action_dim"),
         F.lit(state_dim).alias("state_dim"),
         F.lit(FILES_PER_CHUNK).alias("files_per_chunk"),
-    ).crossJoin(tasks.agg(F.count(F.lit(1)).alias("total_tasks")))
+    ).crossJoin(all_tasks.agg(F.count(F.lit(1)).alias("total_tasks")))
     if fps is not None:
-        rates = side_join(fps, placed.select(segment), [segment], "left_semi")
+        rates = side_join(fps, placed.select(segment), [segment], "left_semi").select("fps")
+        if state_before and "least_fps" in state_before.info.columns:
+            rates = rates.unionByName(state_before.info.select(F.explode(F.array("least_fps", "most_fps")).alias("fps")))
         one = F.when(F.min("fps") == F.max("fps"), F.min("fps"))
         info = info.crossJoin(rates.agg(one.alias("fps"), F.min("fps").alias("least_fps"), F.max("fps").alias("most_fps")))
     return Dataset(
@@ -175,26 +223,41 @@ def dataset_features(info: DataFrame) -> DataFrame:
     return info.select(F.inline(F.array(*made)))
 
 
-def publish(dataset: Dataset, path: str, replace: bool = False, **tables: DataFrame) -> None:
-    """Write frames, then the metadata tables: episodes, episode_files, tasks, episode_tasks, stats, info,
-    features, rejected, and those given by name.
+def publish(dataset: Dataset, path: str, replace: bool = False, append: bool = False, **tables: DataFrame) -> None:
+    """Write frames and metadata tables as one batch, then the version that shows them: episodes, episode_files, tasks,
+    episode_tasks, stats, info, features, rejected, and those given by name.
 
     Statistics, tasks and files per episode are computed from the written frames, so the
     alignment behind them runs once and a recorded path is that of a file that was written.
+    A failure at any point leaves what readers see as it was. An existing dataset is refused
+    unless it is to be replaced or appended to.
     """
     spark = dataset.frames.sparkSession
     meta = {
         "episodes": dataset.episodes, "tasks": dataset.tasks, "info": dataset.info,
         "features": dataset_features(dataset.info), "rejected": dataset.rejected, **tables,
     }
-    write_dataset(dataset.frames, meta, path, replace=replace)
-    written = read_dataset(spark, path)
-    derived = {
-        "episode_files": episode_files(spark, path),
-        "episode_tasks": episode_tasks(written, episode="episode_index", order=("frame_index",)),
-        "stats": stats_arrays(episode_stats(written, VECTORS)),
-    }
-    write_meta(derived, path, replace=replace)
+    mode = "append" if append else "replace" if replace else "new"
+    with publishing(spark, path, mode) as batch:
+        write_dataset(dataset.frames, meta, path, batch=batch)
+        written = spark.read.schema(dataset.frames.schema).parquet(f"{path}/data/batch={batch}")
+        derived = {
+            "episode_files": episode_files(spark, path, batch),
+            "episode_tasks": episode_tasks(written, episode="episode_index", order=("frame_index",)),
+            "stats": stats_arrays(episode_stats(written, VECTORS)),
+        }
+        write_meta(derived, path, batch=batch)
+
+
+def append_dataset(spark: SparkSession, path: str, rows: DataFrame, action: Sequence[str], state: Sequence[str], **options) -> Dataset:
+    """Add the segments of ``rows`` to a published dataset as a further version.
+
+    Two batches published one after the other give the rows of one run over both, if the segments
+    of the second come after those of the first. See ``build_dataset`` for the options.
+    """
+    dataset = build_dataset(rows, action, state, state_before=dataset_state(spark, path), **options)
+    publish(dataset, path, append=True)
+    return dataset
 
 
 def camera_clock(frames: DataFrame, anchors: DataFrame, camera: str = "left_eye") -> DataFrame:

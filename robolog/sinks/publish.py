@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from robolog.sinks.versions import load_version, read_version
+
 ROWS_PER_FILE = 5_000_000
 
 
@@ -41,10 +43,11 @@ def write_dataset(
     *,
     replace: bool = False,
     rows_per_file: int = ROWS_PER_FILE,
+    batch: str | None = None,
 ) -> None:
     """A dataset folder: ``data/`` by chunk and file, and one table per entry of ``meta``.
 
-    ``replace=False`` refuses an existing output. Frames need ``chunk_index``, ``file_index``,
+    With ``batch`` all of it goes into that batch, see ``versions``. ``replace=False`` refuses an existing output. Frames need ``chunk_index``, ``file_index``,
     ``episode_index`` and ``frame_index``. The rows of one (chunk, file) go to one task, in
     blocks of ``rows_per_file`` frames of an episode, so that a very long episode is spread
     over several tasks and part files of its folder.
@@ -58,24 +61,31 @@ def write_dataset(
         .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy("chunk_index", "file_index")
-        .parquet(f"{path}/data")
+        .parquet(f"{path}/data{_below(batch)}")
     )
-    write_meta(meta, path, replace=replace)
+    write_meta(meta, path, replace=replace, batch=batch)
+
+
+def _below(batch: str | None) -> str:
+    return f"/batch={batch}" if batch else ""
 
 
-def episode_files(spark: SparkSession, path: str) -> DataFrame:
+def episode_files(spark: SparkSession, path: str, batch: str | None = None) -> DataFrame:
     """The files the episodes are in: (episode_index, path below the dataset, n_rows), read off the data."""
-    data = spark.read.parquet(f"{path}/data")
-    name = F.concat(F.lit("data/"), F.substring_index(F.col("_metadata.file_path"), "/", -3))
+    data = spark.read.parquet(f"{path}/data{_below(batch)}")
+    name = F.concat(F.lit("data/"), F.substring_index(F.col("_metadata.file_path"), "/", -4 if batch else -3))
     return data.select("episode_index", name.alias("path")).groupBy("episode_index", "path").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def write_meta(tables: Mapping[str, DataFrame], path: str, *, replace: bool = False) -> None:
+def write_meta(tables: Mapping[str, DataFrame], path: str, *, replace: bool = False, batch: str | None = None) -> None:
     """Metadata tables of a dataset."""
     mode = "overwrite" if replace else "errorifexists"
     for name, table in tables.items():
-        table.write.mode(mode).parquet(f"{path}/meta/{name}")
+        table.write.mode(mode).parquet(f"{path}/meta/{name}{_below(batch)}")
 
 
-def read_dataset(spark: SparkSession, path: str, table: str = "data") -> DataFrame:
+def read_dataset(spark: SparkSession, path: str, table: str = "data", version: int | None = None) -> DataFrame:
+    """A table of the latest version or of one by number; of a folder without versions, what lies there."""
+    if version is not None or load_version(spark, path):
+        return read_version(spark, path, table, version)
     return spark.read.parquet(f"{path}/{table}" if table == "data" else f"{path}/meta/{table}")

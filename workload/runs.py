@@ -124,11 +124,11 @@ def published_files(spark, sf):
     """Recorded files of each episode, held against the files that are there."""
     path = run(spark, sf)
     there = list_files(spark, f"{path}/data", "*.parquet").select(
-        F.concat(F.lit("data/"), F.substring_index("path", "/", -3)).alias("path"), F.lit(True).alias("there"))
+        F.concat(F.lit("data/"), F.substring_index("path", "/", -4)).alias("path"), F.lit(True).alias("there"))
     files = read_dataset(spark, path, "episode_files").join(there, "path", "left")
     episodes = read_dataset(spark, path, "episodes").withColumnRenamed("segment_id", "bag_id")
-    place = F.concat(F.lit("data/chunk_index="), F.col("chunk_index"), F.lit("/file_index="), F.col("file_index"), F.lit("/"))
-    joined = files.join(episodes, "episode_index").withColumn("_in", F.col("path").startswith(place))
+    place = F.concat(F.lit("/chunk_index="), F.col("chunk_index"), F.lit("/file_index="), F.col("file_index"), F.lit("/"))
+    joined = files.join(episodes, "episode_index").withColumn("_in", F.col("path").contains(place))
     return joined.groupBy("bag_id", "length", "chunk_index", "file_index").agg(
         F.sum("n_rows").alias("n_rows"), F.min(F.coalesce("there", F.lit(False))).alias("found"), F.min("_in").alias("in_place"))
 

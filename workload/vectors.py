@@ -303,6 +303,19 @@ def episode_stats_query(spark, sf):
     return stats.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
 
 
+def dataset_rows(spark, sf):
+    """Segments of vectors with a task; one segment is too narrow, and some rows lack a part."""
+    short = F.when(F.col("bag_id") == 4, F.slice("position", 1, 13)).otherwise(F.col("position"))
+    return (
+        robot(spark, sf)
+        .withColumn("segment_id", F.concat(F.lit("seg-"), F.col("bag_id").cast("string")))
+        .withColumn("position", F.when(F.col("seq") % 11 != 0, short))
+        .withColumn("grip_l", pad_vector(F.col("grip_l"), 6))
+        .withColumn("grip_r", pad_vector(F.col("grip_r"), 6))
+        .withColumn("text", F.concat(F.lit("task "), (F.col("seq") % 3).cast("string")))
+    )
+
+
 @query(
     "build_dataset",
     f"""{V}, good AS (SELECT * FROM v WHERE bag_id <> 4 AND NOT (seq % 11 = 0)),
@@ -315,17 +328,8 @@ def episode_stats_query(spark, sf):
 )
 def build_dataset_query(spark, sf):
     """Vectors to a published dataset, read back from its files."""
-    short = F.when(F.col("bag_id") == 4, F.slice("position", 1, 13)).otherwise(F.col("position"))
-    rows = (
-        robot(spark, sf)
-        .withColumn("segment_id", F.concat(F.lit("seg-"), F.col("bag_id").cast("string")))
-        .withColumn("position", F.when(F.col("seq") % 11 != 0, short))
-        .withColumn("grip_l", pad_vector(F.col("grip_l"), 6))
-        .withColumn("grip_r", pad_vector(F.col("grip_r"), 6))
-        .withColumn("text", F.concat(F.lit("task "), (F.col("seq") % 3).cast("string")))
-    )
     dataset = build_dataset(
-        rows, ["effort", "position", "velocity"], ["eef_left", "eef_right", "grip_l", "grip_r"],
+        dataset_rows(spark, sf), ["effort", "position", "velocity"], ["eef_left", "eef_right", "grip_l", "grip_r"],
         action_dim=42, state_dim=26, task="text", file_mb=0.01,
     )
     path = scratch_path(spark, "dataset")
