@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from robolog.functions.times import ntz_micros
 from robolog.operators.joins import side_join
-from robolog.operators.layout import Layout, measure
+from robolog.operators.layout import Layout, measure, totals
 from robolog.operators.quality import stream_length_mismatch
 from robolog.operators.scan import last_value, next_value, row_number, scan
+from robolog.session import materialize
 
 CLOCK = "_clock"
 
@@ -254,14 +255,22 @@ def camera_zip(
     """Cameras joined by position: the n-th frame of each.
 
     ``cameras`` maps a camera to its output column. Recordings whose cameras differ in length
-    are not zipped: ``unequal_cameras`` lists them. Positions are numbered per stream and
-    brought together by one aggregate on (recording, position) instead of n - 1 joins.
+    are not zipped: ``unequal_cameras`` lists them. Counting and numbering read the keys only; each
+    payload is then given its position by one join on its key, and brought together with those of the
+    other cameras by one aggregate on (recording, position). Of frames of a camera that agree in all
+    of ``order`` one is taken.
     """
     chosen = frames.where(F.col(camera).isin(*cameras))
-    uneven = unequal_cameras(chosen, list(cameras), bag=bag, camera=camera).select(bag)
-    chosen = side_join(chosen, uneven, [bag], "left_anti")
-    numbered = scan(chosen, [bag, camera], order, layout, target_rows, _n=row_number())
-    return numbered.groupBy(bag, (F.col("_n") - 1).alias("frame_no")).agg(
+    keys = chosen.select(bag, camera, *order).distinct()
+    counted = materialize(keys.groupBy(bag, camera).agg(F.count(F.lit(1)).alias("_rows")))
+    lengths = counted.groupBy(bag).agg(F.count(F.lit(1)).alias("_cameras"), F.min("_rows").alias("_least"), F.max("_rows").alias("_most"))
+    even = lengths.where((F.col("_cameras") == len(cameras)) & (F.col("_least") == F.col("_most"))).select(bag)
+    total = totals(counted, "_rows")
+    if layout is None:
+        layout = measure(keys, [bag, camera], order, target_rows, total)
+    numbered = scan(side_join(keys, even, [bag], "left_semi", rows=total.n_keys), [bag, camera], order, layout, target_rows, _n=row_number())
+    placed = side_join(chosen.select(bag, camera, *order, value), numbered, [bag, camera, *order], "inner", rows=total.n_rows)
+    return placed.groupBy(bag, (F.col("_n") - 1).alias("frame_no")).agg(
         *[F.max(F.when(F.col(camera) == c, F.col(value))).alias(out) for c, out in cameras.items()]
     )
 

@@ -6,6 +6,7 @@ import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from robolog.contracts import DEFAULT_SOURCE_FPS, DEFAULT_TARGET_FPS, FPS_TOLERANCE, NS
@@ -287,20 +288,12 @@ def _keep_rule(frame_no: str, source_fps: float, target_fps: float, max_seconds:
     return F.when(planned, due_here).otherwise(problem)
 
 
-# Distinct source rates up to which each has its own expression; more are joined as a table.
-MOST_RATES = 256
 _RATES_SCHEMA = (
     "__rate double, __source double, __step double, __plain boolean, __last bigint, "
     "__runs array<struct<start: double, number: bigint, distance: double, count: bigint>>"
 )
 
 
-def _source_rates(frames: DataFrame, column: str) -> list[float]:
-    """The distinct positive rates of a column (at most one for each recording)."""
-    found = frames.where(F.col(column) > 0).select(F.col(column).cast("double").alias("r")).distinct()
-    return [r.r for r in found.orderBy("r").collect()]
-
-
 def _planned(rate: float, target_fps: float, max_rows: int) -> tuple:
     """What :func:`_keep_rule` plans for a rate, as a row of the table of rates."""
     source = rate if rate > 0 else float(DEFAULT_SOURCE_FPS)
@@ -311,11 +304,35 @@ def _planned(rate: float, target_fps: float, max_rows: int) -> tuple:
     return rate, source, 1.0 / output, bool(plain), int(longest * source) - 1, rest
 
 
-def _keep_by_table(numbered: DataFrame, column: str, rates: list[float], target_fps: float, max_rows: int, unknown: Column) -> DataFrame:
-    """Rows kept by the rule of their own rate, which is joined to them."""
+def _known_rate(column: str) -> Column:
+    """A rate that says something: neither null, zero or less, infinite, nor no number."""
+    rate = F.col(column).cast("double")
+    return F.coalesce((rate > 0) & (rate < F.lit(float("inf"))), F.lit(False))
+
+
+def _rate_plans(frames: DataFrame, column: str, target_fps: float, max_rows: int) -> DataFrame:
+    """A row for each distinct rate with the runs of its output instants, planned where the rates are, not on the driver."""
+    rates = frames.where(_known_rate(column)).select(F.col(column).cast("double").alias("__rate")).distinct()
+
+    def plan(batches):
+        for batch in batches:
+            rows = [_planned(rate, target_fps, max_rows) for rate in batch.column(0).to_pylist()]
+            if rows:
+                names = ["__rate", "__source", "__step", "__plain", "__last", "__runs"]
+                run = pa.struct([("start", pa.float64()), ("number", pa.int64()), ("distance", pa.float64()), ("count", pa.int64())])
+                kinds = [pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.int64(), pa.list_(run)]
+                columns = [list(c) for c in zip(*rows, strict=True)]
+                columns[5] = [[dict(zip(("start", "number", "distance", "count"), r, strict=True)) for r in runs] for runs in columns[5]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    return rates.mapInArrow(plan, _RATES_SCHEMA)
+
+
+def _keep_by_rate(numbered: DataFrame, frames: DataFrame, column: str, target_fps: float, max_rows: int, unknown: Column) -> DataFrame:
+    """Rows kept by the rule of their own rate, which is joined to them; ``unknown`` decides where there is none."""
     if target_fps <= 0:
         raise ValueError(f"target fps must be positive, got {target_fps}")
-    table = numbered.sparkSession.createDataFrame([_planned(r, target_fps, max_rows) for r in rates], _RATES_SCHEMA)
+    table = _rate_plans(frames, column, target_fps, max_rows)
 
     def due(frame: str) -> str:
         seconds = f"(CAST({frame} AS DOUBLE) / __source + 1e-9D)"
@@ -327,8 +344,9 @@ def _keep_by_table(numbered: DataFrame, column: str, rates: list[float], target_
     rule = F.expr(f"frame_no = 0 OR {due('frame_no')} > {due('(frame_no - 1)')}")
     problem = F.raise_error(F.lit("stream is longer than max_seconds")).cast("boolean")
     kept = F.when(F.col("frame_no") <= F.col("__last"), rule).otherwise(problem)
-    joined = numbered.join(table, F.col(column).cast("double") == F.col("__rate"), "left")
-    return joined.where(F.when(F.col(column) > 0, kept).otherwise(unknown)).select(*numbered.columns)
+    rated = numbered.withColumn("__rate", F.when(_known_rate(column), F.col(column).cast("double")))
+    joined = side_join(rated, table, ["__rate"], "left")
+    return joined.where(F.when(F.col("__rate").isNotNull(), kept).otherwise(unknown)).select(*numbered.columns)
 
 
 def downsample_fps(
@@ -343,8 +361,10 @@ def downsample_fps(
 ) -> DataFrame:
     """Number the frames of each stream from 0 and keep those the target rate asks for.
 
-    ``source_fps`` is one rate, or the column that holds each recording's own. The rule is
-    planned for each rate and for the longest stream the layout has counted.
+    ``source_fps`` is one rate, or the column that holds each recording's own; there a rate that is
+    null, not positive, infinite or no number counts as unknown. The rule is planned for each rate and
+    for the longest stream the layout has counted. Rates of a column are planned in parallel and
+    joined to the frames behind a check of their size, so every recording may have its own.
     """
     keys = list(keys)
     if layout is None:
@@ -352,15 +372,8 @@ def downsample_fps(
     numbered = scan(frames, keys, order, layout, _rn=row_number())
     numbered = numbered.withColumn("frame_no", F.col("_rn") - 1).drop("_rn")
     if isinstance(source_fps, str):
-        rates = _source_rates(frames, source_fps)
         unknown = _keep_rule("frame_no", DEFAULT_SOURCE_FPS, target_fps, (layout.max_rows + 1) / DEFAULT_SOURCE_FPS)
-        if len(rates) > MOST_RATES:
-            return _keep_by_table(numbered, source_fps, rates, target_fps, layout.max_rows, unknown)
-        kept = F.lit(None).cast("boolean")
-        for rate in rates:
-            rule = _keep_rule("frame_no", rate, target_fps, (layout.max_rows + 1) / rate)
-            kept = F.when(F.col(source_fps).cast("double") == F.lit(rate), rule).otherwise(kept)
-        return numbered.where(F.when(F.col(source_fps) > 0, kept).otherwise(unknown))
+        return _keep_by_rate(numbered, frames, source_fps, target_fps, layout.max_rows, unknown)
     source = source_fps if source_fps and source_fps > 0 else DEFAULT_SOURCE_FPS
     longest = (layout.max_rows + 1) / source
     return keep_frames(numbered, "frame_no", source_fps, target_fps, longest)

@@ -12,6 +12,7 @@ from robolog.functions.numeric import concat_vectors, has_width, pad_vector
 from robolog.functions.times import frame_time, task_text
 from robolog.operators.episodes import (
     FILES_PER_CHUNK,
+    MB,
     episode_stats,
     episode_table,
     episode_tasks,
@@ -23,17 +24,18 @@ from robolog.operators.episodes import (
 )
 from robolog.operators.joins import side_join, table_size
 from robolog.operators.layout import measure, totals
+from robolog.operators.packing import pack_files
 from robolog.operators.quality import require, run_report
 from robolog.operators.scan import numbered
 from robolog.operators.select import pick_columns, reindex_timeline
-from robolog.operators.timeline import infer_fps
-from robolog.operators.vectors import dim_mismatch
+from robolog.operators.timeline import fps_check, infer_fps
+from robolog.operators.vectors import agreed_features, dim_mismatch, infer_features
 from robolog.plans.align import AlignedBags, align_bags
 from robolog.session import discard_staged, materialize, write_once
 from robolog.sinks.publish import episode_files, read_dataset, write_dataset, write_meta
 from robolog.sinks.versions import load_version, publishing
 from robolog.sources.catalog import in_bags, list_files, missing_files, read_anchors
-from robolog.sources.log import read_frames, read_messages, timeline_columns
+from robolog.sources.log import ingest_report, parsed, read_frames, read_messages, timeline_columns
 
 
 VECTORS = {"action": "action", "observation_state": "observation_state"}
@@ -48,6 +50,7 @@ class Dataset:
     tasks: DataFrame
     rejected: DataFrame
     info: DataFrame
+    features: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -137,6 +140,9 @@ def build_dataset(
     fps: DataFrame | None = None,
     target_rows: int | None = None,
     state_before: DatasetState | None = None,
+    packing: str = "even",
+    names: Mapping[str, Sequence[str]] | None = None,
+    images: DataFrame | None = None,
 ) -> Dataset:
     """All segments to one dataset, with file assignment and totals.
 
@@ -147,7 +153,15 @@ def build_dataset(
     With ``state_before`` (:func:`dataset_state`) the numbers of episodes, frames and tasks and the
     file places go on where that version ends, ``tasks`` are the new ones only, and ``info`` has the
     totals of both. A segment that the version has is an error, and so are other vector widths.
+
+    ``packing`` is ``even`` (a file per ``file_mb`` of all bytes before an episode) or ``next_fit`` (an
+    episode that would fill the current file opens the next, see ``pack_files``). The published features
+    are those found in the rows: vector widths with ``names`` (of ``action`` and ``observation_state``),
+    the counters, and ``images``, a table of image features per segment (:func:`image_features`) as far
+    as the segments agree on them.
     """
+    if packing not in ("even", "next_fit"):
+        raise ValueError(f"unknown packing {packing}")
     complete = rows.dropna(subset=[*action, *state])
     source = F.col(task) if task else F.lit(None).cast("string")
     dtype = rows.schema[task].dataType if task else T.StringType()
@@ -189,7 +203,8 @@ def build_dataset(
     sized = episodes.withColumns({
         "size_bytes": F.col("length") * F.lit(row_bytes), "bytes_before": F.col("first_index") * F.lit(row_bytes),
     })
-    placed = file_places(sized, target_mb=file_mb)
+    placed = file_places(sized, target_mb=file_mb) if packing == "even" else materialize(
+        pack_files(sized, target_bytes=int(file_mb * MB), **(_last_file(state_before) if state_before else {})))
     where = placed.select("episode_index", "chunk_index", "file_index")
     frames = side_join(frames, where, ["episode_index"], "inner", rows=n_segments)
     done = (state_before.n_episodes, state_before.n_frames) if state_before else (0, 0)
@@ -206,21 +221,50 @@ def build_dataset(
             rates = rates.unionByName(state_before.info.select(F.explode(F.array("least_fps", "most_fps")).alias("fps")))
         one = F.when(F.min("fps") == F.max("fps"), F.min("fps"))
         info = info.crossJoin(rates.agg(one.alias("fps"), F.min("fps").alias("least_fps"), F.max("fps").alias("most_fps")))
+    found = infer_features(kept, {v: [v] for v in VECTORS}, names=names, keys=[segment], order=(ts, seq))
+    if images is not None:
+        found = found.unionByName(side_join(images.withColumnRenamed("segment_id", segment), good.select(segment), [segment], "left_semi", size=size))
     return Dataset(
         frames=frames,
         episodes=placed.withColumnRenamed(segment, "segment_id"),
         tasks=tasks,
         rejected=bad,
         info=info,
+        features=dataset_features(found, info),
     )
 
 
-def dataset_features(info: DataFrame) -> DataFrame:
-    """The vector and counter columns of a dataset: (name, dtype, shape)."""
-    rows = [("action", "float32", F.col("action_dim")), ("observation_state", "float32", F.col("state_dim")), ("timestamp", "float32", F.lit(1))]
-    rows += [(name, "int64", F.lit(1)) for name in ("frame_index", "episode_index", "index", "task_index")]
-    made = [F.struct(F.lit(n).alias("name"), F.lit(t).alias("dtype"), F.array(w.cast("int")).alias("shape")) for n, t, w in rows]
-    return info.select(F.inline(F.array(*made)))
+def _last_file(state: DatasetState) -> dict[str, int]:
+    """Number and bytes of the file that the next episode may go into."""
+    file = F.col("chunk_index") * FILES_PER_CHUNK + F.col("file_index")
+    sizes = state.episodes.groupBy(file.alias("file")).agg(F.sum("size_bytes").alias("bytes"))
+    last = sizes.agg(F.max(F.struct("file", "bytes")).alias("last")).first().last
+    return {"first_file": last["file"], "filled": last["bytes"]} if last else {}
+
+
+def image_features(shapes: DataFrame, *, segment: str = "bag_id", camera: str = "camera", dtype: str = "video") -> DataFrame:
+    """Image features per segment from a table of (segment, camera, height, width, channels)."""
+    shape = F.array(*[F.col(c).cast("int") for c in ("height", "width", "channels")])
+    axes = F.array(F.lit("height"), F.lit("width"), F.lit("channels"))
+    return shapes.groupBy(F.col(segment).alias("segment_id"), F.col(camera).alias("camera")).agg(F.min(shape).alias("shape"), F.max(shape).alias("_most")).select(
+        "segment_id", F.concat(F.lit("observation.images."), "camera").alias("name"), F.lit(dtype).alias("dtype"), "shape", axes.alias("names"),
+        (F.col("shape") == F.col("_most")).alias("usable"))
+
+
+def dataset_features(found: DataFrame, info: DataFrame) -> DataFrame:
+    """What a dataset's columns are: (name, dtype, shape, names): features all segments agree on, then the counters.
+
+    Vector names that do not fit the width are left out; a dataset without rows has the widths of ``info``.
+    """
+    agreed = agreed_features(found)
+    vectors = F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).alias("dim")) for n, c in (("action", "action_dim"), ("observation_state", "state_dim"))])
+    planned = info.select(F.inline(vectors)).join(agreed.select("name", "shape", "names"), "name", "left")
+    widths = planned.select("name", F.lit("float32").alias("dtype"), F.array(F.col("dim").cast("int")).alias("shape"),
+                            F.when(F.size("names") == F.col("dim"), F.col("names")).alias("names"))
+    images = agreed.where(F.col("agreed") & F.col("dtype").isin("video", "image")).select("name", "dtype", "shape", "names")
+    rows = [("timestamp", "float32")] + [(name, "int64") for name in ("frame_index", "episode_index", "index", "task_index")]
+    made = [F.struct(F.lit(n).alias("name"), F.lit(t).alias("dtype"), F.array(F.lit(1)).alias("shape"), F.lit(None).cast("array<string>").alias("names")) for n, t in rows]
+    return widths.unionByName(images).unionByName(info.select(F.inline(F.array(*made))))
 
 
 def publish(dataset: Dataset, path: str, replace: bool = False, append: bool = False, **tables: DataFrame) -> None:
@@ -235,7 +279,7 @@ def publish(dataset: Dataset, path: str, replace: bool = False, append: bool = F
     spark = dataset.frames.sparkSession
     meta = {
         "episodes": dataset.episodes, "tasks": dataset.tasks, "info": dataset.info,
-        "features": dataset_features(dataset.info), "rejected": dataset.rejected, **tables,
+        "rejected": dataset.rejected, **({"features": dataset.features} if dataset.features is not None else {}), **tables,
     }
     mode = "append" if append else "replace" if replace else "new"
     with publishing(spark, path, mode) as batch:
@@ -273,16 +317,18 @@ def camera_clock(frames: DataFrame, anchors: DataFrame, camera: str = "left_eye"
 
 
 def recording_faults(
-    bags: DataFrame, anchors: DataFrame, frames: DataFrame, camera: str = "left_eye"
+    bags: DataFrame, anchors: DataFrame, frames: DataFrame, camera: str = "left_eye", cameras: Sequence[str] = ()
 ) -> DataFrame:
     """A row for every recording (of ``bags``, anchors or frames) with what it lacks: (bag_id, reasons).
 
-    Checked are the clock anchor, frames of the clock camera, and that all cameras a recording
-    has hold as many frames.
+    Checked are the clock anchor, frames of the clock camera and of each of ``cameras``, and that
+    all cameras a recording has hold as many frames.
     """
+    others = [c for c in cameras if c != camera]
     counted = frames.groupBy("bag_id", "camera").agg(F.count(F.lit(1)).alias("n"))
     cameras = counted.groupBy("bag_id").agg(
-        F.max(F.col("camera") == camera).alias("_clock"), (F.min("n") < F.max("n")).alias("_uneven")
+        F.max(F.col("camera") == camera).alias("_clock"), (F.min("n") < F.max("n")).alias("_uneven"),
+        *[F.max(F.col("camera") == c).alias(f"_has{i}") for i, c in enumerate(others)],
     )
     anchored = anchors.groupBy("bag_id").agg(F.max(F.col("first_frame_epoch_ns").isNotNull()).alias("_anchor"))
     every = bags.select("bag_id").unionByName(anchors.select("bag_id")).unionByName(frames.select("bag_id")).distinct()
@@ -291,11 +337,21 @@ def recording_faults(
     reasons = F.array_compact(F.array(
         F.when(~F.coalesce("_anchor", no), "no clock anchor"),
         F.when(~F.coalesce("_clock", no), f"no {camera} frames"),
+        *[F.when(~F.coalesce(f"_has{i}", no), f"no {c} frames") for i, c in enumerate(others)],
         F.when(F.coalesce("_uneven", no), "cameras differ in length"),
     ))
     return found.select("bag_id", reasons.alias("reasons"))
 
 
+def _with_reasons(faults: DataFrame, more: DataFrame | None) -> DataFrame:
+    """Faults (bag_id, reasons) with further rows (bag_id, reason) added to them; a null recording is one as well."""
+    if more is None:
+        return faults
+    grouped = more.groupBy(F.col("bag_id").alias("_bag")).agg(F.sort_array(F.collect_set("reason")).alias("_more"))
+    joined = faults.join(grouped, F.col("bag_id").eqNullSafe(F.col("_bag")), "left")
+    return joined.select("bag_id", F.concat("reasons", F.coalesce("_more", F.array().cast("array<string>"))).alias("reasons"))
+
+
 def component_parts(messages: DataFrame, topics: Collection[str], mode: str) -> DataFrame:
     """Messages of the columns picked per recording and path, with ``part``: the path and the column's position.
 
@@ -378,6 +434,9 @@ def run_tables(
     text_path: str | None = TEXT_PATH,
     reports: Mapping[str, DataFrame] | None = None,
     target_rows: int | None = None,
+    cameras: Sequence[str] = (),
+    target_fps: float | None = None,
+    known_faults: DataFrame | None = None,
     **options,
 ) -> Dataset:
     """Recordings as tables to a published dataset: clock, alignment, episodes, files.
@@ -386,13 +445,24 @@ def run_tables(
     name, with the reasons why it is not in the dataset. With ``strict`` any such reason fails
     the run before anything is published. ``meta/dim_mismatch`` lists the paths whose messages
     do not have the contract's width, with a sample; ``reports`` are published beside it.
+
+    Further reasons: a camera of ``cameras`` without frames, a clock that does not run at
+    ``target_fps`` within the tolerance, and the rows (bag_id, reason) of ``known_faults``.
     """
     widths = widths if widths is not None else STATE_WIDTHS[mode]
     topics = topics or {p: p.strip("/").replace("/", "_") for p in source_paths(mode)}
     named = bags.select("bag_id").unionByName(messages.select("bag_id")).distinct()
-    faults = materialize(recording_faults(named, anchors, frames))
+    if known_faults is not None:
+        named = named.unionByName(known_faults.select("bag_id")).distinct()
+    faults = materialize(_with_reasons(recording_faults(named, anchors, frames, cameras=cameras), known_faults))
     sound = faults.where(F.size("reasons") == 0).select("bag_id")
     clock = write_once(side_join(camera_clock(frames, anchors), sound, ["bag_id"], "left_semi"))
+    if target_fps is not None:
+        rated = fps_check(clock, ["bag_id"], target_fps, target_rows=target_rows)
+        off = rated.where("NOT keeps_rate").select("bag_id", F.lit(f"clock does not run at {float(target_fps):g} frames a second").alias("reason"))
+        faults = materialize(_with_reasons(faults, off))
+        sound = faults.where(F.size("reasons") == 0).select("bag_id")
+        clock = side_join(clock, sound, ["bag_id"], "left_semi")
     aligned = align_recordings(
         clock, messages, topics, widths, mode=mode, text_path=text_path, target_rows=target_rows
     )
@@ -425,22 +495,36 @@ def run_full(
     output: str,
     *,
     timeline: str | None = None,
+    fmt: str = "parquet",
+    strict: bool = False,
     **options,
 ) -> None:
     """Recordings below ``bag_root`` (anchor files), a message log and camera frames to a published dataset.
 
     Messages are placed by the preferred timeline of their recording, or by ``timeline`` if one
-    is named; those without any are reported like the other faults. What the job staged is
-    removed at the end. See ``run_tables`` for the options.
+    is named; those without any are reported like the other faults. ``fmt`` is the log's format: in
+    JSON or CSV a record that cannot be read is counted in ``meta/ingest_report`` and rejects its
+    recording. With ``strict`` a required input file that is missing fails the run as well. What the
+    job staged is removed at the end. See ``run_tables`` for the options.
     """
     with discard_staged(spark):
         files = list_files(spark, bag_root)
         bags = in_bags(files).select("bag_id").distinct()
-        messages = read_messages(spark, messages_path)
+        missing = materialize(missing_files(files))
+        if strict:
+            lacking = [f"{r.bag_id}/{r.name}" for r in missing.limit(3).collect()]
+            if lacking:
+                raise RuntimeError(f"recordings would be rejected for missing inputs: {', '.join(lacking)}")
+        read = read_messages(spark, messages_path, fmt=fmt)
+        # Text records are read once; whether one is malformed and what it says come from that table.
+        read = read if fmt == "parquet" else write_once(read)
+        ingested = materialize(ingest_report(read))
+        malformed = ingested.where("NOT ok").select("bag_id", F.lit("malformed records").alias("reason"))
+        messages = parsed(read)
         columns = {timeline: timeline_columns()[timeline]} if timeline else timeline_columns()
         placed = reindex_timeline(messages, columns)
         named = bags.unionByName(messages.select("bag_id")).distinct()
         run_tables(
-            named, read_anchors(spark, bag_root, strict=False), read_frames(spark, frames_path), placed, output,
-            reports={"missing_inputs": missing_files(files)}, **options,
+            named, read_anchors(spark, bag_root, strict=False), read_frames(spark, frames_path), placed, output, strict=strict,
+            reports={"missing_inputs": missing, "ingest_report": ingested}, known_faults=malformed, **options,
         )

@@ -41,13 +41,21 @@ def read_frames(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ingest_report(messages: DataFrame, bag: str = "bag_id") -> DataFrame:
-    """Records and rejected records per recording, with an ok flag."""
+    """Records and rejected records per recording, with an ok flag.
+
+    A record whose recording cannot be read either counts for the null recording.
+    """
     bad = F.col("_corrupt").isNotNull() if "_corrupt" in messages.columns else F.lit(False)
     return messages.groupBy(bag).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(bad).alias("n_rejected")
     ).withColumn("ok", F.col("n_rejected") == 0)
 
 
+def parsed(messages: DataFrame) -> DataFrame:
+    """The records that could be read."""
+    return messages.where(F.col("_corrupt").isNull()).drop("_corrupt") if "_corrupt" in messages.columns else messages
+
+
 def timeline_columns() -> dict[str, str]:
     """Timeline name to message column."""
     return dict(zip(TIMELINES, ["log_time_ns", "publish_time_ns", "ros_time_ns"]))

@@ -228,3 +228,17 @@ def test_align_images_carries_and_starts_empty(spark):
     out = align_images(clock, shots).orderBy("seq").collect()
     assert [bytes(r.blob) for r in out] == [b"", b"\x89PNG\r\n\x1a\n1", b"\x89PNG\r\n\x1a\n1"]
     assert {r.media_type for r in out} == {"image/png"}
+
+
+def test_zip_counts_and_orders_without_payload(spark, tmp_path, monkeypatch):
+    from robolog.operators import scan as ordered
+
+    path = str(tmp_path / "frames")
+    rows = [("a", c, i, i, bytes([i]) * 50) for c in ("l", "r") for i in range(5)] + [("b", "l", 0, 0, b"x")]
+    spark.createDataFrame(rows, "bag_id string, camera string, ts_ns bigint, seq bigint, value binary").write.parquet(path)
+    seen = []
+    plain = ordered.scan
+    monkeypatch.setattr(align, "scan", lambda df, *a, **k: seen.append(df.columns) or plain(df, *a, **k))
+    out = align.camera_zip(spark.read.parquet(path), {"l": "left", "r": "right"})
+    assert seen == [["bag_id", "camera", "ts_ns", "seq"]]
+    assert sorted((r.bag_id, r.frame_no, bytes(r.left), bytes(r.right)) for r in out.collect()) == [("a", i, bytes([i]) * 50, bytes([i]) * 50) for i in range(5)]

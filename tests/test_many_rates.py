@@ -26,3 +26,29 @@ def test_more_than_256_measured_rates(spark):
     rows = sorted((r.bag_id, r.frame_no) for r in kept.collect())
     found = {b: [i for _, i in g] for b, g in itertools.groupby(rows, key=lambda x: x[0])}
     assert found == {b: kept_frames(r, 10.0, 40) for b, r in rates.items()}
+
+
+def test_rates_that_say_nothing_count_as_unknown(spark):
+    rates = {"nan": float("nan"), "inf": float("inf"), "neg": -5.0, "zero": 0.0, "none": None, "low": 7.3, "same": 10.0}
+    df = spark.createDataFrame([(b, i, 0, r) for b, r in rates.items() for i in range(40)], "bag_id string, ts_ns long, seq long, fps double")
+    rows = sorted((r.bag_id, r.frame_no) for r in downsample_fps(df, "fps", 10.0).collect())
+    found = {b: [i for _, i in g] for b, g in itertools.groupby(rows, key=lambda x: x[0])}
+    assert found == {b: kept_frames(r if b in ("low", "same") else None, 10.0, 40) for b, r in rates.items()}
+
+
+def test_rates_are_not_brought_to_the_driver(spark):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    df = spark.createDataFrame([(str(b), i, 0, 20.0 + b) for b in range(5) for i in range(9)], "bag_id string, ts_ns long, seq long, fps double")
+    collect = DataFrame.collect
+
+    def refuse(self):
+        assert "fps" not in self.columns and "__rate" not in self.columns
+        return collect(self)
+
+    DataFrame.collect = refuse
+    try:
+        kept = downsample_fps(df, "fps", 10.0)
+    finally:
+        DataFrame.collect = collect
+    assert kept.count() > 0

@@ -12,6 +12,7 @@ from robolog.plans.align import align_images
 from robolog.plans.dataset import run_full, run_tables
 from robolog.session import discard_staged, scratch_root, write_once
 from robolog.sinks.publish import read_dataset
+from robolog.sources.catalog import CAMERA_FILES
 from robolog.sources.log import read_messages, timeline_columns
 from robolog.contracts import FRAMES, MESSAGES
 
@@ -102,7 +103,7 @@ def test_staged_folders_are_removed_after_a_run(spark, tmp_path):
     root = scratch_root(spark).removeprefix("file://")
     before = {d for d in os.listdir(root) if d.startswith("stage-")}
     run_full(spark, str(tmp_path / "bags"), str(tmp_path / "messages"), str(tmp_path / "frames"), str(tmp_path / "out"),
-             topics=TOPICS, widths=WIDTHS, action_dim=1, strict=True)
+             topics=TOPICS, widths=WIDTHS, action_dim=1)
     # Messages have only a publish time, so they are placed by it.
     assert read_dataset(spark, str(tmp_path / "out")).count() == 3
     lacking = {r.name for r in read_dataset(spark, str(tmp_path / "out"), "missing_inputs").collect()}
@@ -254,3 +255,74 @@ def test_dataset_plan_has_few_jobs_before_the_write(spark, tmp_path):
     assert dataset.frames.count() == 50
     assert before <= 16
     assert dataset.rejected.where(F.col("reason").isNotNull()).count() == 0
+
+
+def on_disk(spark, folder, fault=None, fmt="parquet"):
+    """A recording with every required file, two cameras and a log."""
+    bag = "my_bag-24-05-01-10-00-00"
+    for name in ("data/data_0.mcap", *CAMERA_FILES):
+        os.makedirs(os.path.dirname(folder / "bags" / bag / name), exist_ok=True)
+        (folder / "bags" / bag / name).write_bytes(b"x")
+    (folder / "bags" / bag / "video" / "cameras_first_frame.yaml").write_text("first_frame_time:\n  epoch_ns: 1000\n")
+    if fault == "file":
+        (folder / "bags" / bag / "data" / "data_0.mcap").unlink()
+    cameras = ["left_eye"] if fault == "camera" else ["left_eye", "right_eye"]
+    step = 50 if fault == "rate" else 100
+    frames = [(bag, c, i, i * step, 1, 1000, "h264", b"x") for c in cameras for i in range(4)]
+    spark.createDataFrame(frames, FRAMES).write.parquet(str(folder / "frames"))
+    messages = [(bag, p, None, None, 1000, 1, [1.0], None, None, None, None) for p in (JOINTS, POSE)]
+    spark.createDataFrame(messages, MESSAGES).coalesce(1).write.json(str(folder / "messages"))
+    if fault == "malformed":
+        with open(folder / "messages" / "part-broken.json", "w") as file:
+            file.write(f'{{"bag_id": "{bag}", "ts_ns": ]\n')
+    return spark, str(folder / "bags"), str(folder / "messages"), str(folder / "frames")
+
+
+@pytest.mark.parametrize("fault, reason", [
+    (None, None), ("camera", "no right_eye frames"), ("rate", "clock does not run at 10 frames a second"), ("malformed", "malformed records"), ("file", None),
+])
+def test_a_fault_on_disk_is_listed_and_strict_raises(spark, tmp_path, fault, reason):
+    given = on_disk(spark, tmp_path, fault)
+    options = dict(topics=TOPICS, widths=WIDTHS, action_dim=1, fmt="json", cameras=("left_eye", "right_eye"), target_fps=10.0)
+    output = str(tmp_path / "out")
+    if fault is None:
+        run_full(*given, output, strict=True, **options)
+        assert read_dataset(spark, output).count() == 4
+        assert [(r.n_rows, r.n_rejected, r.ok) for r in read_dataset(spark, output, "ingest_report").collect()] == [(2, 0, True)]
+        return
+    with pytest.raises(RuntimeError, match="rejected|no recording"):
+        run_full(*given, output, strict=True, **options)
+    assert not os.path.exists(output)
+    if fault == "file":
+        run_full(*given, output, **options)
+        assert [r.name for r in read_dataset(spark, output, "missing_inputs").collect()] == ["data/data_0.mcap"]
+
+
+def test_reasons_name_the_camera_the_rate_and_the_records(spark, tmp_path):
+    bags, anchors, frames, messages = tables(spark)
+    frames = frames.where("NOT (bag_id = 'b' AND camera = 'right_eye')")
+    path = str(tmp_path / "out")
+    known = spark.createDataFrame([("b", "malformed records"), (None, "malformed records")], "bag_id string, reason string")
+    run_tables(bags, anchors, frames, messages, path, topics=TOPICS, widths=WIDTHS, action_dim=2, cameras=("left_eye", "right_eye"), target_fps=10_000.0, known_faults=known)
+    status = {r.bag_id: list(r.reasons) for r in read_dataset(spark, path, "status").collect()}
+    assert status["a"] == [] and status["b"] == ["no right_eye frames", "malformed records"] and "malformed records" in status[None]
+    with pytest.raises(RuntimeError, match="no recording"):
+        run_tables(*tables(spark), str(tmp_path / "slow"), topics=TOPICS, widths=WIDTHS, action_dim=2, target_fps=30.0)
+
+
+def test_features_found_in_the_rows_are_published_with_names(spark, tmp_path):
+    from robolog.plans.dataset import build_dataset, image_features, publish
+
+    rows = spark.createDataFrame([(b, i, i, [1.0, 2.0], [float(i)]) for b in "xy" for i in range(3)], "segment_id string, ts_ns bigint, seq bigint, a array<double>, s array<double>")
+    shapes = spark.createDataFrame(
+        [("x", "left", 48, 64, 3), ("y", "left", 48, 64, 3), ("x", "right", 48, 64, 3), ("y", "right", 24, 64, 3), ("gone", "left", 1, 1, 1)],
+        "segment_id string, camera string, height int, width int, channels int")
+    dataset = build_dataset(rows, ["a"], ["s"], action_dim=2, state_dim=1, names={"action": ["j1", "j2"]}, packing="next_fit", file_mb=0.0001,
+                            images=image_features(shapes, segment="segment_id"))
+    path = str(tmp_path / "out")
+    publish(dataset, path)
+    found = {r.name: (r.dtype, list(r["shape"]), r.names) for r in read_dataset(spark, path, "features").collect()}
+    assert found["action"] == ("float32", [2], ["j1", "j2"]) and found["observation_state"] == ("float32", [1], None)
+    assert found["observation.images.left"] == ("video", [48, 64, 3], ["height", "width", "channels"])
+    assert "observation.images.right" not in found and found["index"] == ("int64", [1], None) and len(found) == 8
+    assert [r.file_index for r in read_dataset(spark, path, "episodes").orderBy("episode_index").collect()] == [0, 1]

@@ -23,7 +23,7 @@ def recordings(spark, sf):
     """Tables of recordings, one fault for each remainder of the user number by seven.
 
     1: the right eye lacks the last frame; 2: no clock anchor; 3: no left-eye frames; 4: the joint
-    topic has no value; 5: a pose of eight numbers.
+    topic has no value; 5: a pose of eight numbers; 6 where the number is even: no right-eye frames.
     """
     rows = log(spark, sf)
     bag = F.concat(F.lit("bag-"), F.col("bag_id").cast("string"))
@@ -32,7 +32,8 @@ def recordings(spark, sf):
     anchors = first.where(fault != 2).select(bag.alias("bag_id"), "first_frame_epoch_ns")
     views = rows.where("entity_path = 'view'").join(first, "bag_id").select("*", F.explode(F.array(F.lit("left_eye"), F.lit("right_eye"))).alias("camera"))
     lost = (F.col("camera") == "right_eye") & (fault == 1) & (F.struct("ts_ns", "seq") == F.col("last_view"))
-    frames = views.where(~lost & ~((F.col("camera") == "left_eye") & (fault == 3))).select(
+    blind = (F.col("camera") == "right_eye") & (fault == 6) & (F.col("bag_id") % 2 == 0)
+    frames = views.where(~lost & ~blind & ~((F.col("camera") == "left_eye") & (fault == 3))).select(
         bag.alias("bag_id"), "camera", F.col("seq").alias("frame_no"),
         F.expr("(ts_ns - first_frame_epoch_ns) DIV 1000").alias("pts"), F.lit(1).alias("tb_num"), F.lit(1_000_000).alias("tb_den"),
     )
@@ -59,7 +60,9 @@ def recordings(spark, sf):
 
 def run(spark, sf):
     path = scratch_path(spark, "run")
-    run_tables(*recordings(spark, sf), path, topics=TOPICS, widths=WIDTHS, action_dim=ACTION_DIM, file_mb=FILE_MB)
+    malformed = recordings(spark, sf)[0].where("bag_id LIKE '%9'").select("bag_id", F.lit("malformed records").alias("reason"))
+    run_tables(*recordings(spark, sf), path, topics=TOPICS, widths=WIDTHS, action_dim=ACTION_DIM, file_mb=FILE_MB,
+               cameras=("left_eye", "right_eye"), known_faults=malformed)
     return path
 
 
@@ -76,7 +79,9 @@ RUN_SQL = f"""parts AS (SELECT bag_id, ts_ns, seq,
   clocks AS (SELECT bag_id, list_filter([
       CASE WHEN bag_id % 7 = 2 THEN 'no clock anchor' END,
       CASE WHEN views = 0 OR bag_id % 7 = 3 THEN 'no left_eye frames' END,
-      CASE WHEN bag_id % 7 = 1 AND views > 1 THEN 'cameras differ in length' END], lambda r: r IS NOT NULL) AS reasons FROM every),
+      CASE WHEN views = 0 OR (bag_id % 7 = 6 AND bag_id % 2 = 0) OR (bag_id % 7 = 1 AND views = 1) THEN 'no right_eye frames' END,
+      CASE WHEN bag_id % 7 = 1 AND views > 1 THEN 'cameras differ in length' END,
+      CASE WHEN bag_id % 10 = 9 THEN 'malformed records' END], lambda r: r IS NOT NULL) AS reasons FROM every),
   status AS (SELECT c.bag_id, CASE WHEN len(c.reasons) > 0 THEN c.reasons ELSE list_filter([
       CASE WHEN p = 0 THEN 'no value: {JOINTS}' END, CASE WHEN t = 0 THEN 'no value: {POSE}' END, CASE WHEN g = 0 THEN 'no value: {GRIP}' END,
       CASE WHEN bag_id % 7 = 5 AND q > 0 THEN 'vector of another width: {POSE}' END], lambda r: r IS NOT NULL) END AS reasons
