@@ -147,3 +147,16 @@ def inner_bounds(size: Column, start_ratio: float, end_ratio: float) -> Column:
     start = F.greatest(F.lit(0), F.least(raw_start, size - 1))
     end = F.greatest(start + 1, F.least(raw_end, size))
     return F.struct(start.cast("bigint").alias("first"), end.cast("bigint").alias("end"))
+
+
+# The first byte of the units that begin a picture which needs no other, after a start code.
+KEY_UNITS = {"h264": r"[\x05\x25\x45\x65]", "h265": r"[\x20-\x2B]"}
+
+
+def is_key_packet(packet: Column, codec: str = "h264") -> Column:
+    """Whether a packet of start-coded units holds a picture that is decoded by itself; false for none and for empty ones."""
+    if codec not in KEY_UNITS:
+        raise ValueError(f"no key units known for {codec}")
+    # In ISO-8859-1 every byte is one character.
+    text = F.decode(packet.cast("binary"), "ISO-8859-1")
+    return F.coalesce(text.rlike(r"\x00\x00\x01" + KEY_UNITS[codec]), F.lit(False))

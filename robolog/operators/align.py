@@ -23,7 +23,7 @@ def _one_column_per_topic(topic: str, value: str | Mapping[str, str], topics: Ma
     ]
 
 
-def _latest(
+def latest_on_clock(
     rows: DataFrame,
     bag: str,
     ts: str,
@@ -72,7 +72,7 @@ def asof_align(
         some = some | F.col(c).isNotNull()
     notes = notes.where(some).withColumn(CLOCK, F.lit(0))
     rows = ticks.unionByName(notes, allowMissingColumns=True)
-    out = _latest(rows, bag, ts, seq, list(topics.values()), layout, target_rows)
+    out = latest_on_clock(rows, bag, ts, seq, list(topics.values()), layout, target_rows)
     return out.select(*clock.columns, *topics.values())
 
 
@@ -97,7 +97,7 @@ def asof_align_log(
         (F.col(topic) == clock_topic).cast("int").alias(CLOCK),
         *_one_column_per_topic(topic, value, topics),
     )
-    return _latest(rows, bag, ts, seq, list(topics.values()), layout, target_rows)
+    return latest_on_clock(rows, bag, ts, seq, list(topics.values()), layout, target_rows)
 
 
 def dedup_last(

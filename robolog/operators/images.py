@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from robolog.functions import images as img
 from robolog.operators.joins import side_join
 from robolog.operators.layout import BLOB_ROWS, Layout, measure
-from robolog.operators.scan import last_value, running_sum, scan
+from robolog.operators.align import asof_pointer, fetch
+from robolog.operators.scan import last_value, row_number, running_sum, scan
+from robolog.session import write_once
 
 
 def image_codec(
@@ -133,3 +135,57 @@ def with_media_type(df: DataFrame, codecs: DataFrame, *, bag: str = "bag_id") ->
     """Add the codec and media type of the recording to its images."""
     joined = side_join(df, codecs, [bag], "left")
     return joined.withColumn("media_type", img.media_type(F.col("codec")))
+
+
+def packet_groups(
+    packets: DataFrame,
+    *,
+    stream: str = "stream",
+    ts: str = "ts_ns",
+    seq: str = "seq",
+    packet: str = "packet",
+    codec: str = "h264",
+    layout: Layout | None = None,
+    target_rows: int | None = None,
+) -> DataFrame:
+    """Every packet's number in its stream from 0 and its group: (stream, ts, seq, packet_no, is_key, group_no).
+
+    A group begins with a key packet; packets before the first are group 0. Payloads are looked at where
+    they are read and go no further.
+    """
+    marks = packets.select(stream, ts, seq, img.is_key_packet(F.col(packet), codec).cast("int").alias("_key"))
+    if layout is None:
+        layout = measure(packets.select(stream, ts, seq), [stream], [ts, seq], target_rows)
+    numbered = scan(marks, [stream], [ts, seq], layout, _n=row_number(), _group=running_sum("_key"))
+    return numbered.select(
+        stream, ts, seq, (F.col("_n") - 1).alias("packet_no"), (F.col("_key") == 1).alias("is_key"), F.col("_group").cast("bigint").alias("group_no"))
+
+
+def frame_packets(
+    wanted: DataFrame,
+    packets: DataFrame,
+    *,
+    stream: str = "stream",
+    ts: str = "ts_ns",
+    seq: str = "seq",
+    packet: str = "packet",
+    codec: str = "h264",
+    target_rows: int | None = None,
+) -> DataFrame:
+    """The packets a decoder needs to show the frames at the wanted times: (stream, ts, seq, packet_no, group_no, shown).
+
+    The frame shown at a time is the latest packet then, or the first packet before all of them. It needs
+    every packet from its group's key packet on. Two such ranges overlap only within a group, where the
+    longer holds the shorter, so overlapping ranges are one range per group, and the packets are found by
+    equality on the group. ``shown`` counts the wanted times that show the packet itself; a packet that
+    several frames need is there once. Nothing is decoded.
+    """
+    groups = packet_groups(packets, stream=stream, ts=ts, seq=seq, packet=packet, codec=codec, target_rows=target_rows)
+    groups = write_once(groups)
+    pointed = asof_pointer(wanted, groups, F.lit(True), bag=stream, ts=ts, seq=seq, clamp=True, target_rows=target_rows)
+    found = fetch(pointed, groups, ["packet_no", "group_no"], bag=stream, ts=ts, seq=seq).where("packet_no IS NOT NULL")
+    frames = write_once(found.groupBy(stream, "group_no", "packet_no").agg(F.count(F.lit(1)).alias("shown")))
+    ranges = frames.groupBy(stream, "group_no").agg(F.max("packet_no").alias("_last"))
+    needed = side_join(groups, ranges, [stream, "group_no"], "inner").where("packet_no <= _last")
+    shown = needed.join(frames, [stream, "group_no", "packet_no"], "left")
+    return shown.select(stream, ts, seq, "packet_no", "group_no", F.coalesce("shown", F.lit(0)).alias("shown"))

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from robolog.functions.poses import POSE
 from robolog.functions.variants import flatten_variant
 from robolog.operators.episodes import episode_stats
+from robolog.operators.images import frame_packets
 from robolog.operators.joints import JOINT_TABLE, joint_transforms, link_poses
 from robolog.operators.packing import pack_files
 from robolog.operators.stats import dataset_stats, feature_sketches, histogram_stats, image_histograms
 from robolog.plans.dataset import append_dataset, build_dataset, publish
 from robolog.session import scratch_path
 from robolog.sinks.publish import read_dataset
+from robolog.sinks.store import asof_in_store, read_store, write_store
 from robolog.sinks.versions import version_sizes
-from workload.registry import LOG, log, query, table
+from workload.log_time import asof_sql
+from workload.registry import LOG, TOPICS, log, query, table
 from workload.vectors import V, dataset_rows, robot
 
 ACTION, STATE = ["effort", "position", "velocity"], ["eef_left", "eef_right", "grip_l", "grip_r"]
@@ -246,3 +251,40 @@ def link_pose_query(spark, sf):
     """Every link's pose at every row, along the tree of joints."""
     keep = ["bag_id", "ts_ns"]
     return _rounded(link_poses(robot(spark, sf), "embedding", keep, joint_robot(spark)), *keep, "link", "depth")
+
+
+@query(
+    "log_store_asof",
+    f"""{LOG}, c AS ({asof_sql()}), s AS (SELECT bag_id, count(*) AS n_rows FROM log GROUP BY 1)
+    SELECT c.bag_id, ts_ns, seq, {", ".join(TOPICS.values())}, n_rows FROM c JOIN s USING (bag_id)""",
+)
+def log_store_asof(spark, sf):
+    """Latest values at each view and a count per recording, both from a stored log and without moving it."""
+    name = f"log_{uuid.uuid4().hex}"
+    write_store(log(spark, sf).select("bag_id", "entity_path", "ts_ns", "seq", "value"), name, scratch_path(spark, "store"), buckets=8)
+    store = read_store(spark, name)
+    rows = store.groupBy("bag_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return asof_in_store(store, "view", TOPICS).join(rows, "bag_id")
+
+
+PACKETS_SQL = """p AS (SELECT bag_id AS stream, ts_ns, seq, k % 7 = 0 AS is_key FROM log WHERE entity_path <> 'view'),
+  n AS (SELECT *, row_number() OVER w - 1 AS packet_no, CAST(sum(is_key::INT) OVER w AS BIGINT) AS group_no FROM p WINDOW w AS (PARTITION BY stream ORDER BY ts_ns, seq)),
+  v AS (SELECT bag_id AS stream, ts_ns FROM log WHERE entity_path = 'view' AND k % 5 = 0),
+  f AS (SELECT v.stream, coalesce((SELECT max(packet_no) FROM n WHERE n.stream = v.stream AND n.ts_ns <= v.ts_ns), 0) AS packet_no FROM v WHERE v.stream IN (SELECT stream FROM n)),
+  g AS (SELECT f.stream, f.packet_no, n.group_no, count(*) AS shown FROM f JOIN n USING (stream, packet_no) GROUP BY ALL)"""
+
+
+@query(
+    "frame_packets",
+    f"""{LOG}, {PACKETS_SQL}
+    SELECT n.stream, n.ts_ns, n.seq, n.packet_no, n.group_no, coalesce((SELECT shown FROM g WHERE g.stream = n.stream AND g.packet_no = n.packet_no), 0) AS shown
+    FROM n WHERE n.packet_no <= (SELECT max(g.packet_no) FROM g WHERE g.stream = n.stream AND g.group_no = n.group_no)""",
+)
+def frame_packets_query(spark, sf):
+    """Messages as packets, some with the signature of a key picture; a fifth of the views are the frames wanted."""
+    rows = log(spark, sf)
+    unit = F.when(F.col("k") % 7 == 0, F.lit(b"\x00\x00\x01\x67sps\x00\x00\x01\x65")).otherwise(F.lit(b"\x00\x00\x00\x01\x41"))
+    packets = rows.where("entity_path <> 'view'").select(
+        F.col("bag_id").alias("stream"), "ts_ns", "seq", F.concat(unit, F.col("props").cast("binary")).alias("packet"))
+    wanted = rows.where("entity_path = 'view' AND k % 5 = 0").select(F.col("bag_id").alias("stream"), "ts_ns")
+    return frame_packets(wanted, packets)
