@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def _literals(values: Sequence[str]):
@@ -75,16 +75,19 @@ def stream_length_mismatch(
 
 def run_report(bags: DataFrame, ok: str = "ok") -> DataFrame:
     """Number of recordings that went through and that were rejected."""
-    return bags.agg(
-        F.count_if(F.coalesce(F.col(ok), F.lit(False))).alias("n_ok"),
-        F.count_if(~F.coalesce(F.col(ok), F.lit(False))).alias("n_failed"),
-    )
+    return bags.agg(*[c.alias(name) for name, c in report_metrics(ok).items()])
+
+
+def report_metrics(ok: str = "ok") -> dict[str, Column]:
+    """What ``run_report`` counts, as aggregates that can be observed while the recordings are written."""
+    passed = F.coalesce(F.col(ok), F.lit(False))
+    return {"n_ok": F.count_if(passed), "n_failed": F.count_if(~passed)}
 
 
-def require(report: DataFrame, strict: bool) -> None:
-    """Apply the error policy: no success is always an error, a failure is one if strict."""
-    counts = report.first()
-    if counts.n_ok == 0:
+def require(report: DataFrame | Mapping[str, int], strict: bool) -> None:
+    """Apply the error policy: no success is always an error, a failure is one if strict. The report may be counted already."""
+    counts = report.first().asDict() if isinstance(report, DataFrame) else report
+    if counts["n_ok"] == 0:
         raise RuntimeError("no recording went through")
-    if strict and counts.n_failed:
-        raise RuntimeError(f"{counts.n_failed} recordings were rejected")
+    if strict and counts["n_failed"]:
+        raise RuntimeError(f"{counts['n_failed']} recordings were rejected")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from robolog.contracts import DEFAULT_TASK, POSE_PATHS, STATE_WIDTHS, TEXT_PATH, column_preferences, source_paths
 from robolog.functions.numeric import concat_vectors, has_width, pad_vector
@@ -25,13 +25,13 @@ from robolog.operators.episodes import (
 from robolog.operators.joins import side_join, table_size
 from robolog.operators.layout import measure, totals
 from robolog.operators.packing import pack_files
-from robolog.operators.quality import require, run_report
+from robolog.operators.quality import report_metrics, require
 from robolog.operators.scan import numbered
 from robolog.operators.select import pick_columns, reindex_timeline
 from robolog.operators.timeline import fps_check, infer_fps
 from robolog.operators.vectors import agreed_features, dim_mismatch, infer_features
 from robolog.plans.align import AlignedBags, align_bags
-from robolog.session import discard_staged, materialize, write_once
+from robolog.session import discard_staged, materialize, write_counted, write_once
 from robolog.sinks.publish import episode_files, read_dataset, write_dataset, write_meta
 from robolog.sinks.versions import load_version, publishing
 from robolog.sources.catalog import in_bags, list_files, missing_files, read_anchors
@@ -267,14 +267,17 @@ def dataset_features(found: DataFrame, info: DataFrame) -> DataFrame:
     return widths.unionByName(images).unionByName(info.select(F.inline(F.array(*made))))
 
 
-def publish(dataset: Dataset, path: str, replace: bool = False, append: bool = False, **tables: DataFrame) -> None:
+def publish(
+    dataset: Dataset, path: str, replace: bool = False, append: bool = False, counts: Mapping[str, int] | None = None, **tables: DataFrame
+) -> None:
     """Write frames and metadata tables as one batch, then the version that shows them: episodes, episode_files, tasks,
     episode_tasks, stats, info, features, rejected, and those given by name.
 
     Statistics, tasks and files per episode are computed from the written frames, so the
     alignment behind them runs once and a recorded path is that of a file that was written.
     A failure at any point leaves what readers see as it was. An existing dataset is refused
-    unless it is to be replaced or appended to.
+    unless it is to be replaced or appended to. ``run_report`` has the frames and episodes that were
+    written, counted as they were, and the ``counts`` of the run.
     """
     spark = dataset.frames.sparkSession
     meta = {
@@ -283,12 +286,17 @@ def publish(dataset: Dataset, path: str, replace: bool = False, append: bool = F
     }
     mode = "append" if append else "replace" if replace else "new"
     with publishing(spark, path, mode) as batch:
-        write_dataset(dataset.frames, meta, path, batch=batch)
+        seen = Observation()
+        frames = dataset.frames.observe(
+            seen, F.count(F.lit(1)).alias("n_frames"), F.count_if(F.col("frame_index") == 0).alias("n_episodes"))
+        write_dataset(frames, meta, path, batch=batch)
+        report = {**(counts or {}), **seen.get}
         written = spark.read.schema(dataset.frames.schema).parquet(f"{path}/data/batch={batch}")
         derived = {
             "episode_files": episode_files(spark, path, batch),
             "episode_tasks": episode_tasks(written, episode="episode_index", order=("frame_index",)),
             "stats": stats_arrays(episode_stats(written, VECTORS)),
+            "run_report": spark.createDataFrame([tuple(report.values())], ", ".join(f"{name} bigint" for name in report)),
         }
         write_meta(derived, path, batch=batch)
 
@@ -466,12 +474,13 @@ def run_tables(
     aligned = align_recordings(
         clock, messages, topics, widths, mode=mode, text_path=text_path, target_rows=target_rows
     )
-    status = materialize(
+    status, counts = write_counted(
         faults.withColumnRenamed("reasons", "_f").join(aligned.status, "bag_id", "left").select(
             "bag_id", F.concat("_f", F.coalesce("reasons", F.array().cast("array<string>"))).alias("reasons"),
-        ).withColumn("ok", F.size("reasons") == 0)
+        ).withColumn("ok", F.size("reasons") == 0),
+        **report_metrics(),
     )
-    require(run_report(status), strict)
+    require(counts, strict)
     usable = side_join(aligned.frames, status.where("ok").select("bag_id"), ["bag_id"], "left_semi")
     action = list(action or [topics[p] for p in topics if p not in widths])
     state = [topics[p] for p in topics if p in widths]
@@ -483,7 +492,7 @@ def run_tables(
     if strict and not dataset.rejected.isEmpty():
         raise RuntimeError("recordings with vectors of another width")
     odd = dim_mismatch(messages.select("bag_id", "entity_path", "component", "ts_ns", "seq", "values"), widths)
-    publish(dataset, output, replace, status=status, dim_mismatch=odd, **(reports or {}))
+    publish(dataset, output, replace, counts=counts, status=status, dim_mismatch=odd, **(reports or {}))
     return dataset
 
 

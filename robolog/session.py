@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(app: str = "robolog", master: str | None = None, **conf: str) -> SparkSession:
@@ -73,6 +73,13 @@ def write_once(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_counted(df: DataFrame, path: str | None = None, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``write_once``, and aggregates of the rows that are taken as they are written, without a pass of their own."""
+    counts = Observation()
+    written = write_once(df.observe(counts, *[c.alias(name) for name, c in metrics.items()]), path)
+    return written, counts.get
+
+
 _staged: list[str] = []
 
 

@@ -326,3 +326,32 @@ def test_features_found_in_the_rows_are_published_with_names(spark, tmp_path):
     assert found["observation.images.left"] == ("video", [48, 64, 3], ["height", "width", "channels"])
     assert "observation.images.right" not in found and found["index"] == ("int64", [1], None) and len(found) == 8
     assert [r.file_index for r in read_dataset(spark, path, "episodes").orderBy("episode_index").collect()] == [0, 1]
+
+
+def test_the_report_comes_with_the_writes(spark, tmp_path):
+    from robolog.operators.quality import report_metrics, run_report
+    from robolog.session import write_counted
+
+    def jobs(work):
+        group = f"count-{id(work)}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setJobGroup("rest", "rest")
+
+    bags = spark.createDataFrame([("a", True), ("b", False), ("c", None)], "bag_id string, ok boolean")
+    (_, counts), observed = jobs(lambda: write_counted(bags, **report_metrics()))
+    first, apart = jobs(lambda: run_report(write_once(bags)).first().asDict())
+    assert counts == first == {"n_ok": 1, "n_failed": 2} and observed < apart
+    path = str(tmp_path / "out")
+    run_tables(*tables(spark, "clock"), path, topics=TOPICS, widths=WIDTHS, action_dim=2)
+    assert read_dataset(spark, path, "run_report").first().asDict() == {"n_ok": 1, "n_failed": 1, "n_frames": 4, "n_episodes": 1}
+
+
+def test_no_rows_are_counted_too(spark):
+    from robolog.session import write_counted
+
+    none = spark.createDataFrame([], "bag_id string, ok boolean")
+    _, counts = write_counted(none.repartition(2, "bag_id").where("ok"), n=F.count(F.lit(1)))
+    assert counts == {"n": 0}

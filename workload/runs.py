@@ -170,3 +170,13 @@ def component_parts(spark, sf):
         F.concat(F.lit("task "), (F.col("k") % 4).cast("string")).alias("text"),
     )
     return asof_align(clock, parts, {"t": "t0", "q": "q0", "s": "words"}, topic="part", value={"t": "number", "q": "number", "s": "text"})
+
+
+@query(
+    "observed_report",
+    f"""{LOG}, {RUN_SQL} SELECT (SELECT count(*) FROM status WHERE len(reasons) = 0) AS n_ok, (SELECT count(*) FROM status WHERE len(reasons) > 0) AS n_failed,
+      (SELECT coalesce(sum(length), 0)::BIGINT FROM numbers) AS n_frames, (SELECT count(*) FROM numbers) AS n_episodes""",
+)
+def observed_report(spark, sf):
+    """Recordings, frames and episodes of a run, counted by the passes that wrote them."""
+    return read_dataset(spark, run(spark, sf), "run_report")
