@@ -6,7 +6,8 @@ from collections import Counter
 import duckdb
 import pytest
 from test_mixing import brute_mix  # noqa: F401
-from test_simhash import brute_print, classes, lowered
+from test_similar import brute_classes
+from test_simhash import lowered
 
 import __spark_entry__ as driver
 import corpus_pipeline
@@ -47,7 +48,7 @@ def test_pipeline_agrees_with_its_stages_on_plain_rows(spark):
     for i in sorted(named):
         last[lowered(texts[i])] = i
     ids = sorted(last.values())
-    kept = sorted(set(classes([brute_print(texts[i]) for i in ids], ids)))
+    kept = sorted(set(brute_classes([texts[i] for i in ids], ids)))
     rows = {r.doc_id: r for r in docs.collect()}
     chosen = corpus_pipeline.mix(
         spark.createDataFrame([tuple(rows[i]) for i in kept], docs.schema), corpus_pipeline.source_domain(), corpus_pipeline.MIX_WEIGHTS,
