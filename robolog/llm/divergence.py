@@ -20,7 +20,7 @@ SCALE = 1_000_000_000
 #: Partial counts a task holds before it merges them, and after merging before it sends them on.
 MERGE_ROWS, SEND_ROWS = 1 << 20, 1 << 19
 #: Terms times sources that one columnar shard holds.
-SHARD_CELLS = 1 << 20
+SHARD_CELLS = 1 << 17
 
 _GROUP = ["lang", "source", "term"]
 _SUMS = [("n", "sum"), ("docs", "sum")]

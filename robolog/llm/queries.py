@@ -44,18 +44,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op2_chat_formatting", """
-WITH t AS (
-  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos,
-         coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+WITH r AS (SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS lone, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+t AS (
+  SELECT conv_id, lone, row_number() OVER (PARTITION BY conv_id, lone ORDER BY turn NULLS FIRST, role, text) AS pos, role, text FROM r),
 p AS (
-  SELECT *, count(*) OVER (PARTITION BY conv_id) AS n,
-         md5(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY pos)) AS h FROM t),
-whole AS (SELECT n, h, min(conv_id) AS conv_id, count(*) AS n_copies FROM p WHERE pos = n GROUP BY n, h),
+  SELECT *, count(*) OVER (PARTITION BY conv_id, lone) AS n,
+         md5(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id, lone ORDER BY pos)) AS h FROM t),
+whole AS (SELECT n, h, min(conv_id) AS conv_id, CASE WHEN min(conv_id) IS NULL THEN min(lone) END AS lone, count(*) AS n_copies FROM p WHERE pos = n GROUP BY n, h),
 begun AS (SELECT DISTINCT pos AS n, h FROM p WHERE pos < n),
 chosen AS (SELECT * FROM whole ANTI JOIN begun USING (n, h))
 SELECT p.conv_id, any_value(c.n) AS n_turns, any_value(c.n_copies) AS n_copies,
        string_agg('<|' || replace(role, '<|', '< |') || '|>' || chr(10) || replace(text, '<|', '< |') || '<|end|>' || chr(10), '' ORDER BY pos) AS chat
-FROM p JOIN chosen c ON p.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY p.conv_id""")
+FROM p JOIN chosen c ON p.conv_id IS NOT DISTINCT FROM c.conv_id AND p.lone IS NOT DISTINCT FROM c.lone GROUP BY p.conv_id, p.lone""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations"))
 

@@ -9,10 +9,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from robolog.llm.common import body, give_back, once, pieces, spread
 from robolog.llm.token_coder import ID_BITS, decode_blocks, encode_blocks
+from robolog.operators.scan import numbered
 from robolog.session import scratch_path, write_once
 
 #: Ids of a block, and blocks that are coded side by side.
@@ -162,7 +163,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, key: str
                     yield from flush(False)
         yield from flush(True)
 
-    ordered = rows.repartitionByRange(int(files), "doc").sortWithinPartitions("doc", F.xxhash64("content"))
+    # Rows of one id, or without one, are split as well: by content, and by their number where that is the same.
+    order = ["doc", "__content", "__row"]
+    told = rows.withColumns({"__content": F.xxhash64("content"), "__row": F.monotonically_increasing_id()})
+    ordered = told.repartitionByRange(int(files), *order).sortWithinPartitions(*order).drop("__content", "__row")
     frames = ordered.mapInArrow(give_back(run), "frame binary")
     frames.select(F.col("frame").cast("string").alias("value")).write.mode("overwrite").option("lineSep", "\n").text(path)
 
@@ -245,15 +249,20 @@ def _batch(rows: list[tuple], digests: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["file", "place", "doc_id", "n_tokens", "ids_crc32" if digests else "ids"])
 
 
+def part_number(file: Column) -> Column:
+    """The number in a file's name; as text, part-100000 would come before part-10001."""
+    return F.regexp_extract(file, r"part-(\d+)[^/]*$", 1).cast("bigint")
+
+
 def token_index(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32, read back from the files.
 
-    Starts are added up over the files (one row for each), then within a file over its documents.
+    Starts are added up over the files (one row for each, in the order of the numbers in their names), then
+    within a file over its documents.
     """
     rows = write_once(read_token_files(spark, path, digests=True))
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"))
-    ahead = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select("file", F.coalesce(F.sum("total").over(ahead), F.lit(0).cast("bigint")).alias("base"))
+    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("total")).withColumn("part", part_number(F.col("file")))
+    files = numbered(files, "part", "__no", base="total").select("file", F.col("base").cast("bigint").alias("base"))
     within = Window.partitionBy("file").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.join(files, "file").withColumn("start", F.col("base") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0).cast("bigint")))
     return placed.select("doc_id", "start", "n_tokens", "ids_crc32")

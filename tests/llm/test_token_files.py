@@ -1,4 +1,5 @@
 import glob
+import os
 import random
 import zlib
 
@@ -86,3 +87,29 @@ def test_repeated_rows_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, "c")], "doc_id long, text string")
     assert sorted(tuple(r) for r in tokenize_to_files(df, PATH).collect()) == wanted([(1, "a b"), (1, "a b"), (2, "c")])
     assert tokenize_to_files(df.where("false"), PATH).count() == 0
+
+
+def test_files_come_in_the_order_of_their_numbers(spark, tmp_path):
+    """Spark writes more than five digits from the hundred-thousandth file on."""
+    path = str(tmp_path / "tokens")
+    rows = [(i, f"text number {i} " * (i % 5 + 1)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    write_token_files(df, path, public_tokenizers.path("byte_bpe_50k.json"), file_bytes=4000)
+    names = sorted(glob.glob(f"{path}/part-*"))
+    assert len(names) > 3
+    for number, name in zip([9998, 10001, 99999, *range(100_000, 100_000 + len(names))], names):
+        os.rename(name, name.replace(os.path.basename(name)[:10], f"part-{number:05d}"))
+    found = {r.doc_id: (r.start, r.n_tokens) for r in token_index(spark, path).collect()}
+    at = 0
+    for i, _ in rows:
+        assert found[i][0] == at
+        at += found[i][1]
+
+
+def test_rows_without_an_id_are_spread_over_files(spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    rows = [(None if i % 2 else i, f"text {i} " * 20) for i in range(400)] + [(None, "same " * 40)] * 100
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    write_token_files(df, path, public_tokenizers.path("byte_bpe_50k.json"), file_bytes=8000)
+    held = [r["count"] for r in read_token_files(spark, path).groupBy("file").count().collect()]
+    assert sum(held) == 500 and len(held) > 4 and max(held) < 200
