@@ -92,7 +92,10 @@ class BagModel:
 
     def calibrate(self, docs: list[list[np.ndarray]], target: np.ndarray, rounds: int = 50) -> BagModel:
         """Platt's scaling of the log-odds on documents that were not fitted (Newton steps, smoothed targets)."""
-        x = self.raw(stack(docs, len(self.weights))) if len(docs) else np.zeros(0)
+        return self.calibrate_raw(self.raw(stack(docs, len(self.weights))) if len(docs) else np.zeros(0), target, rounds)
+
+    def calibrate_raw(self, x: np.ndarray, target: np.ndarray, rounds: int = 50) -> BagModel:
+        """The same from their log-odds ``x`` before any scaling."""
         ones, zeros = target.sum(), len(target) - target.sum()
         if not ones or not zeros:
             return self
