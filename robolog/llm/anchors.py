@@ -42,9 +42,11 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
 
 def runs(texts: list[bytes], length: int, gram: int) -> dict[str, np.ndarray]:
     """The runs of all windows of ``length`` bytes: text number, first window ``start``, ``stop`` (end of the
-    last window), ``key``, hash ``print`` of the bytes from start to stop, and ``inner``: whether the run may
-    hold two equal windows itself.
+    last window), ``key``, ``print`` (XXH3 of the bytes from start to stop, which has nothing in common with
+    the rolling hash of grams; of the first window if grams are windows, as all are the same), and ``inner``: whether the run may hold two equal windows itself.
     """
+    import xxhash
+
     sizes = np.array([len(x) for x in texts], dtype=np.int64)
     ends = np.cumsum(sizes)
     begins = ends - sizes
@@ -53,7 +55,8 @@ def runs(texts: list[bytes], length: int, gram: int) -> dict[str, np.ndarray]:
     none = np.zeros(0, dtype=np.int64)
     if not len(long_):
         return {"text": none, "start": none, "stop": none, "key": none, "print": none, "inner": none.astype(bool)}
-    flat = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    joined = b"".join(texts)
+    flat = np.frombuffer(joined, dtype=np.uint8)
     power, inverse, table = _tables(total)
     prefix = np.zeros(total + 1, dtype=np.uint64)
     np.cumsum(table[flat] * power[:total], out=prefix[1:])
@@ -75,7 +78,9 @@ def runs(texts: list[bytes], length: int, gram: int) -> dict[str, np.ndarray]:
     start, last = at[good], last[good]
     stop = last + length
     key = least[start]
-    whole = mix64((prefix[stop] - prefix[start]) * inverse[start] + (stop - start).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    digest = xxhash.xxh3_64_intdigest
+    whole_end = stop if gram < length else start + length
+    whole = np.fromiter((digest(joined[a:b]) for a, b in zip(start.tolist(), whole_end.tolist(), strict=True)), dtype=np.uint64, count=len(start))
     # Grams that are the smallest of some window; two neighbours of equal value may mean two equal windows.
     most = np.where(valid, least, np.uint64(0))
     reach = np.concatenate([np.zeros(width - 1, np.uint64), most, np.zeros(width - 1, np.uint64)])

@@ -3,60 +3,76 @@
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from robolog.llm.anchors import runs
-from robolog.llm.common import body, give_back, pieces
+from robolog.llm.common import body, give_back, mix64, pieces
 from robolog.llm.run_index import MOST_SYMBOLS, earlier_windows
 from robolog.operators.joins import side_join
+from robolog.operators.scan import row_number, scan
 from robolog.session import materialize, write_once
 
-#: Bytes of a window, and of the grams whose smallest hash is the key of a window.
-LENGTH, GRAM = 100, 48
+#: Bytes of a window.
+LENGTH = 100
+#: The key of a window is the smallest hash of its grams. They are this much shorter than the window; where a key has too many
+#: different runs for one index, the runs are cut again by longer grams. A gram of the last kind is the window itself.
+SHORTER = (52, 28, 12, 4, 1, 0)
 #: Bytes of all runs of one key up to which they are indexed together.
 INDEX_BYTES = MOST_SYMBOLS - (1 << 18)
 #: Runs that a task holds back to merge equal ones before the shuffle.
 HELD_RUNS = 1 << 20
 #: Bytes of a document that are hashed at once; longer ones are cut with an overlap of a window.
 PART_BYTES = 1 << 21
-NO_ID = -(1 << 62)
+#: Texts without an id are numbered from the first of these; all below the second are theirs.
+NO_ID, FIRST_ID = -(1 << 62), -(1 << 62) + (1 << 60)
 
 
-def _numbered(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
-    """doc, content: ids as whole numbers in the order of documents; and by how much they were stretched.
+def _numbered(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int, bool]:
+    """doc, content: ids as whole numbers in the order of documents; by how much they were stretched; whether rows repeat them.
 
     A null id comes first. Where several different texts have one id, ids are multiplied to make room and
-    these texts follow each other by content; rows that repeat id and text are one document.
+    these texts follow each other by a 128-bit hash; rows that repeat id and text are one document.
+    Only ids and hashes are ordered, and :func:`scan` cuts an id that very many rows have.
     """
     rows = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("doc"), body(text).alias("content"))
-    most = rows.groupBy("doc").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
-    if most > 1:
-        rank = F.dense_rank().over(Window.partitionBy("doc").orderBy("content")) - 1
-        rows = write_once(rows.withColumn("rank", rank.cast("bigint")))
-        rows = rows.select(F.when(F.col("doc") == NO_ID, F.col("doc") + F.col("rank")).otherwise(F.col("doc") * most + F.col("rank")).alias("doc"), "content")
-    return rows, most
-
-
-def _cut(doc: np.ndarray, texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Documents, offsets and texts, long texts in parts that overlap by all but one byte of a window."""
+    if rows.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return rows, 1, False
+    hashed = rows.select("*", F.xxhash64("content").alias("h1"), F.xxhash64(F.lit(1), "content").alias("h2"))
+    texts = materialize(hashed.select("doc", "h1", "h2").distinct())
+    later = materialize(scan(texts, ["doc"], ["h1", "h2"], rank=row_number()).where("rank > 1"))
+    most = later.where(F.col("doc") != NO_ID).agg(F.max("rank")).first()[0] or 1
+    rank = F.coalesce(F.col("rank") - 1, F.lit(0).cast("bigint"))
+    number = F.when(F.col("doc") == NO_ID, F.col("doc") + rank).otherwise(F.col("doc") * most + rank)
+    return write_once(side_join(hashed, later, ["doc", "h1", "h2"]).select(number.alias("doc"), "content")), most, True
+
+
+def _cut(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Row numbers, offsets and texts, long texts in parts that overlap by all but one byte of a window."""
     if all(len(x) <= PART_BYTES for x in texts):
-        return doc, np.zeros(len(texts), dtype=np.int64), texts
-    docs, offsets, parts = [], [], []
-    for d, x in zip(doc.tolist(), texts, strict=True):
+        return np.arange(len(texts)), np.zeros(len(texts), dtype=np.int64), texts
+    rows, offsets, parts = [], [], []
+    for row, x in enumerate(texts):
         for at in range(0, max(1, len(x) - length + 1), PART_BYTES):
-            docs.append(d)
+            rows.append(row)
             offsets.append(at)
             parts.append(x[at : at + PART_BYTES + length - 1])
-    return np.array(docs, dtype=np.int64), np.array(offsets, dtype=np.int64), parts
+    return np.array(rows, dtype=np.int64), np.array(offsets, dtype=np.int64), parts
 
 
 def _table(key, print_, doc, start, place) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([key, print_, pa.array(doc), pa.array(start), pa.array(place)], ["key", "print", "doc", "start", "place"])
 
 
+def _known(doc, start, size) -> pa.RecordBatch:
+    """Stretches that repeat for certain: they have no key."""
+    none = pa.nulls(len(doc), pa.int64())
+    return _table(none, none, doc, start, size << 1)
+
+
 def _merged(held: list[list[np.ndarray]]):
     """Of equal runs the first is sent on under its key; the others are repeats for certain and have no key."""
     key, print_, doc, start, place = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -75,28 +91,35 @@ def _merged(held: list[list[np.ndarray]]):
         new = np.append(True, (doc[1:] != doc[:-1]) | (start[1:] > stop[:-1]))
         head = np.flatnonzero(new)
         stop = np.maximum.reduceat(stop, head)
-        none = pa.nulls(len(head), pa.int64())
-        yield _table(none, none, doc[head], start[head], (stop - start[head]) << 1)
+        yield _known(doc[head], start[head], stop - start[head])
 
 
-def anchored_runs(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, held_runs: int = HELD_RUNS) -> DataFrame:
+def anchored_runs(rows: DataFrame, length: int, gram: int, held_runs: int = HELD_RUNS) -> DataFrame:
     """key, print, doc, start, place (size << 1 | whether equal windows may be inside) of every run of windows.
 
-    Rows without a key are stretches already known to repeat.
+    ``rows`` are doc, content, where in the document that starts, and the key that all its windows have so far
+    (0: none); equal windows have equal keys before and after. Rows without a key are stretches already known
+    to repeat. Where a gram is a whole window, a run is many times the same window: all but the first repeat.
     """
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            doc = np.asarray(batch.column(0))
+            doc, from_, key = (np.asarray(batch.column(i)) for i in (0, 2, 3))
             for a, b in pieces(batch.column(1), 1 << 20):
-                number, offset, texts = _cut(doc[a:b], batch.column(1).slice(a, b - a).to_pylist(), length)
+                row, offset, texts = _cut(batch.column(1).slice(a, b - a).to_pylist(), length)
+                number, offset, parent = doc[a:b][row], offset + from_[a:b][row], mix64(key[a:b][row].astype(np.uint64)).view(np.int64)
                 for c, d in _ranges(texts):
                     found = runs(texts[c:d], length, gram)
                     if not len(found["key"]):
                         continue
                     own = found["text"] + c
-                    place = (found["stop"] - found["start"]) << 1 | found["inner"]
-                    held.append([found["key"], found["print"], number[own], found["start"] + offset[own], place])
+                    start, place = found["start"] + offset[own], (found["stop"] - found["start"]) << 1 | found["inner"]
+                    if gram == length:
+                        more = np.flatnonzero(place >> 1 > length)
+                        if len(more):
+                            yield _known(number[own[more]], start[more] + 1, (place[more] >> 1) - 1)
+                        place = np.full(len(own), length << 1, dtype=np.int64)
+                    held.append([found["key"] ^ parent[own], found["print"], number[own], start, place])
                     size += len(own)
                 if size >= held_runs:
                     yield from _merged(held)
@@ -194,46 +217,38 @@ def _indexed(length: int):
     return run
 
 
-def _window_repeats(snippets: DataFrame, length: int) -> DataFrame:
-    """The same for keys with too many different runs for one index: every window by a 128-bit hash of its bytes.
-
-    The first position of each is a minimum, aggregated before the shuffle, so nothing is gathered. The minima
-    are written once; the join with them can then split a window that very many documents have.
-    """
-    at = F.explode(F.expr(f"sequence(0, length(content) - {length})"))
-    windows = snippets.select("doc", "start", "content", at.alias("o"))
-    own = F.expr(f"substring(content, o + 1, {length})")
-    windows = windows.select(F.xxhash64(own).alias("h1"), F.xxhash64(F.lit(1), own).alias("h2"), F.struct("doc", (F.col("start") + F.col("o")).alias("start")).alias("at"))
-    first = windows.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("at").alias("first"))
-    first = write_once(first.where("n > 1").drop("n"))
-    again = windows.join(first, ["h1", "h2"]).where("at > first")
-    return again.select("at.doc", "at.start", (F.col("at.start") + length).alias("stop"))
-
-
-def repeated_stretches(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, index_bytes: int = INDEX_BYTES, held_runs: int = HELD_RUNS) -> DataFrame:
+def repeated_stretches(rows: DataFrame, length: int = LENGTH, index_bytes: int = INDEX_BYTES, held_runs: int = HELD_RUNS) -> DataFrame:
     """doc, start, stop: stretches (they may overlap) that cover exactly the bytes of windows that also start earlier.
 
-    ``rows`` has doc (distinct, in the order that counts as earlier) and content. Windows are grouped into runs by the
+    Also ``gram`` and ``path`` (equal, index): at which length of grams, and how, the stretch was found. ``rows`` has
+    doc (distinct, in the order that counts as earlier) and content. Windows are grouped into runs by the
     smallest gram hash inside them; equal windows share that key, so only runs of one key are compared. Equal
     runs need no comparing: all but the first repeat. What differs under one key is put into run-compressed
-    indexes of a bounded size and streamed through them. Keys that exceed that size are compared by the hashes
-    of their windows.
+    indexes of a bounded size and streamed through them. The runs of a key that exceeds that size are cut again
+    by the smallest hash of longer grams, until each key fits: with grams one byte shorter than a window
+    a key holds runs of two windows at most, and with grams as long as a window it holds one window.
     """
-    found = anchored_runs(rows, length, gram, held_runs)
-    dealt = found.repartition(F.coalesce("key", F.xxhash64("doc", "start"))).sortWithinPartitions("key", "print", "doc", "start")
-    marked = write_once(dealt.mapInArrow(give_back(_marked), "key bigint, doc bigint, start bigint, stop bigint"))
-    mixed = marked.where("key IS NOT NULL")
-    large = materialize(mixed.groupBy("key").agg(F.sum(F.col("stop") - F.col("start") + 1).alias("size")).where(F.col("size") > index_bytes).select("key"))
-    any_large = not large.isEmpty()
-    small = side_join(mixed, large, ["key"], "left_anti") if any_large else mixed
-    indexed = _snippets(rows, small).repartition("key").sortWithinPartitions("key", "doc", "start").mapInArrow(give_back(_indexed(length)), "doc bigint, start bigint, stop bigint")
-    out = marked.where("key IS NULL").select("doc", "start", "stop").unionByName(indexed)
-    if any_large:
+    parts = rows.select("doc", "content", F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("key"))
+    out = []
+    for gram in (length - x for x in SHORTER):
+        found = anchored_runs(parts, length, gram, held_runs)
+        dealt = found.repartition(F.coalesce("key", F.xxhash64("doc", "start"))).sortWithinPartitions("key", "print", "doc", "start")
+        marked = write_once(dealt.mapInArrow(give_back(_marked), "key bigint, doc bigint, start bigint, stop bigint"))
+        mixed = marked.where("key IS NOT NULL")
+        # Where a gram is a window, what differs under one key are two windows of one hash: always few.
+        large = materialize(mixed.groupBy("key").agg(F.sum(F.col("stop") - F.col("start") + 1).alias("size")).where(F.col("size") > index_bytes).select("key")) if gram < length else None
+        any_large = large is not None and not large.isEmpty()
+        small = side_join(mixed, large, ["key"], "left_anti") if any_large else mixed
+        indexed = _snippets(rows, small).repartition("key").sortWithinPartitions("key", "doc", "start").mapInArrow(give_back(_indexed(length)), "doc bigint, start bigint, stop bigint")
+        way = lambda name: [F.lit(gram).alias("gram"), F.lit(name).alias("path")]  # noqa: B023, E731
+        out += [marked.where("key IS NULL").select("doc", "start", "stop", *way("equal")), indexed.select("*", *way("index"))]
+        if not any_large:
+            break
         # Few documents hold such keys: only their texts are moved, and their runs are written once.
         crowded = materialize(side_join(mixed, large, ["key"], "left_semi"))
         held = side_join(rows, crowded.select("doc").distinct(), ["doc"], "left_semi")
-        out = out.unionByName(_window_repeats(write_once(_snippets(held, crowded)), length))
-    return out
+        parts = write_once(_snippets(held, crowded)).select("doc", "content", "start", "key")
+    return reduce(DataFrame.unionByName, out)
 
 
 def _snippets(rows: DataFrame, runs_: DataFrame) -> DataFrame:
@@ -248,12 +263,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     Removed is every byte covered by ``length`` bytes that also start earlier: in a document of smaller id, or
     further to the front of the same one, judged on the input; matches never cross documents. A null text is
     empty; a null id comes before all others; rows that repeat id and text are one document and get equal
-    results; different texts of one id follow each other by content. ids must be whole numbers. Other columns
+    results; different texts of one id follow each other by a hash of their bytes. ids must be whole numbers. Other columns
     are ignored; an empty table gives an empty result. With ``digests`` kept_sha256 (of the remaining bytes)
     takes the place of spans and kept. Cuts may fall inside a character, hence the remaining bytes are binary.
     """
-    rows, most = _numbered(docs, key, text)
-    stretches = repeated_stretches(rows if most == 1 else rows.dropDuplicates(["doc"]), length, **sizes)
+    rows, most, repeated = _numbered(docs, key, text)
+    stretches = repeated_stretches(write_once(rows.dropDuplicates(["doc"])) if repeated else rows, length, **sizes)
     per_doc = stretches.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("stretches"))
     joined = rows.join(per_doc, "doc", "left").select("doc", "content", "stretches.start", "stretches.stop")
 
@@ -272,7 +287,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 
     last = "kept_sha256 string" if digests else "spans array<struct<start:bigint,stop:bigint>>, kept binary"
     done = joined.mapInArrow(give_back(run), f"doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, {last}")
-    own = F.when(F.col("doc") >= NO_ID + most, F.expr(f"(doc - pmod(doc, {most}L)) div {most}L"))
+    own = F.when(F.col("doc") >= FIRST_ID, F.expr(f"(doc - pmod(doc, {most}L)) div {most}L"))
     return done.withColumn("doc", own).withColumnRenamed("doc", key)
 
 

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from robolog.llm.anchors import runs
-from robolog.llm.repeats import remove_repeats
+from robolog.llm.repeats import remove_repeats, repeated_stretches
 from robolog.llm.run_index import RunIndex, earlier_windows, matching_statistics
 
 
@@ -46,7 +46,7 @@ def corpus(seed=2):
     return list(zip(rng.sample(range(10_000), len(texts)), texts))
 
 
-@pytest.mark.parametrize("sizes", [{}, {"index_bytes": 2000}, {"held_runs": 50}])
+@pytest.mark.parametrize("sizes", [{}, {"index_bytes": 2000}, {"index_bytes": 150}, {"index_bytes": 600, "held_runs": 50}])
 def test_removed_bytes_agree_with_brute_force(spark, sizes):
     rows = corpus()
     df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, key string").repartition(5)
@@ -72,6 +72,32 @@ def test_repeated_rows_shared_ids_null_ids_and_empty_tables(spark):
     assert remove_repeats(df.where("false"), digests=True).count() == 0
 
 
+def test_crowded_keys_are_cut_until_they_fit_an_index(spark):
+    """A passage in very many surroundings, and runs of one letter of very many lengths: no window is compared outside an index,
+    but those that grams of their own length tell apart."""
+    passage = noise(9, 140)
+    texts = [noise(100 + i, 90) + passage + noise(300 + i, 90) for i in range(80)] + ["a" * (150 + 7 * i) for i in range(60)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc long, text string").selectExpr("doc", "CAST(text AS BINARY) AS content").repartition(5)
+    ways = {(r.gram, r.path) for r in repeated_stretches(df, index_bytes=3000).select("gram", "path").distinct().collect()}
+    assert (100, "equal") in ways and any(path == "index" and gram > 48 for gram, path in ways) and (100, "index") not in ways
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(docs, digests=True, index_bytes=3000).collect()}
+    assert found == brute(rows)
+
+
+def test_many_texts_without_an_id_or_with_the_same(spark):
+    texts = [noise(i, 150) + noise(i % 7, 130) for i in range(60)]
+    rows = [(None, t) for t in texts[:30]] + [(3, t) for t in texts[25:50]] + [(3, texts[30])] + [(1 << 40, t) for t in texts[40:]] + [(-5, texts[59])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    order = df.distinct().selectExpr("doc_id", "text", "xxhash64(CAST(text AS BINARY)) AS h1", "xxhash64(1, CAST(text AS BINARY)) AS h2").collect()
+    documents = [(r.doc_id, r.text) for r in sorted(order, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h1, r.h2))]
+    want = brute([(k, text) for k, (_, text) in enumerate(documents)])
+    by_document = {x: want[k] for k, x in enumerate(documents)}
+    found = [(r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in remove_repeats(df, digests=True).collect()]
+    assert sorted(found, key=str) == sorted(((i, by_document[i, t]) for i, t in rows), key=str)
+
+
 def test_long_texts_are_cut_with_an_overlap(spark, monkeypatch):
     from robolog.llm import repeats
 
