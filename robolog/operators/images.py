@@ -86,12 +86,9 @@ def concat_packets(
     )
     placed = scan(sized, [stream], order, layout, target_rows, _upto=running_sum("_size"))
     parts = placed.withColumn("part", F.expr(f"(_upto - _size) DIV {part_bytes}"))
-    packets = F.array_sort(
-        F.collect_list(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col(packet).alias("data")))
-    )
-    joined = F.array_join(F.transform(packets, lambda p: F.hex(p["data"])), "")
+    by = ", ".join(f"`{c}`" for c in [*order, packet])
     return parts.groupBy(stream, "part").agg(
-        F.unhex(joined).alias("data"), F.count(F.lit(1)).alias("n_packets")
+        F.expr(f"listagg(`{packet}`) WITHIN GROUP (ORDER BY {by})").alias("data"), F.count(F.lit(1)).alias("n_packets")
     )
 
 

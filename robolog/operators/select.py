@@ -233,6 +233,19 @@ def segment_table(
     )
 
 
+def segment_files_table(df: DataFrame, *, segment: str = "segment_id", ts: str = "ts_ns") -> DataFrame:
+    """The segment table of logs with one segment a file: the bytes are those of the file, no payload is read.
+
+    ``df`` comes straight from ``spark.read``. A file without rows is no segment; two files of one name are one segment.
+    """
+    per_file = df.groupBy(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias(segment)).agg(
+        F.count(F.lit(1)).alias("n"), F.max("_metadata.file_size").alias("size"), F.min(ts).alias("first"), F.max(ts).alias("last")
+    )
+    return per_file.groupBy(segment).agg(
+        F.sum("n").alias("n_rows"), F.sum("size").alias("size_bytes"), F.min("first").alias("first_ns"), F.max("last").alias("last_ns")
+    )
+
+
 def nonempty_segments(
     df: DataFrame, segments: DataFrame, segment: str = "bag_id", size: str = "size_bytes"
 ) -> DataFrame:

@@ -43,7 +43,7 @@ def align_bags(
     optional: Collection[str] = (),
     texts: Mapping[str, str] | None = None,
     text: str = "text",
-    stage: bool = False,
+    stage: bool = True,
     target_rows: int | None = None,
 ) -> AlignedBags:
     """Every topic on the camera clock as a float32 vector of constant width per recording.
@@ -54,8 +54,8 @@ def align_bags(
     its vectors are then empty. ``texts`` maps topics whose payload is the column ``text`` to
     their output; they go through the same scan and may be null. All recordings go through one
     job; the per-recording profile (widths, counts) is the only extra table. The aligned
-    rows are needed for the profile and for the result: with ``stage`` they are written
-    once to the shared folder and read twice, else the join runs twice.
+    rows are needed for the profile and for the result: they are written once to the shared
+    folder and read twice; without ``stage`` the join runs twice.
     """
     if missing not in ("zero", "drop"):
         raise ValueError(f"unknown missing policy {missing}")

@@ -160,6 +160,18 @@ def test_segments(spark):
     assert sorted(r.seg for r in select.first_segments(df, 2, "seg").collect()) == ["s1", "s2"]
 
 
+def test_segment_sizes_come_from_the_files(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"s{i % 3}", bytes(200 + i)) for i in range(30)], "ts_ns bigint, seg string, payload binary")
+    df.repartition(3, "seg").write.parquet(str(tmp_path / "log"))
+    found = select.segment_files_table(spark.read.parquet(str(tmp_path / "log")))
+    on_disk = {p.name: p.stat().st_size for p in (tmp_path / "log").glob("*.parquet")}
+    rows = found.collect()
+    assert {r.segment_id: r.size_bytes for r in rows}.items() <= on_disk.items() and sum(r.n_rows for r in rows) == 30
+    assert min(r.first_ns for r in rows) == 0 and max(r.last_ns for r in rows) == 29
+    scanned = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in line]
+    assert scanned and not any("payload" in line for line in scanned)
+
+
 def test_error_policy(spark):
     some = spark.createDataFrame([(True,), (False,), (None,)], "ok boolean")
     report = quality.run_report(some)
