@@ -55,6 +55,8 @@ POSE_COMPONENTS = [
     "InstancePoses3D:quaternions",
     "Scalars:scalars",
 ]
+# Numbers of a translation, the first component.
+TRANSLATION = 3
 GRIPPER_COMPONENTS = ["std_msgs.msg.Float32MultiArray:message", "Scalars:scalars"]
 SCALAR_COMPONENTS = ["Scalars:scalars"]
 FALLBACK_EXCLUDES = "Mcap"

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
-from robolog.contracts import DEFAULT_TASK, POSE_PATHS, STATE_WIDTHS, TEXT_PATH, column_preferences, source_paths
+from robolog.contracts import DEFAULT_TASK, POSE_COMPONENTS, POSE_PATHS, STATE_WIDTHS, TEXT_PATH, TRANSLATION, column_preferences, source_paths
 from robolog.functions.numeric import concat_vectors, has_width, pad_vector
 from robolog.functions.times import frame_time, task_text
 from robolog.operators.episodes import (
@@ -364,8 +364,8 @@ def component_parts(messages: DataFrame, topics: Collection[str], mode: str) ->
     """Messages of the columns picked per recording and path, with ``part``: the path and the column's position.
 
     A pose path has up to two parts (translations, then quaternions), the others one; columns
-    that were not picked are left out. A message without a component name counts as a column
-    of its own.
+    that were not picked are left out. Quaternions alone are the second part: the first has no
+    value then. A message without a component name counts as a column of its own.
     """
     named = messages.where(F.col("entity_path").isin(*topics)).withColumn(
         "column_name", F.concat_ws(":", "entity_path", F.coalesce("component", F.lit("values")))
@@ -373,7 +373,9 @@ def component_parts(messages: DataFrame, topics: Collection[str], mode: str) ->
     wanted = {p: c for p, c in column_preferences(mode).items() if p in topics}
     wanted |= {p: [] for p in topics if p not in wanted}
     presence = named.select("bag_id", "entity_path", "column_name").distinct()
-    picked = pick_columns(presence, wanted).withColumnRenamed("column", "column_name")
+    alone = F.count(F.lit(1)).over(Window.partitionBy("bag_id", "entity_path")) == 1
+    turns = F.col("entity_path").isin(*POSE_PATHS) & F.col("column_name").endswith(f":{POSE_COMPONENTS[1]}")
+    picked = pick_columns(presence, wanted).withColumn("position", F.when(alone & turns, F.lit(1)).otherwise(F.col("position")))
     joined = side_join(named, picked, ["bag_id", "entity_path", "column_name"], "inner")
     part = F.concat_ws("#", "entity_path", F.col("position").cast("string"))
     return joined.withColumn("part", part).drop("position", "column_name")
@@ -392,8 +394,9 @@ def align_recordings(
     """Every path on the camera clock as one vector, and the instruction text.
 
     The picked columns of a path are aligned each by itself, then joined end to end and padded
-    to the path's width (never cut). ``status.reasons`` names paths without a value and paths
-    wider than their width.
+    to the path's width (never cut). The first column of a pose path holds at least a translation's
+    three numbers, so that the second always starts behind them. ``status.reasons`` names paths
+    without a value (for a pose also: without translations or scalars) and paths wider than their width.
     """
     two = [p for p in topics if p in POSE_PATHS]
     parts = {f"{p}#{i}": f"{c}__{i}" for p, c in topics.items() for i in range(2 if p in two else 1)}
@@ -405,7 +408,7 @@ def align_recordings(
             "bag_id", F.col("entity_path").alias("part"), "ts_ns", "seq", F.lit(None).cast("array<double>").alias("values"), "text")
         values = values.unionByName(words)
     aligned = align_bags(
-        clock, values, parts, topic="part", optional=[f"{p}#1" for p in two], texts=texts, stage=True,
+        clock, values, parts, {f"{p}#0": TRANSLATION for p in two}, topic="part", optional=[f"{p}#1" for p in two], texts=texts, stage=True,
         target_rows=target_rows,
     )
     joined = {}

@@ -83,6 +83,18 @@ def test_every_fault_is_listed_and_strict_fails(spark, tmp_path, fault, reason):
     assert {r.segment_id for r in read_dataset(spark, path, "episodes").collect()} == {"a"}
 
 
+@pytest.mark.parametrize("n_turns, reasons", [(4, [f"no value: {POSE}"]), (5, [f"no value: {POSE}", f"vector of another width: {POSE}"])])
+def test_quaternions_alone_are_no_translations(spark, tmp_path, n_turns, reasons):
+    bags, anchors, frames, messages = tables(spark)
+    turned = F.when((F.col("bag_id") == "b") & F.col("component").endswith("quaternions"), F.array_repeat(F.lit(0.5), n_turns)).otherwise(F.col("values"))
+    messages = messages.where("NOT (bag_id = 'b' AND component <=> 'InstancePoses3D:translations')").withColumn("values", turned)
+    path = str(tmp_path / "out")
+    run_tables(bags, anchors, frames, messages, path, topics=TOPICS, widths=WIDTHS, action_dim=2)
+    status = {r.bag_id: list(r.reasons) for r in read_dataset(spark, path, "status").collect()}
+    assert status == {"a": [], "b": reasons}
+    assert {r.segment_id for r in read_dataset(spark, path, "episodes").collect()} == {"a"}
+
+
 def test_unreadable_files_fail_the_read(spark, tmp_path):
     path = str(tmp_path / "messages")
     spark.createDataFrame([("a", "/x", None, 1, None, 1, [1.0], None, None, None, None)], MESSAGES).repartition(1).write.parquet(path)
