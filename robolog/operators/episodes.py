@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from robolog.contracts import NS
 from robolog.operators.joins import side_join
@@ -73,6 +73,11 @@ def file_places(
     )
 
 
+def file_number(chunk: str = "chunk_index", file: str = "file_index", *, files_per_chunk: int = FILES_PER_CHUNK) -> Column:
+    """Number of a file over all chunks; the file index starts anew in each."""
+    return F.col(chunk).cast("bigint") * files_per_chunk + F.col(file)
+
+
 def task_table(
     rows: DataFrame, *, order: Sequence[str] = ("segment_id", "ts_ns", "seq"), task: str = "task", known: DataFrame | None = None
 ) -> DataFrame:

@@ -16,6 +16,7 @@ from robolog.operators.episodes import (
     episode_stats,
     episode_table,
     episode_tasks,
+    file_number,
     file_places,
     number_frames,
     stats_arrays,
@@ -236,8 +237,7 @@ def build_dataset(
 
 def _last_file(state: DatasetState) -> dict[str, int]:
     """Number and bytes of the file that the next episode may go into."""
-    file = F.col("chunk_index") * FILES_PER_CHUNK + F.col("file_index")
-    sizes = state.episodes.groupBy(file.alias("file")).agg(F.sum("size_bytes").alias("bytes"))
+    sizes = state.episodes.groupBy(file_number().alias("file")).agg(F.sum("size_bytes").alias("bytes"))
     last = sizes.agg(F.max(F.struct("file", "bytes")).alias("last")).first().last
     return {"first_file": last["file"], "filled": last["bytes"]} if last else {}
 

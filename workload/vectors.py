@@ -17,7 +17,7 @@ from robolog.functions.numeric import (
     vector_slice,
 )
 from robolog.operators import joints, quality, vectors
-from robolog.operators.episodes import episode_stats
+from robolog.operators.episodes import episode_stats, file_number
 from robolog.plans.align import aligned_joints
 from robolog.plans.dataset import build_dataset, publish
 from robolog.session import scratch_path
@@ -345,6 +345,6 @@ def build_dataset_query(spark, sf):
         "episode_index", F.round(F.get("mean", F.lit(0)), 6).alias("state_mean")
     )
     table = read_dataset(spark, path, "episodes").select(
-        "segment_id", "episode_index", "length", "first_index", "file_index"
+        "segment_id", "episode_index", "length", "first_index", file_number().alias("file_index")
     )
     return table.join(frames, "episode_index").join(tasks, "episode_index").join(stats, "episode_index")
