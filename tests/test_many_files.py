@@ -26,7 +26,7 @@ def copies(spark, tmp_path_factory):
     return folder, db
 
 
-@pytest.mark.parametrize("name", ["build_dataset"])
+@pytest.mark.parametrize("name", ["build_dataset", "dataset_append"])
 def test_files_are_numbered_over_all_chunks(spark, copies, name):
     folder, db = copies
     df = driver.queries()[name](spark, folder)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from robolog.functions.poses import POSE
 from robolog.functions.variants import flatten_variant
-from robolog.operators.episodes import episode_stats
+from robolog.operators.episodes import episode_stats, file_number
 from robolog.operators.images import frame_packets
 from robolog.operators.joints import JOINT_TABLE, joint_transforms, link_poses
 from robolog.operators.packing import pack_files
@@ -58,7 +58,7 @@ def dataset_append(spark, sf):
     tasks = read_dataset(spark, path, "tasks").withColumnRenamed("task", "named")
     frames = read_dataset(spark, path).join(tasks, "task_index")
     return frames.select(
-        "segment_id", "episode_index", "frame_index", "index", F.col("named").alias("task"), "task_index", F.col("file_index").cast("bigint").alias("file_index")
+        "segment_id", "episode_index", "frame_index", "index", F.col("named").alias("task"), "task_index", file_number().alias("file_index")
     ).crossJoin(F.broadcast(totals))
 
 
