@@ -6,9 +6,11 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from robolog.llm.common import body, give_back, once, pieces, spread
@@ -17,7 +19,7 @@ from robolog.operators.scan import numbered
 from robolog.session import scratch_path, write_once
 
 #: Ids of a block, and blocks that are coded side by side.
-BLOCK_IDS, LANES = 4096, 1024
+BLOCK_IDS, LANES = 4096, 2048
 #: What makes up fewer lanes than this is cut into smaller blocks, down to so many ids.
 LEAST_LANES, LEAST_IDS = 256, 1024
 #: Bytes of text that go into one file.
@@ -26,19 +28,21 @@ FILE_BYTES = 32 << 20
 #: 32-bit integers), CRC-32 of the document table. The table and the words follow, then a line feed.
 HEAD = "<4sIIIII"
 HEAD_SIZE = struct.calcsize(HEAD)
-MAGIC, CONTINUES = b"RTB1", 1 << 31
-KEPT_UNITS = 400_000
+MAGIC, CONTINUES = b"RTB2", 1 << 31
+#: Units a worker remembers; beyond that it forgets those it met in one batch only. Bytes of text looked up together.
+KEPT_UNITS, BATCH_BYTES = 600_000, 4 << 20
 NO_ID = -(1 << 63)
 
-_CUT, _RUN = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s\s")
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 class UnitTokenizer:
     """The tokenizers library, asked once for each unit of text it has met.
 
     A text is cut at single spaces between other characters, where this byte-level pre-tokenizer always
-    begins a new piece, so the ids of the units make up the ids of the text. Texts with a special token's
-    string go through the library whole.
+    begins a new piece, so the ids of the units make up the ids of the text. New units go through the library
+    joined by single spaces; the ids of each begin at a token that begins with a space. Texts with a special
+    token's string go through the library whole.
     """
 
     def __init__(self, path: str):
@@ -48,53 +52,119 @@ class UnitTokenizer:
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         if self.tokenizer.get_vocab_size() > 1 << ID_BITS:
             raise ValueError("more ids than the file format holds")
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.begins[[i for token, i in vocabulary.items() if token[0] == "\u0120"]] = True  # the byte-level sign for a space
         self.clear()
 
     def clear(self) -> None:
         self.index: dict = {}
         self.start, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.met = np.zeros(0, np.int32)  # batches in which a unit was met
+        self._add([("", "end")], np.zeros(1, np.int32), np.ones(1, np.int64))
+
+    def _forget(self) -> None:
+        """Keep the units met in more than one batch, or nothing if that is not much less."""
+        keep = np.flatnonzero(self.met > 1)
+        if 2 * len(keep) > KEPT_UNITS or 2 * int(self.length[keep].sum()) > 16 * KEPT_UNITS:
+            self.clear()
+            return
+        units = list(self.index)
+        length, ids = self.length[keep], self.ids[spread(self.start[keep], self.length[keep])]
+        self.clear()
+        units = [units[k] for k in keep.tolist()]
+        self._add(units, ids, length)
 
     def _units(self, text: str) -> list:
         if not text:
             return []
         if any(x in text for x in self.special):
             return [(text,)]
-        if _RUN.search(text) or text[0] == " " or text[-1] == " ":
-            units = _CUT.split(text)
-        else:
-            units = text.split(" ")
+        units = _CUT.split(text)
         units[0] = (units[0],)  # the first unit has no space before it
         return units
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each followed by id 0, and the number of ids of each (with that one)."""
         if len(self.index) > KEPT_UNITS or len(self.ids) > 16 * KEPT_UNITS:
-            self.clear()
-        if ("", "end") not in self.index:
-            self._add([("", "end")], [[0]])
-        units, counts = [], []
-        for text in texts:
-            own = self._units(text)
-            own.append(("", "end"))
-            units.extend(own)
-            counts.append(len(own))
-        new = [u for u in dict.fromkeys(units) if u not in self.index]
-        if new:
-            found = self.tokenizer.encode_batch_fast([u[0] if type(u) is tuple else " " + u for u in new], add_special_tokens=False)
-            self._add(new, [x.ids for x in found])
-        at = np.fromiter(map(self.index.__getitem__, units), dtype=np.int64, count=len(units))
-        length = self.length[at]
-        ids = self.ids[spread(self.start[at], length)]
-        upto = np.cumsum(np.append(0, length))[np.cumsum(np.append(0, np.array(counts, dtype=np.int64)))]
-        return ids, np.diff(upto)
-
-    def _add(self, units: list, ids: list[list[int]]) -> None:
+            self._forget()
+        plain = np.array([bool(t) and not any(x in t for x in self.special) for t in texts], dtype=bool)
+        counts = np.ones(len(texts), dtype=np.int64)
+        parts = []
+        if plain.any():
+            lists = pc.split_pattern(pa.array([t for t, p in zip(texts, plain.tolist(), strict=True) if p], pa.large_string()), " ")
+            offsets = np.asarray(lists.offsets, dtype=np.int64)
+            coded = lists.values.dictionary_encode()
+            units, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(coded.indices)
+            # Texts with a space beside another one, or beside the text's end, are cut with more care.
+            bare = np.fromiter((not u or u.strip() != u for u in units), dtype=bool, count=len(units))
+            if bare.any():
+                kept = ~np.logical_or.reduceat(bare[at], offsets[:-1])
+                plain[plain] = kept
+                at, wide = at[np.repeat(kept, np.diff(offsets))], np.diff(offsets)[kept]
+                offsets = np.append(0, np.cumsum(wide))
+                known, at = np.unique(at, return_inverse=True)
+                units = [units[k] for k in known.tolist()]
+            first, which = np.unique(at[offsets[:-1]], return_inverse=True)
+            found = self._numbers([*units, *((units[k],) for k in first.tolist())])
+            at = found[at]
+            at[offsets[:-1]] = found[len(units) + which]
+            counts[plain] += np.diff(offsets)
+            parts.append((plain, at))
+        if not plain.all():
+            own = [self._units(t) for t, p in zip(texts, plain.tolist(), strict=True) if not p]
+            counts[~plain] += np.fromiter(map(len, own), dtype=np.int64, count=len(own))
+            flat = [u for units in own for u in units]
+            order = {u: k for k, u in enumerate(dict.fromkeys(flat))}
+            parts.append((~plain, self._numbers(list(order))[[order[u] for u in flat]] if flat else np.zeros(0, np.int64)))
+        begin = np.cumsum(counts) - counts
+        placed = np.zeros(int(counts.sum()), dtype=np.int64)  # unit 0 is the end of a text
+        for which, at in parts:
+            placed[spread(begin[which], counts[which] - 1)] = at
+        length = self.length[placed]
+        upto = np.cumsum(np.append(0, length))[np.append(begin, len(placed))]
+        return self.ids[spread(self.start[placed], length)], np.diff(upto)
+
+    def _numbers(self, units: list) -> np.ndarray:
+        """The number of each of different units; those not met yet are tokenised."""
+        found = np.fromiter(map(self.index.get, units, repeat(-1)), dtype=np.int64, count=len(units))
+        missing = np.flatnonzero(found < 0).tolist()
+        if missing:
+            new = [units[k] for k in missing]
+            self._learn(new)
+            found[missing] = list(map(self.index.__getitem__, new))
+        self.met[found] += 1
+        return found
+
+    def _learn(self, new: list) -> None:
+        joined, alone = [], []
+        for u in new:
+            (joined if type(u) is not tuple and u and " " not in u and u.strip() == u else alone).append(u)
+        units, ids, lengths = [], [], []
+        for k in range(0, len(joined), 1000):
+            some = joined[k : k + 1000]
+            text = " " + " ".join(some)
+            found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int32)
+            begin = np.flatnonzero(self.begins[found])
+            if len(begin) == len(some) and not any(x in text for x in self.special):
+                units.extend(some)
+                ids.append(found)
+                lengths.append(np.diff(np.append(begin, len(found))))
+            else:
+                alone.extend(some)
+        if alone:
+            found = [x.ids for x in self.tokenizer.encode_batch_fast([u[0] if type(u) is tuple else " " + u for u in alone], add_special_tokens=False)]
+            units.extend(alone)
+            lengths.append(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))
+            ids.append(np.fromiter((i for x in found for i in x), dtype=np.int32, count=int(lengths[-1].sum())))
+        self._add(units, np.concatenate(ids), np.concatenate(lengths))
+
+    def _add(self, units: list, ids: np.ndarray, length: np.ndarray) -> None:
         base = len(self.start)
         self.index.update(zip(units, range(base, base + len(units)), strict=True))
-        length = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(length.sum()))
         self.start = np.append(self.start, len(self.ids) + np.cumsum(length) - length)
-        self.length, self.ids = np.append(self.length, length), np.append(self.ids, flat)
+        self.length, self.ids = np.append(self.length, length), np.append(self.ids, ids)
+        self.met = np.append(self.met, np.zeros(len(units), np.int32))
 
 
 def _frames(doc: np.ndarray, counts: np.ndarray, ids: np.ndarray, goes_on: np.ndarray, block_ids: int) -> Iterator[bytes]:
@@ -105,7 +175,7 @@ def _frames(doc: np.ndarray, counts: np.ndarray, ids: np.ndarray, goes_on: np.nd
     blocks = [ids[c : c + block_ids] for c in cuts.tolist()]
     order = np.argsort([-len(b) for b in blocks], kind="stable")
     words: list = [None] * len(blocks)
-    for k, w in zip(order.tolist(), encode_blocks([blocks[k].astype(np.int64) for k in order.tolist()]), strict=True):
+    for k, w in zip(order.tolist(), encode_blocks([blocks[k] for k in order.tolist()]), strict=True):
         words[k] = w
     for c, block, word in zip(cuts.tolist(), blocks, words, strict=True):
         stop = c + len(block)
@@ -153,7 +223,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, key: str
 
         for batch in batches:
             number = np.asarray(batch.column(0).fill_null(NO_ID))
-            for a, b in pieces(batch.column(1), 1 << 20):
+            for a, b in pieces(batch.column(1), BATCH_BYTES):
                 found, n = coder.encode([x.decode("utf-8", "replace") for x in batch.column(1).slice(a, b - a).to_pylist()])
                 doc.append(number[a:b])
                 counts.append(n)

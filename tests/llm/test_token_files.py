@@ -113,3 +113,42 @@ def test_rows_without_an_id_are_spread_over_files(spark, tmp_path):
     write_token_files(df, path, public_tokenizers.path("byte_bpe_50k.json"), file_bytes=8000)
     held = [r["count"] for r in read_token_files(spark, path).groupBy("file").count().collect()]
     assert sum(held) == 500 and len(held) > 4 and max(held) < 200
+
+
+def test_new_units_go_through_the_library_together():
+    texts = [" ".join(f"word{i * 100 + k}x, l'été\nof" for k in range(100)) for i in range(30)]
+    coder, library, asked = UnitTokenizer(PATH), Tokenizer.from_file(PATH), []
+
+    class Counted:
+        def encode_batch_fast(self, some, **options):
+            asked.extend(some)
+            return library.encode_batch_fast(some, **options)
+
+    coder.tokenizer = Counted()
+    ids, counts = coder.encode(texts)
+    assert len(asked) < 50  # of more than 3000 units; each went alone before
+    assert ids.tolist() == [i for t in texts for i in [*library.encode(t, add_special_tokens=False).ids, 0]]
+    assert counts.sum() == len(ids)
+
+
+def test_units_forgotten_are_asked_for_again(monkeypatch):
+    monkeypatch.setattr("robolog.llm.token_files.KEPT_UNITS", 60)
+    coder, library = UnitTokenizer(PATH), Tokenizer.from_file(PATH)
+    for i in range(40):
+        texts = [f"always here  {i} some{i // 2} rare{i}x y", "", f"always z{i} ", " ".join(f"u{i}v{k}" for k in range(20))]
+        ids, _ = coder.encode(texts)
+        assert ids.tolist() == [i for t in texts for i in [*library.encode(t, add_special_tokens=False).ids, 0]]
+        assert len(coder.index) < 120
+
+
+def test_unlikely_outcomes_and_carries_come_back():
+    """Long runs of one outcome, broken by others, take the odds to their ends and the range to carries."""
+    rng = np.random.default_rng(5)
+    blocks = []
+    for _ in range(200):
+        block = np.full(rng.integers(500, 1500), rng.integers(0, 1 << 17))
+        at = rng.integers(0, len(block), size=rng.integers(0, 30))
+        block[at] = rng.integers(0, 1 << 17, size=len(at))
+        blocks.append(block)
+    round_trip(blocks)
+    round_trip([np.arange(3000) % 70_000, np.arange(2000) * 60 % (1 << 17)])
